@@ -15,7 +15,7 @@ from tillbook.functions.codec import clean, parse, unpack  # noqa: E402
 from tillbook.operators.versions import VersionedTable  # noqa: E402
 from tillbook.plans import quality, reports, verification  # noqa: E402
 from tillbook.schema import CLEAN  # noqa: E402
-from tillbook.session import pin, workspace  # noqa: E402
+from tillbook.session import pin, size_shuffles, workspace  # noqa: E402
 from tillbook.sources.events import raw_source  # noqa: E402
 from tillbook.sources.retail import Feed, feed, sales, table  # noqa: E402
 from tillbook.streaming.ingest import AVAILABLE_NOW, start_ingest  # noqa: E402
@@ -27,16 +27,23 @@ _RANGE_STORES = ["STORE-001", "STORE-003"]
 _RATE = {"seconds": 60, "low": 0.02, "high": 0.1}
 
 
+# Files per micro-batch of a backlog: bounds what a failed batch repeats, not what is read.
+_BATCH_FILES = 10_000
+
 # -- frames the queries start from -------------------------------------------------------------
 
 
+def _ready(spark: SparkSession, sf_dir: str) -> SparkSession:
+    return size_shuffles(pin(spark), sf_dir)
+
+
 def _clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(sales(pin(spark), sf_dir))
+    return clean(sales(_ready(spark, sf_dir), sf_dir))
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables to JSON events and back to flat rows."""
-    events = feed(pin(spark), sf_dir)
+    events = feed(_ready(spark, sf_dir), sf_dir)
     return events.complete(parse(events.raw))
 
 
@@ -65,14 +72,14 @@ def events_to_revenue(spark, sf_dir):
 
 
 def basket_totals(spark, sf_dir):
-    events = feed(pin(spark), sf_dir)
+    events = feed(_ready(spark, sf_dir), sf_dir)
     checked = quality.reconcile(unpack(events.raw))
     large = Feed(events.raw, None if events.oversized is None else events.oversized.withColumn("consistent", F.lit(True)))
     return large.complete(checked)
 
 
 def encode_payload(spark, sf_dir):
-    events = feed(pin(spark), sf_dir, "units", "first_sku", "last_sku")
+    events = feed(_ready(spark, sf_dir), sf_dir, "units", "first_sku", "last_sku")
     skus = F.transform("items", lambda item: item["sku"])
     units = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, item: n + item["quantity"])
     read = unpack(events.raw).select(
@@ -111,23 +118,26 @@ def dq_report(spark, sf_dir):
 
 
 def dq_report_unfiltered(spark, sf_dir):
-    return quality.dq_report(sales(pin(spark), sf_dir))
+    return quality.dq_report(sales(_ready(spark, sf_dir), sf_dir))
 
 
 def rate_check(spark, sf_dir):
-    return reports.rate_check(table(pin(spark), sf_dir, "events"), **_RATE)
+    return reports.rate_check(table(_ready(spark, sf_dir), sf_dir, "events"), **_RATE)
 
 
 # -- streams -----------------------------------------------------------------------------------
 
 
-def _land(raw: DataFrame, folder: str) -> None:
-    """Put events down as text files, one per line, where a stream picks them up."""
-    raw.select(F.col("value").cast("string")).write.mode("append").text(folder)
+def _land(raw: DataFrame, folder: str, kind: str = "files") -> None:
+    """Put events down where a stream picks them up: one per line of text, or as a table of values."""
+    if kind == "files":
+        raw.select(F.col("value").cast("string")).write.mode("append").text(f"{folder}/landing")
+    else:
+        raw.write.mode("append").parquet(f"{folder}/landing")
 
 
-def _ingest(spark: SparkSession, folder: str, sink: str, target: str, consumer: str = "ingest"):
-    raw = raw_source(spark, "files", f"{folder}/landing")
+def _ingest(spark: SparkSession, folder: str, sink: str, target: str, *, kind: str = "files", consumer: str = "ingest"):
+    raw = raw_source(spark, kind, f"{folder}/landing", max_files=_BATCH_FILES)
     return start_ingest(raw, sink, target, f"{folder}/{consumer}.checkpoint", trigger=AVAILABLE_NOW)
 
 
@@ -136,28 +146,28 @@ def _written(spark: SparkSession, target: str) -> DataFrame:
 
 
 def ingest_stream_parquet(spark, sf_dir):
-    folder, events = workspace(pin(spark), "parquet"), feed(spark, sf_dir)
-    _land(events.raw, f"{folder}/landing")
+    folder, events = workspace(_ready(spark, sf_dir), "parquet"), feed(spark, sf_dir)
+    _land(events.raw, folder)
     quality.settle(_ingest(spark, folder, "parquet", f"{folder}/out"))
     return _naive(events.complete(_written(spark, f"{folder}/out"), cleaned=True))
 
 
 def ingest_stream_append(spark, sf_dir):
-    folder, events = workspace(pin(spark), "append"), feed(spark, sf_dir)
+    folder, events = workspace(_ready(spark, sf_dir), "append"), feed(spark, sf_dir)
     stored = VersionedTable(spark, f"{folder}/table").create(("store",))
-    _land(events.raw, f"{folder}/landing")
+    _land(events.raw, folder)
     quality.settle(_ingest(spark, folder, "versions", stored.root))
     return _naive(events.complete(stored.current(), cleaned=True))
 
 
 def restart_resume(spark, sf_dir):
     """Half of the events, a restart without new ones, the other half: every row once."""
-    folder = workspace(pin(spark), "restart")
+    folder = workspace(_ready(spark, sf_dir), "restart")
     stored = VersionedTable(spark, f"{folder}/table").create(("store",))
     halves = [feed(spark, sf_dir, where=F.col("o_orderkey") % 2 == half) for half in (0, 1)]
     for arriving in (halves[0], None, halves[1]):
         if arriving:
-            _land(arriving.raw, f"{folder}/landing")
+            _land(arriving.raw, folder)
         quality.settle(_ingest(spark, folder, "versions", stored.root))
     rows = stored.current()
     for half in halves:
@@ -167,12 +177,12 @@ def restart_resume(spark, sf_dir):
 
 def two_consumers(spark, sf_dir):
     """Two queries read the same events, each at its own pace and into its own sink."""
-    folder, events = workspace(pin(spark), "consumers"), feed(spark, sf_dir)
-    _land(events.raw, f"{folder}/landing")
+    folder, events = workspace(_ready(spark, sf_dir), "consumers"), feed(spark, sf_dir)
+    _land(events.raw, folder, "table")
     stored = VersionedTable(spark, f"{folder}/table").create(("store",))
     queries = [
-        _ingest(spark, folder, "parquet", f"{folder}/out", "archive"),
-        _ingest(spark, folder, "versions", stored.root, "table"),
+        _ingest(spark, folder, "parquet", f"{folder}/out", kind="table", consumer="archive"),
+        _ingest(spark, folder, "versions", stored.root, kind="table", consumer="table"),
     ]
     for query in queries:
         quality.settle(query)
@@ -186,11 +196,11 @@ def two_consumers(spark, sf_dir):
 
 def quality_gate(spark, sf_dir):
     """Ingest what is there, then judge the table; raises if a rule does not hold."""
-    folder, events = workspace(pin(spark), "gate"), feed(spark, sf_dir)
+    folder, events = workspace(_ready(spark, sf_dir), "gate"), feed(spark, sf_dir)
     stored = VersionedTable(spark, f"{folder}/table").create(("store",))
-    _land(events.raw, f"{folder}/landing")
+    _land(events.raw, folder, "table")
     return quality.gated_run(
-        lambda: _ingest(spark, folder, "versions", stored.root),
+        lambda: _ingest(spark, folder, "versions", stored.root, kind="table"),
         lambda: events.complete(stored.current(), cleaned=True),
     )
 
@@ -200,7 +210,7 @@ def quality_gate(spark, sf_dir):
 
 def _stored(spark: SparkSession, sf_dir: str, parts: int, layout: tuple[str, ...] = ("store",)) -> tuple[VersionedTable, Callable[[int], int]]:
     """A new table, and a function that appends the part of the transactions with a given number."""
-    stored = VersionedTable(pin(spark), f"{workspace(spark, 'table')}/t").create(layout)
+    stored = VersionedTable(_ready(spark, sf_dir), f"{workspace(spark, 'table')}/t").create(layout)
 
     def append(part: int) -> int:
         orders = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % parts == part)

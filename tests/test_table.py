@@ -1,0 +1,282 @@
+"""The versioned table: appends, changes, time travel, layouts, crashes."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tillbook.operators.iceberg import IcebergTable
+from tillbook.operators.versions import CommitConflict, VersionedTable
+from tillbook.plans import reports, verification
+from tillbook.schema import CLEAN
+from tillbook.session import pin
+
+UTC = dt.timezone.utc
+DAY = dt.datetime(2026, 4, 9, 10, tzinfo=UTC)
+
+
+def sale(number, store="STORE-001", status="completed", when=DAY, total=1.0):
+    return (f"t{number}", store, "REG-01", when, total, 0.0, total, "cash", status, None, 1)
+
+
+def rows(spark, *sales):
+    return spark.createDataFrame(list(sales), CLEAN)
+
+
+def ids(frame):
+    return sorted(r["transaction_id"] for r in frame.select("transaction_id").collect())
+
+
+@pytest.fixture
+def stored(spark, folder):
+    return VersionedTable(pin(spark), f"{folder}/t").create()
+
+
+def test_create_twice_keeps_the_table(spark, stored):
+    stored.append(rows(spark, sale(1)))
+    VersionedTable(spark, stored.root).create(("store",))
+    assert ids(stored.current()) == ["t1"]
+    assert stored._require_head()["layout"] == ["day", "store"]
+
+
+def test_empty_table(stored):
+    assert stored.current().count() == 0
+    assert stored.snapshots().count() == 0
+    assert stored.first_snapshot() is None
+    assert stored.partitions().count() == 0
+    assert stored.total_records() == 0
+
+
+def test_no_table(spark, folder):
+    with pytest.raises(LookupError):
+        VersionedTable(spark, f"{folder}/none").delete_where("true")
+
+
+def test_odd_partition_values_survive(spark, stored):
+    odd = [
+        sale(1, store=""), sale(2, store="007"), sale(3, store=None), sale(4, when=None),
+        sale(5, store="a/b=c %"), sale(6, when=dt.datetime(1969, 12, 31, 23, 59, 59, 999999, tzinfo=UTC)),
+        sale(7, total=float("nan")),
+    ]
+    written = rows(spark, *odd)
+    stored.append(written)
+    stored.append(rows(spark))
+    key = F.col("transaction_id")
+    assert [tuple(map(str, r)) for r in stored.current().orderBy(key).collect()] == \
+        [tuple(map(str, r)) for r in written.orderBy(key).collect()]
+    assert stored.current().schema == CLEAN
+    assert stored.total_records() == 7
+
+
+def test_versions_never_change(spark, stored):
+    seen = {}
+    stored.append(rows(spark, sale(1), sale(2, status="refunded")))
+    seen[1] = ids(stored.as_of(1))
+    stored.append(rows(spark, sale(3, status=None)))
+    seen[2] = ids(stored.as_of(2))
+    stored.delete_where(verification.REFUNDED)
+    seen[3] = ids(stored.as_of(3))
+    stored.append(rows(spark, sale(4, status="refunded")))
+    seen[4] = ids(stored.as_of(4))
+    stored.update_where("payment_status = 'refunded'", {"payment_status": "'voided'"})
+    stored.rewrite()
+    stored.append(rows(spark, sale(5)))
+    assert seen == {1: ["t1", "t2"], 2: ["t1", "t2", "t3"], 3: ["t1", "t3"], 4: ["t1", "t3", "t4"]}
+    assert {v: ids(stored.as_of(v)) for v in seen} == seen
+    assert ids(stored.as_of(6)) == ids(stored.as_of(5)) == ["t1", "t3", "t4"]
+    assert ids(stored.current()) == ["t1", "t3", "t4", "t5"]
+    assert {r["payment_status"] for r in stored.current().collect()} == {"completed", None, "voided"}
+    listed = stored.snapshots().collect()
+    assert [(r["operation"], r["added_records"], r["deleted_records"], r["total_records"]) for r in listed] == [
+        ("append", 2, 0, 2), ("append", 1, 0, 3), ("delete", 0, 1, 2), ("append", 1, 0, 3),
+        ("update", 1, 1, 3), ("rewrite", 3, 3, 3), ("append", 1, 0, 4),
+    ]
+    times = [r["committed_at"] for r in listed]
+    assert times == sorted(set(times))
+    assert stored.first_snapshot() == 1
+
+
+def test_unknown_version(spark, stored):
+    with pytest.raises(LookupError):
+        stored.as_of(5)
+
+
+def test_update_reads_the_old_row(spark, stored):
+    stored.append(rows(spark, sale(1, total=3.0)))
+    stored.update_where("total = 3", {"total": "total + 1", "tax": "total", "item_count": "item_count + 1"})
+    row = stored.current().first()
+    assert (row["total"], row["tax"], row["item_count"]) == (4.0, 3.0, 2)
+
+
+@pytest.mark.parametrize("text", ["rand() > 0.5", "total > (SELECT 1)", "current_date() > DATE'2020-01-01'"])
+def test_only_row_expressions(spark, stored, text):
+    with pytest.raises(ValueError):
+        stored.delete_where(text)
+
+
+def test_words_in_literals_are_fine(spark, stored):
+    stored.append(rows(spark, sale(1, status="select now()")))
+    stored.delete_where("payment_status = 'select now()'")
+    assert stored.current().count() == 0
+
+
+def test_bad_changes_leave_no_trace(spark, stored):
+    stored.append(rows(spark, sale(1)))
+    with pytest.raises(AnalysisException):
+        stored.delete_where("no_such_column = 1")
+    with pytest.raises(ValueError):
+        stored.update_where("true", {"no_such_column": "1"})
+    with pytest.raises(AnalysisException):
+        stored.update_where("true", {"total": "no_such_column"})
+    assert stored._require_head()["snapshot_id"] == 1
+
+
+def test_a_crashed_write_is_invisible(spark, stored, monkeypatch):
+    stored.append(rows(spark, sale(1)))
+
+    def crash(*_, **__):
+        raise RuntimeError("power cut")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(VersionedTable, "_commit", crash)
+        with pytest.raises(RuntimeError):
+            stored.append(rows(spark, sale(2)))
+    assert ids(stored.current()) == ["t1"]
+    stored.append(rows(spark, sale(3)))
+    assert ids(stored.current()) == ["t1", "t3"]
+
+
+def test_a_second_writer_is_noticed(spark, stored):
+    stale = stored._require_head()
+    stored.append(rows(spark, sale(1)))
+    with pytest.raises(CommitConflict):
+        stored._write(stale, rows(spark, sale(2)), "append")
+    assert ids(stored.current()) == ["t1"]
+
+
+def test_a_batch_is_appended_once(spark, stored):
+    first = stored.append(rows(spark, sale(1)), query_id="q", batch_id=0)
+    assert stored.append(rows(spark, sale(1)), query_id="q", batch_id=0) == first
+    stored.append(rows(spark, sale(2)), query_id="other", batch_id=0)
+    assert ids(stored.current()) == ["t1", "t2"]
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def _span(stored, days):
+    start = dt.datetime(2026, 4, 9, tzinfo=UTC)
+    return stored.scan_between(start, start + dt.timedelta(days=days), ["STORE-001"])
+
+
+def test_range_scan_prunes_directories_and_versions(spark, stored):
+    for day in range(4):
+        when = DAY + dt.timedelta(days=day)
+        stored.append(rows(spark, sale(2 * day, when=when), sale(2 * day + 1, store="STORE-002", when=when)))
+    found = _span(stored, 2)
+    assert ids(found) == ["t0", "t2"]
+    plan = _plan(found)
+    assert "_p_day" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "_p_store" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "GreaterThanOrEqual(transaction_timestamp" in plan
+    assert len(found.inputFiles()) == 4  # two of the four versions are listed
+
+
+def test_range_scan_includes_odd_stores(spark, stored):
+    stored.append(rows(spark, sale(1, store=""), sale(2, store="007")))
+    start = dt.datetime(2026, 4, 9)
+    assert ids(stored.scan_between(start, start + dt.timedelta(days=1), ["", "007"])) == ["t1", "t2"]
+    assert ids(stored.scan_between(start, start + dt.timedelta(days=1))) == ["t1", "t2"]
+
+
+def test_range_scan_sees_moved_rows(spark, stored):
+    stored.append(rows(spark, sale(1, store="STORE-002"), sale(2, when=DAY + dt.timedelta(days=40))))
+    stored.update_where("transaction_id = 't1'", {"store_id": "'STORE-001'"})
+    stored.update_where("transaction_id = 't2'", {"transaction_timestamp": "TIMESTAMP'2026-04-09T11:00:00Z'"})
+    assert ids(_span(stored, 1)) == ["t1", "t2"]
+
+
+def test_days_are_utc_in_any_session(spark, folder):
+    late = dt.datetime(2026, 4, 9, 23, 30, tzinfo=UTC)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        stored = VersionedTable(spark, f"{folder}/t").create()
+        stored.append(rows(spark, sale(1, when=late)))
+        assert str(stored.partitions().first()["day"]) == "2026-04-09"
+    finally:
+        pin(spark)
+    assert ids(_span(stored, 1)) == ["t1"]
+
+
+def test_layout_change(spark, stored):
+    stored.append(rows(spark, sale(1)))
+    stored.set_layout(("month",))
+    stored.append(rows(spark, sale(2), sale(3, when=DAY + dt.timedelta(days=40))))
+    assert ids(stored.current()) == ["t1", "t2", "t3"]
+    assert ids(_span(stored, 1)) == ["t1", "t2"]
+    assert sorted((str(r["month"]), r["rows"], r["files"]) for r in stored.partitions().collect()) == [
+        ("2026-04-01", 1, 1), ("2026-05-01", 1, 1)
+    ]
+    with pytest.raises(ValueError):
+        stored.set_layout(("week",))
+
+
+def test_a_hot_directory_is_split(spark, folder):
+    """Two thirds of the rows belong to one day and store; no single task writes them all."""
+    pin(spark)
+    stored = VersionedTable(spark, f"{folder}/t").create()
+    base = spark.range(60_000).withColumn("id", F.col("id"))
+    many = rows(spark, sale(1)).drop("transaction_id").crossJoin(base).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"),
+        F.when(F.col("id") % 3 < 2, "STORE-001").otherwise(F.concat(F.lit("S"), (F.col("id") % 5).cast("string"))).alias("store_id"),
+        *CLEAN.fieldNames()[2:],
+    )
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "256KB")
+    try:
+        stored.append(many.repartition(16))
+    finally:
+        spark.conf.set(advisory, before)
+    files = {r["store"]: r["files"] for r in stored.partitions().collect()}
+    assert files["STORE-001"] > 2
+    assert stored.current().count() == stored.total_records() == 60_000
+
+
+def test_sql_names(spark, stored):
+    stored.append(rows(spark, sale(1)))
+    stored.append(rows(spark, sale(2)))
+    stored.register("sold")
+    stored.register("sold_first", stored.first_snapshot())
+    assert spark.sql("SELECT count(*) FROM sold").first()[0] == 2
+    assert spark.sql("SELECT count(*) FROM sold_first").first()[0] == 1
+    assert spark.sql("SELECT count(*) FROM sold_snapshots").first()[0] == 2
+
+
+def test_verification_sections(spark, stored):
+    stored.append(rows(spark, sale(1), sale(2, status="refunded")))
+    done = dict(verification.sections(stored))
+    assert done["first snapshot"] is None and done["delete refunded"] is None
+    stored.append(rows(spark, sale(3)))
+    done = dict(verification.sections(stored, delete=True))
+    assert ids(done["first snapshot"]) == ["t1", "t2"]
+    assert [tuple(r) for r in done["delete refunded"].collect()] == [("before", 1), ("after", 0)]
+    assert done["quality"].first()["row_count"] == 2
+    assert reports.row_count(stored.current()).first()["total_rows"] == stored.total_records()
+
+
+def test_iceberg_statements(spark):
+    table = IcebergTable(spark, "local.db.pos_transactions")
+    assert table.create_statement().endswith("USING iceberg PARTITIONED BY (days(transaction_timestamp), store_id)")
+    assert "item_count int" in table.create_statement()
+    assert "PARTITIONED" not in table.create_statement(())
+
+
+def test_one_scan_however_many_changes(spark, stored):
+    stored.append(rows(spark, sale(1)))
+    for n in range(5):
+        stored.delete_where(f"total = {n + 10}")
+    assert _plan(stored.current()).count("FileScan") == 1
+    assert stored.current().count() == 1

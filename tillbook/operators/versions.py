@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
@@ -24,6 +24,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from ..functions.times import day_of, instant, utc_day
 from ..schema import CLEAN
+from ..session import exists
 from . import layout as layouts
 
 _ENTRY = """
@@ -98,13 +99,9 @@ class VersionedTable:
         return self._require_head()["total_records"]
 
     def _head(self) -> Row | None:
-        try:
-            newest = self.log().select(F.max_by(F.struct("*"), "snapshot_id").alias("e")).first()["e"]
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, f"{self.root}/commits"):
             return None
-        return newest
+        return self.log().select(F.max_by(F.struct("*"), "snapshot_id").alias("newest")).first()["newest"]
 
     def _require_head(self) -> Row:
         head = self._head()
@@ -230,7 +227,7 @@ class VersionedTable:
         """
         entries = self._entries(version)
         assigned = {name for e in entries if e["operation"] == "update" for name in e["assignments"]}
-        first, last = day_of(since), day_of(until)
+        first, last = day_of(since), day_of(until - timedelta(microseconds=1))
         if "transaction_timestamp" in assigned:
             first = last = None
         else:

@@ -17,6 +17,10 @@ RUNTIME = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Beyond this many partitions the bookkeeping of a shuffle costs more than larger, spilling tasks.
+_MOST_PARTITIONS = 20_000
+_SHUFFLE_BYTES = 64 << 20
+
 
 def session_conf(table_format: str = "versions", warehouse: str | None = None, catalog: str = "local") -> dict[str, str]:
     """Settings for a session; ``iceberg`` adds the catalogue, whose jar must be on the class path."""
@@ -50,6 +54,17 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, folder: str) -> SparkSession:
+    """Start shuffles with a partition per 64 MB of input below ``folder``; AQE merges what turns out
+    small. A fixed number that suits a test would put hundreds of GB into one task at 100 TB."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(configured, size // _SHUFFLE_BYTES), max(configured, _MOST_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
+    return spark
+
+
 def workspace(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach.
 
@@ -62,3 +77,9 @@ def workspace(spark: SparkSession, label: str) -> str:
     if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix=f"{label}-")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import TOPIC
+from ..session import exists
 
 KINDS = ("kafka", "files", "table")
 STARTS = ("latest", "earliest")
@@ -62,14 +62,10 @@ def raw_source(
 def _first_start(spark: SparkSession, checkpoint: str) -> int:
     """Milliseconds of the first start with this checkpoint; written down on that start."""
     path = f"{checkpoint.rstrip('/')}.first_start"
-    try:
-        return spark.read.schema("millis bigint").json(path).first()["millis"]
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-    now = spark.range(1).select(F.unix_millis(F.current_timestamp()).alias("millis"))
-    now.write.mode("errorifexists").json(path)
-    return _first_start(spark, checkpoint)
+    if not exists(spark, path):
+        now = spark.range(1).select(F.unix_millis(F.current_timestamp()).alias("millis"))
+        now.write.mode("errorifexists").json(path)
+    return spark.read.schema("millis bigint").json(path).first()["millis"]
 
 
 def publish(raw: DataFrame, brokers: str, topic: str = TOPIC) -> None:

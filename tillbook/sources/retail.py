@@ -131,12 +131,12 @@ def _oversized_keys(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame |
     """
     counted = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
     heavy = counted.filter(F.col("lines") > limit).select(F.col("l_orderkey").alias("heavy_key"))
-    sample = heavy.limit(BROADCAST_KEYS + 1).collect()
-    if not sample:
+    found = heavy.count()
+    if not found:
         return None
-    if len(sample) > BROADCAST_KEYS:
+    if found > BROADCAST_KEYS:
         return heavy
-    return F.broadcast(spark.createDataFrame(sample, heavy.schema))
+    return F.broadcast(spark.createDataFrame(heavy.collect(), heavy.schema))
 
 
 def feed(spark: SparkSession, sf_dir: str, *extra: str, where: Column | None = None, limit: int = MESSAGE_LINES) -> Feed:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.codec import MODES, clean, judged, parse, rejects, sound
 from ..operators.versions import VersionedTable
+from ..session import exists
 
 SINKS = ("parquet", "versions", "iceberg")
 AVAILABLE_NOW = "availableNow"
@@ -79,10 +79,8 @@ def _quarantining(spark: SparkSession, root: str):
 
 def running_query(spark: SparkSession, checkpoint: str) -> StreamingQuery | None:
     """The active query of this session that uses the checkpoint, if any."""
-    try:
-        known = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = f"{checkpoint.rstrip('/')}/metadata"
+    if not exists(spark, path):
         return None
+    known = spark.read.schema("id string").json(path).first()
     return next((q for q in spark.streams.active if known and q.id == known["id"]), None)
