@@ -1,6 +1,7 @@
 """The versioned table: appends, changes, time travel, layouts, crashes."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -37,7 +38,7 @@ def test_create_twice_keeps_the_table(spark, stored):
     stored.append(rows(spark, sale(1)))
     VersionedTable(spark, stored.root).create(("store",))
     assert ids(stored.current()) == ["t1"]
-    assert stored._require_head()["layout"] == ["day", "store"]
+    assert stored._head()["layout"] == ["day", "store"]
 
 
 def test_empty_table(stored):
@@ -129,7 +130,7 @@ def test_bad_changes_leave_no_trace(spark, stored):
         stored.update_where("true", {"no_such_column": "1"})
     with pytest.raises(AnalysisException):
         stored.update_where("true", {"total": "no_such_column"})
-    assert stored._require_head()["snapshot_id"] == 1
+    assert stored._head()["snapshot_id"] == 1
 
 
 def test_a_crashed_write_is_invisible(spark, stored, monkeypatch):
@@ -147,8 +148,20 @@ def test_a_crashed_write_is_invisible(spark, stored, monkeypatch):
     assert ids(stored.current()) == ["t1", "t3"]
 
 
+def test_a_half_written_log_line_does_not_block_the_table(spark, folder):
+    stored = VersionedTable(pin(spark), f"{folder}/t")
+    for version in (0, 1):
+        os.makedirs(f"{stored.root}/commits/v={version}/_temporary/0")
+    with pytest.raises(LookupError):
+        stored.append(rows(spark, sale(1)))
+    stored.create()
+    assert stored.current().count() == 0
+    stored.append(rows(spark, sale(1)))
+    assert ids(stored.current()) == ["t1"]
+
+
 def test_a_second_writer_is_noticed(spark, stored):
-    stale = stored._require_head()
+    stale = stored._head()
     stored.append(rows(spark, sale(1)))
     with pytest.raises(CommitConflict):
         stored._write(stale, rows(spark, sale(2)), "append")
@@ -280,3 +293,22 @@ def test_one_scan_however_many_changes(spark, stored):
         stored.delete_where(f"total = {n + 10}")
     assert _plan(stored.current()).count("FileScan") == 1
     assert stored.current().count() == 1
+
+
+def test_rewriting_recent_versions_leaves_older_files(spark, stored):
+    stored.append(rows(spark, sale(1), sale(2, status="refunded")))
+    for n in range(3, 6):
+        stored.append(rows(spark, sale(n, status="refunded" if n == 4 else "completed")))
+    stored.delete_where(verification.REFUNDED)
+    before = {v: ids(stored.as_of(v)) for v in range(1, 6)}
+    old_files = {f for f in stored.as_of(1).inputFiles()}
+    stored.rewrite(since=1)
+    files = set(stored.current().inputFiles())
+    assert old_files < files and len(files) == 2
+    assert ids(stored.current()) == ["t1", "t3", "t5"]
+    stored.delete_where("transaction_id = 't3'")
+    assert ids(stored.current()) == ["t1", "t5"]
+    assert {v: ids(stored.as_of(v)) for v in range(1, 6)} == before
+    assert stored.total_records() == 2
+    stored.rewrite()
+    assert ids(stored.current()) == ["t1", "t5"] and len(stored.current().inputFiles()) == 1

@@ -13,10 +13,11 @@ folds them in. One writer at a time: the check on the log line is not a lock.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
@@ -31,9 +32,10 @@ _ENTRY = """
     snapshot_id BIGINT, parent_id BIGINT, committed_at TIMESTAMP, operation STRING,
     predicate STRING, assignments MAP<STRING, STRING>, query_id STRING, batch_id BIGINT,
     added_records BIGINT, deleted_records BIGINT, total_records BIGINT,
-    folder STRING, layout ARRAY<STRING>, first_day DATE, last_day DATE
+    folder STRING, layout ARRAY<STRING>, first_day DATE, last_day DATE, since BIGINT, committed_micros BIGINT
 """
 _STAMP = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _SNAPSHOTS = ("append", "delete", "update", "rewrite")
 _WITH_DATA = ("append", "rewrite")
 _ROW_CHANGES = ("delete", "update")
@@ -63,18 +65,20 @@ class VersionedTable:
     def create(self, layout: tuple[str, ...] = layouts.DEFAULT) -> VersionedTable:
         """Create the table if it does not exist; an existing one is left as it is."""
         layout = layouts.checked(layout)
-        if self._head() is None:
+        if self._entry(0) is None:
             self._commit(None, "create", layout=layout)
         return self
 
     def set_layout(self, layout: tuple[str, ...]) -> int:
         """Use another layout for rows appended from now on. Existing files stay as they are."""
-        return self._commit(self._require_head(), "layout", layout=layouts.checked(layout))
+        return self._commit(self._head(), "layout", layout=layouts.checked(layout))
 
     # -- log ----------------------------------------------------------------------------------
 
     def log(self, version: int | None = None) -> DataFrame:
         """Every log line up to ``version``."""
+        if not exists(self.spark, f"{self.root}/commits"):
+            raise LookupError(f"no table at {self.root}")
         entries = self.spark.read.schema(_ENTRY).options(**_STAMP).json(f"{self.root}/commits/v=*")
         return entries if version is None else entries.filter(F.col("snapshot_id") <= version)
 
@@ -96,18 +100,21 @@ class VersionedTable:
 
     def total_records(self) -> int:
         """Row count of the current snapshot, from the log alone."""
-        return self._require_head()["total_records"]
+        return self._head()["total_records"]
 
-    def _head(self) -> Row | None:
-        if not exists(self.spark, f"{self.root}/commits"):
+    def _entry(self, version: int) -> Row | None:
+        """One log line; None if it does not exist or its writer crashed before it was complete."""
+        path = f"{self.root}/commits/v={version}"
+        if not exists(self.spark, path):
             return None
-        return self.log().select(F.max_by(F.struct("*"), "snapshot_id").alias("newest")).first()["newest"]
+        return self.spark.read.schema(_ENTRY).options(**_STAMP).json(path).first()
 
-    def _require_head(self) -> Row:
-        head = self._head()
-        if head is None:
+    def _head(self) -> Row:
+        """The newest log line."""
+        newest = self.log().select(F.max_by(F.struct("*"), "snapshot_id").alias("e")).first()["e"]
+        if newest is None:
             raise LookupError(f"no table at {self.root}")
-        return head
+        return newest
 
     def _commit(self, parent: Row | None, operation: str, **entry) -> int:
         """Write the log line that makes the next version visible; return its number."""
@@ -122,18 +129,16 @@ class VersionedTable:
             "total_records": (parent["total_records"] if parent else 0) + added - deleted,
             "layout": list(parent["layout"]) if parent else None,
         } | entry
-        now = F.current_timestamp()
+        now = datetime.now(timezone.utc)
         if parent:  # strictly later than the parent even if the clock was set back
-            now = F.greatest(now, instant_after(parent["committed_at"]))
-        line = self.spark.range(1).select(
-            *(
-                now.alias(field.name) if field.name == "committed_at"
-                else _literal(values.get(field.name)).cast(field.dataType).alias(field.name)
-                for field in StructType.fromDDL(_ENTRY)
-            )
-        )
+            now = max(now, _EPOCH + timedelta(microseconds=parent["committed_micros"] + 1))
+        values["committed_at"] = now.isoformat(timespec="microseconds")
+        values["committed_micros"] = (now - _EPOCH) // timedelta(microseconds=1)
+        line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(values, default=str)).alias("value"))
+        path = f"{self.root}/commits/v={version}"
+        leftover = exists(self.spark, path) and self._entry(version) is None
         try:
-            line.coalesce(1).write.mode("errorifexists").options(**_STAMP).json(f"{self.root}/commits/v={version}")
+            line.write.mode("overwrite" if leftover else "errorifexists").text(path)
         except AnalysisException as taken:
             if taken.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
@@ -145,7 +150,7 @@ class VersionedTable:
     def append(self, rows: DataFrame, *, query_id: str | None = None, batch_id: int | None = None) -> int:
         """Append a batch as one version. A batch of a stream that the log already has is not
         written again, so a replay after a crash adds nothing."""
-        head = self._require_head()
+        head = self._head()
         if query_id is not None:
             done = self.log().filter((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)).first()
             if done:
@@ -174,8 +179,10 @@ class VersionedTable:
         if directories:  # the write sorts by directory anyway; the time makes row groups skippable
             rows = rows.sortWithinPartitions(*directories, "transaction_timestamp")
         rows.write.mode("errorifexists").partitionBy(*directories).parquet(f"{self.root}/data/{folder}")
-        replaced = {"deleted_records": head["total_records"]} if operation == "rewrite" else {}
-        return self._commit(head, operation, folder=folder, **replaced, **entry, **seen.get)
+        found = seen.get
+        if operation == "rewrite":
+            entry["deleted_records"] = found["added_records"]
+        return self._commit(head, operation, folder=folder, **entry, **found)
 
     def stream_writer(self, attempts: int = 3) -> Callable[[DataFrame, int], None]:
         """A ``foreachBatch`` function that appends each micro-batch exactly once.
@@ -196,7 +203,7 @@ class VersionedTable:
                         known["head"] = table._entry(version)
                     else:
                         table.append(batch, query_id=query_id, batch_id=batch_id)
-                        known["head"] = table._require_head()
+                        known["head"] = table._head()
                     return
                 except CommitConflict:
                     known.clear()
@@ -205,9 +212,6 @@ class VersionedTable:
 
         return write
 
-    def _entry(self, version: int) -> Row:
-        return self.spark.read.schema(_ENTRY).options(**_STAMP).json(f"{self.root}/commits/v={version}").first()
-
     # -- read ---------------------------------------------------------------------------------
 
     def current(self) -> DataFrame:
@@ -248,7 +252,7 @@ class VersionedTable:
         """Stored rows and files per directory of the current layout. Rows are counted as written:
         DELETE and UPDATE do not touch files before a rewrite."""
         entries = self._entries(version)
-        layout = entries[-1]["layout"] if entries else []
+        layout = entries[-1]["layout"]
         data = [e for e in entries if e["operation"] in _WITH_DATA and e["layout"] == layout]
         if not data:
             kinds = [StructField(n, layouts.DERIVED[n].kind) for n in layout]
@@ -267,13 +271,19 @@ class VersionedTable:
         self.snapshots().createOrReplaceTempView(f"{name}_snapshots")
         return rows
 
-    def _entries(self, version: int | None) -> list[Row]:
-        """Log lines that make up a snapshot, oldest first: those since the last rewrite."""
+    def _entries(self, version: int | None = None) -> list[Row]:
+        """Log lines that make up a snapshot, oldest first, without what a rewrite has replaced."""
         entries = self.log(version).orderBy("snapshot_id").collect()
         if not entries or (version is not None and entries[-1]["snapshot_id"] != version):
             raise LookupError(f"no version {version} of {self.root}")
-        rewrites = [i for i, e in enumerate(entries) if e["operation"] == "rewrite"]
-        return entries[rewrites[-1]:] if rewrites else entries
+        valid: list[Row] = []
+        for entry in entries:
+            if entry["operation"] == "rewrite":
+                valid = [e for e in valid if e["operation"] not in _WITH_DATA or e["snapshot_id"] <= entry["since"]]
+                if not any(e["operation"] in _WITH_DATA for e in valid):
+                    valid = []  # earlier changes have no rows left to act on
+            valid.append(entry)
+        return valid
 
     def _scan(self, layout: tuple[str, ...], folders: list[str]) -> DataFrame:
         """Stored rows of some folders that share a layout. The schema is always given: an empty batch
@@ -319,9 +329,9 @@ class VersionedTable:
     def delete_where(self, predicate: str) -> int:
         """Delete the rows for which the predicate is true; where it is NULL, the row stays."""
         _check_row_expression(predicate)
-        head = self._require_head()
-        n = self.as_of(head["snapshot_id"]).filter(_hits(predicate)).count()
-        return self._commit(head, "delete", predicate=predicate, deleted_records=n)
+        entries = self._entries()
+        n = self._rows(entries).filter(_hits(predicate)).count()
+        return self._commit(entries[-1], "delete", predicate=predicate, deleted_records=n)
 
     def update_where(self, predicate: str, assignments: dict[str, str]) -> int:
         """Set columns to SQL expressions over the old row where the predicate is true. The snapshot
@@ -331,37 +341,27 @@ class VersionedTable:
             raise ValueError(f"cannot assign {unknown or 'nothing'}")
         for text in (predicate, *assignments.values()):
             _check_row_expression(text)
-        head = self._require_head()
-        rows = self.as_of(head["snapshot_id"])
-        n = rows.filter(_hits(predicate)).select(*(F.expr(v).cast(self.schema[k].dataType) for k, v in assignments.items())).count()
+        entries = self._entries()
+        values = [F.expr(value).cast(self.schema[name].dataType) for name, value in assignments.items()]
+        n = self._rows(entries).filter(_hits(predicate)).select(*values).count()
         return self._commit(
-            head, "update", predicate=predicate, assignments=dict(assignments), added_records=n, deleted_records=n
+            entries[-1], "update", predicate=predicate, assignments=dict(assignments), added_records=n, deleted_records=n
         )
 
-    def rewrite(self) -> int:
-        """Write the current rows out as one version in the current layout. Later reads start there;
-        earlier snapshots stay readable."""
-        head = self._require_head()
-        return self._write(head, self.as_of(head["snapshot_id"]), "rewrite")
+    def rewrite(self, since: int = 0) -> int:
+        """Write the rows appended after version ``since`` out again as one version in the current
+        layout, with every change applied. Later reads open it instead; earlier snapshots stay readable.
+        A recent ``since`` merges the small folders of many micro-batches without touching the rest."""
+        entries = self._entries()
+        recent = [e for e in entries if e["operation"] not in _WITH_DATA or e["snapshot_id"] > since]
+        rows = self._rows(recent).select(*self.schema.fieldNames())
+        return self._write(entries[-1], rows, "rewrite", since=since)
 
 
 def _row_counts() -> list[StructField]:
     return [StructField("rows", LongType()), StructField("files", LongType())]
 
 
-def instant_after(moment: datetime) -> Column:
-    """One millisecond after a timestamp that Spark returned to Python."""
-    return F.lit(moment) + F.expr("INTERVAL '0.001' SECOND")
-
-
-def _literal(value) -> Column:
-    if isinstance(value, dict):
-        return F.create_map(*(F.lit(x) for pair in value.items() for x in pair))
-    if isinstance(value, (list, tuple)):
-        return F.array(*map(F.lit, value))
-    return F.lit(value)
-
-
 def _hits(predicate: str) -> Column:
     return F.coalesce(F.expr(predicate), F.lit(False))
 

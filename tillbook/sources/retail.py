@@ -160,9 +160,12 @@ def feed(spark: SparkSession, sf_dir: str, *extra: str, where: Column | None = N
 
 
 def _transactions(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Nested transactions; the items are sorted because line numbers are not unique."""
+    """Nested transactions; the items are sorted because line numbers are not unique.
+
+    Lists do not get smaller when they are combined before a shuffle, so the lines are moved first.
+    """
     item = F.struct("sku", "name", "category", "quantity", "unit_price")
-    baskets = lines.groupBy("l_orderkey").agg(
+    baskets = lines.repartition("l_orderkey").groupBy("l_orderkey").agg(
         F.sum(F.col("unit_cents") * F.col("quantity")).alias("cents"),
         F.array_sort(F.collect_list(item)).alias("basket"),
     )
