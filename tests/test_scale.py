@@ -82,9 +82,11 @@ def test_part_of_the_orders_reads_part_of_the_lines(spark, small):
     assert "l_orderkey" in [line for line in logical.splitlines() if "% 2) = 1" in line and "l_orderkey" in line][0]
 
 
-def test_latest_is_a_top_k(spark, small):
-    _, physical = plan(registry.queries()["latest_transactions"](spark, small))
+def test_latest_is_a_top_k_before_the_lines(spark, small):
+    logical, physical = plan(registry.queries()["latest_transactions"](spark, small))
     assert "TakeOrderedAndProject" in physical
+    assert physical.count("l_quantity") > 0 and "LeftSemi" in physical
+    assert sum("lineitem.parquet" in line for line in physical.splitlines()) == 1
 
 
 def test_shuffles_grow_with_the_input(spark, small, monkeypatch):

@@ -1,4 +1,4 @@
-"""Ingest sale events until stopped: ``spark-submit -m tillbook.jobs.ingest`` or ``python -m``."""
+"""Ingest sale events until stopped."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ def main(arguments: list[str] | None = None) -> None:
                        help="brokers, or the folder with events")
     known.add_argument("--topic", default=os.environ.get("KAFKA_TOPIC", TOPIC))
     known.add_argument("--start", choices=STARTS)
+    known.add_argument("--tolerate-loss", action="store_true", help="go on when events have vanished from the source")
     known.add_argument("--checkpoint", required=True, help="folder that all executors can reach")
     known.add_argument("--trigger", default="10 seconds", help="interval, or availableNow")
     known.add_argument("--mode", default="strict", help="strict or quarantine")
@@ -34,9 +35,11 @@ def main(arguments: list[str] | None = None) -> None:
         options.opened(spark, chosen).create()
         target = options.location(chosen)
     raw = raw_source(
-        spark, chosen.source, chosen.location, topic=chosen.topic, start=chosen.start, checkpoint=chosen.checkpoint
+        spark, chosen.source, chosen.location, topic=chosen.topic, start=chosen.start,
+        checkpoint=chosen.checkpoint, tolerate_loss=chosen.tolerate_loss,
     )
-    start_ingest(raw, chosen.sink, target, chosen.checkpoint, trigger=chosen.trigger, mode=chosen.mode).awaitTermination()
+    query = start_ingest(raw, chosen.sink, target, chosen.checkpoint, trigger=chosen.trigger, mode=chosen.mode)
+    query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -19,7 +19,7 @@ def raw_source(
     topic: str = TOPIC,
     start: str | None = None,
     checkpoint: str | None = None,
-    tolerate_loss: bool | None = None,
+    tolerate_loss: bool = False,
     max_files: int | None = None,
 ) -> DataFrame:
     """Open a stream of raw events.
@@ -27,9 +27,10 @@ def raw_source(
     ``kafka`` reads ``topic`` from the brokers in ``location``; its connector must be on the class path.
     ``files`` reads text files with one event per line, ``table`` reads Parquet files with a ``value`` column.
 
-    ``start="latest"`` skips what was there before the first start. Kafka does this itself and it is
-    its default, as is ``tolerate_loss``; for folders, the time of the first start is kept beside
-    ``checkpoint``, the default is to read everything, and a vanished file is an error.
+    ``start="latest"`` skips what was there before the first start. It is the default for Kafka, which
+    does it itself; a folder is read from the beginning by default, and for ``latest`` the time of the
+    first start is kept beside ``checkpoint``. Offsets or files that have vanished are an error unless
+    ``tolerate_loss`` is set.
     """
     if kind not in KINDS:
         raise ValueError(f"source kind must be one of {KINDS}, not {kind!r}")
@@ -41,7 +42,7 @@ def raw_source(
             .option("kafka.bootstrap.servers", location)
             .option("subscribe", topic)
             .option("startingOffsets", start or "latest")
-            .option("failOnDataLoss", "true" if tolerate_loss is False else "false")
+            .option("failOnDataLoss", "false" if tolerate_loss else "true")
         )
         return reader.load().select("value")
 

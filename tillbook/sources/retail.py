@@ -94,11 +94,19 @@ def _amounts(subtotal: Column) -> dict[str, Column]:
     }
 
 
-def sales(spark: SparkSession, sf_dir: str, *extra: str, orders: DataFrame | None = None) -> DataFrame:
+def sales(
+    spark: SparkSession, sf_dir: str, *extra: str, orders: DataFrame | None = None, few: bool = False
+) -> DataFrame:
     """The flat transactions of every status, without a detour through JSON. ``extra`` keeps columns
-    of the order or of its line sums; ``orders`` replaces the order table, e.g. by a part of it."""
-    orders = table(spark, sf_dir, "orders") if orders is None else orders
-    sums = _sums(_lines(spark, sf_dir))
+    of the order or of its line sums; ``orders`` replaces the order table, e.g. by a part of it. With
+    ``few``, which the caller must be sure of, other orders' lines are dropped before the shuffle."""
+    lines = _lines(spark, sf_dir)
+    if orders is None:
+        orders = table(spark, sf_dir, "orders")
+    elif few:
+        keys = orders.select(F.col("o_orderkey").alias("few_key")).distinct()
+        lines = lines.join(F.broadcast(keys), F.col("l_orderkey") == F.col("few_key"), "left_semi")
+    sums = _sums(lines)
     joined = orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     columns = _header() | _amounts(_subtotal()) | {
         "transaction_timestamp": _moment().cast("timestamp"),
