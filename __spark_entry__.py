@@ -41,10 +41,10 @@ def _clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(sales(_ready(spark, sf_dir), sf_dir))
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables to JSON events and back to flat rows."""
+def _parsed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Tables to JSON events and back to flat rows, or to some of their columns."""
     events = feed(_ready(spark, sf_dir), sf_dir)
-    return events.complete(parse(events.raw))
+    return events.complete(parse(events.raw, columns=columns or None))
 
 
 def _naive(rows: DataFrame) -> DataFrame:
@@ -64,11 +64,11 @@ def clean_filter(spark, sf_dir):
 
 
 def item_count(spark, sf_dir):
-    return _parsed(spark, sf_dir).select("transaction_id", "item_count")
+    return _parsed(spark, sf_dir, "transaction_id", "item_count")
 
 
 def events_to_revenue(spark, sf_dir):
-    return reports.revenue_by_store(clean(_parsed(spark, sf_dir)))
+    return reports.revenue_by_store(clean(_parsed(spark, sf_dir, "store_id", "total", "payment_status")))
 
 
 def basket_totals(spark, sf_dir):
@@ -141,7 +141,7 @@ def _land(raw: DataFrame, folder: str, kind: str = "files") -> None:
 
 
 def _ingest(spark: SparkSession, folder: str, sink: str, target: str, *, kind: str = "files", consumer: str = "ingest"):
-    raw = raw_source(spark, kind, f"{folder}/landing", max_files=_BATCH_FILES)
+    raw = raw_source(spark, kind, f"{folder}/landing", per_batch=_BATCH_FILES)
     return start_ingest(raw, sink, target, f"{folder}/{consumer}.checkpoint", trigger=AVAILABLE_NOW)
 
 

@@ -142,7 +142,7 @@ _ELEMENT = st.dictionaries(st.sampled_from(ITEM.fieldNames() + ["other"]), _SCAL
 _ITEMS = st.lists(_ELEMENT | _SCALAR | st.lists(_SCALAR, max_size=2), max_size=4) | _ELEMENT | _SCALAR
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(_ITEMS, min_size=20, max_size=60))
 def test_counting_items_needs_no_full_parse(spark, many):
     """The short item schema gives the same row as the full one, whatever is in the items."""
@@ -156,6 +156,13 @@ def test_counting_items_needs_no_full_parse(spark, many):
     assert brief == full
 
 
+@pytest.mark.parametrize("columns", [("store_id", "total", "payment_status"), ("item_count",), ("transaction_id", "tax", "payment_status")])
+def test_parsing_some_columns_gives_the_same_values(spark, columns):
+    texts = [*DROPPED.values(), *(text for text, _ in KEPT.values()), payload(total=1e300), payload(tax=[1], items=[5])]
+    events = raw(pin(spark), *texts)
+    assert parse(events, columns=columns).collect() == parse(events).select(*columns).collect()
+
+
 def test_text_of_a_kept_row_is_parsed_once(spark):
     plan = clean(parse(raw(spark, payload())))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1

@@ -64,7 +64,7 @@ def test_one_version_per_micro_batch(spark, folder, stored):
     for n in range(3):
         arrive(folder, f"f{n}", one(n))
         os.utime(f"{folder}/landing/f{n}", (n + 1000, n + 1000))
-    run(spark, folder, max_files=1)
+    run(spark, folder, per_batch=1)
     assert [(r["operation"], r["total_records"]) for r in stored.snapshots().collect()] == [("append", n) for n in (1, 2, 3)]
     assert ids(stored.as_of(2)) == ["t0", "t1"]
 

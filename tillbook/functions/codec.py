@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schema import CLEAN, ITEM, ITEM_PRESENCE, KEPT_STATUSES, TRANSACTION, transaction
@@ -11,6 +11,9 @@ from .money import as_money
 _CORRUPT = "_corrupt_record"
 MODES = ("strict", "quarantine")
 
+# Flat columns made from a payload field of another name.
+_SOURCE = {"transaction_timestamp": "timestamp", "item_count": "items"}
+
 
 def encode(transactions: DataFrame) -> DataFrame:
     """Nested transactions to raw events: one ``value BINARY`` column of UTF-8 JSON, NULLs written out."""
@@ -19,13 +22,22 @@ def encode(transactions: DataFrame) -> DataFrame:
     return transactions.select(text.cast("binary").alias("value"))
 
 
-def unpack(raw: DataFrame, item: StructType = ITEM, keep: tuple[str, ...] = (), corrupt: bool = False) -> DataFrame:
+def unpack(
+    raw: DataFrame,
+    item: StructType = ITEM,
+    keep: tuple[str, ...] = (),
+    corrupt: bool = False,
+    fields: tuple[str, ...] | None = None,
+) -> DataFrame:
     """One row per event with the payload's fields as columns; all NULL when the text is no object.
 
     ``inline`` over a one-element array instead of ``select("d.*")``: a later filter cannot be pushed
-    below it, so the text of a kept row is parsed once and not once more for the filter.
+    below it, so the text of a kept row is parsed once and not once more for the filter. Columns are not
+    pruned through it either; ``fields`` names the ones to parse.
     """
     schema = transaction(item)
+    if fields is not None:
+        schema = StructType([field for field in schema if field.name in fields])
     options = {}
     if corrupt:
         schema = StructType([*schema.fields, StructField(_CORRUPT, StringType(), True)])
@@ -34,22 +46,19 @@ def unpack(raw: DataFrame, item: StructType = ITEM, keep: tuple[str, ...] = (),
     return raw.select(*keep, F.inline(F.array(parsed)))
 
 
-def _flat(events: DataFrame, when: Column) -> DataFrame:
-    """Rename and cast the timestamp, count the items; other columns pass through."""
-    return events.withColumns({"transaction_timestamp": when, "item_count": F.size("items")}).drop("timestamp", "items")
-
-
-def parse(raw: DataFrame, mode: str = "strict") -> DataFrame:
-    """Raw events to the eleven flat columns, before the status filter.
+def parse(raw: DataFrame, mode: str = "strict", columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Raw events to the eleven flat columns, or some of them, before the status filter.
 
     ``strict`` casts the timestamp, so a malformed one on a kept row fails the job. ``quarantine``
     leaves such rows out here; ``rejects`` returns them.
     """
+    columns = tuple(CLEAN.fieldNames()) if columns is None else columns
     if mode == "strict":
-        events = unpack(raw, ITEM_PRESENCE)
-        return _flat(events, F.col("timestamp").cast("timestamp")).select(*CLEAN.fieldNames())
+        events = unpack(raw, ITEM_PRESENCE, fields=tuple(_SOURCE.get(name, name) for name in columns))
+        derived = {"transaction_timestamp": F.col("timestamp").cast("timestamp"), "item_count": F.size("items")}
+        return events.select(*(derived.get(name, F.col(name)).alias(name) for name in columns))
     if mode == "quarantine":
-        return sound(judged(raw))
+        return sound(judged(raw)).select(*columns)
     raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 
@@ -59,15 +68,17 @@ def judged(raw: DataFrame) -> DataFrame:
     The corrupt-record column catches malformed text and wrongly typed fields but not a timestamp
     string that is no timestamp; that one needs its own test.
     """
-    events = unpack(raw, keep=("value",), corrupt=True).withColumn("text", F.col("timestamp"))
-    flat = _flat(events, F.col("timestamp").try_cast("timestamp"))
+    events = unpack(raw, keep=("value",), corrupt=True)
+    flat = events.withColumns(
+        {"transaction_timestamp": F.col("timestamp").try_cast("timestamp"), "item_count": F.size("items")}
+    )
     bad_amount = F.lit(False)
     for name in ("subtotal", "tax", "total"):
         bad_amount = bad_amount | (F.col(name).isNotNull() & as_money(F.col(name)).isNull())
     reason = (
         F.when(F.col("value").isNull() | (F.length("value") == 0), "empty")
         .when(F.col(_CORRUPT).isNotNull(), "malformed")
-        .when(F.col("text").isNotNull() & F.col("transaction_timestamp").isNull(), "timestamp")
+        .when(F.col("timestamp").isNotNull() & F.col("transaction_timestamp").isNull(), "timestamp")
         .when(bad_amount, "amount")
     )
     return flat.withColumn("reason", reason).select(*CLEAN.fieldNames(), "value", "reason")

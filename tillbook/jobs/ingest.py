@@ -21,6 +21,7 @@ def main(arguments: list[str] | None = None) -> None:
     known.add_argument("--tolerate-loss", action="store_true", help="go on when events have vanished from the source")
     known.add_argument("--checkpoint", required=True, help="folder that all executors can reach")
     known.add_argument("--trigger", default="10 seconds", help="interval, or availableNow")
+    known.add_argument("--per-batch", type=int, help="most events (kafka) or files of a micro-batch")
     known.add_argument("--mode", default="strict", help="strict or quarantine")
     chosen = known.parse_args(arguments)
     if chosen.sink not in SINKS:  # argparse does not check a default from the environment
@@ -36,7 +37,7 @@ def main(arguments: list[str] | None = None) -> None:
         target = options.location(chosen)
     raw = raw_source(
         spark, chosen.source, chosen.location, topic=chosen.topic, start=chosen.start,
-        checkpoint=chosen.checkpoint, tolerate_loss=chosen.tolerate_loss,
+        checkpoint=chosen.checkpoint, tolerate_loss=chosen.tolerate_loss, per_batch=chosen.per_batch,
     )
     query = start_ingest(raw, chosen.sink, target, chosen.checkpoint, trigger=chosen.trigger, mode=chosen.mode)
     query.awaitTermination()

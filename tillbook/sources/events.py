@@ -20,7 +20,7 @@ def raw_source(
     start: str | None = None,
     checkpoint: str | None = None,
     tolerate_loss: bool = False,
-    max_files: int | None = None,
+    per_batch: int | None = None,
 ) -> DataFrame:
     """Open a stream of raw events.
 
@@ -30,7 +30,8 @@ def raw_source(
     ``start="latest"`` skips what was there before the first start. It is the default for Kafka, which
     does it itself; a folder is read from the beginning by default, and for ``latest`` the time of the
     first start is kept beside ``checkpoint``. Offsets or files that have vanished are an error unless
-    ``tolerate_loss`` is set.
+    ``tolerate_loss`` is set. ``per_batch`` bounds a micro-batch to so many events of Kafka, or files of
+    a folder.
     """
     if kind not in KINDS:
         raise ValueError(f"source kind must be one of {KINDS}, not {kind!r}")
@@ -44,11 +45,13 @@ def raw_source(
             .option("startingOffsets", start or "latest")
             .option("failOnDataLoss", "false" if tolerate_loss else "true")
         )
+        if per_batch:
+            reader = reader.option("maxOffsetsPerTrigger", per_batch)
         return reader.load().select("value")
 
     reader = spark.readStream.option("ignoreMissingFiles", "true" if tolerate_loss else "false")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    if per_batch:
+        reader = reader.option("maxFilesPerTrigger", per_batch)
     if kind == "files":
         found = reader.format("text").schema("value string").load(location)
     else:
