@@ -224,3 +224,39 @@ def test_a_hot_store_is_split_in_a_micro_batch(spark, folder):
         spark.conf.set(advisory, before)
     assert stored.total_records() == 40_000
     assert stored.partitions().first()["files"] > 2
+
+
+class Recorder:
+    """Stands in for a session whose Kafka connector is missing: notes the options of the reader."""
+
+    def __init__(self):
+        self.options = {}
+        self.readStream = self
+
+    def format(self, name):
+        self.options["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        return self
+
+    def select(self, *columns):
+        self.options["columns"] = columns
+        return self
+
+
+@pytest.mark.parametrize("arguments, expected", [
+    ({}, {"startingOffsets": "latest", "failOnDataLoss": "true", "subscribe": "raw_pos_transactions"}),
+    ({"start": "earliest", "tolerate_loss": True, "topic": "t", "per_batch": 9},
+     {"startingOffsets": "earliest", "failOnDataLoss": "false", "subscribe": "t", "maxOffsetsPerTrigger": 9}),
+])
+def test_kafka_options(arguments, expected):
+    recorder = Recorder()
+    raw_source(recorder, "kafka", "broker:9092", **arguments)
+    assert recorder.options == {
+        "format": "kafka", "kafka.bootstrap.servers": "broker:9092", "columns": ("value",), **expected
+    }

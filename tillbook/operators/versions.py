@@ -273,7 +273,7 @@ class VersionedTable:
 
     def _entries(self, version: int | None = None) -> list[Row]:
         """Log lines that make up a snapshot, oldest first, without what a rewrite has replaced."""
-        entries = self.log(version).orderBy("snapshot_id").collect()
+        entries = sorted(self.log(version).collect(), key=lambda entry: entry["snapshot_id"])
         if not entries or (version is not None and entries[-1]["snapshot_id"] != version):
             raise LookupError(f"no version {version} of {self.root}")
         valid: list[Row] = []
