@@ -99,6 +99,18 @@ def test_shuffles_grow_with_the_input(spark, small, monkeypatch):
     spark.conf.unset(key)
 
 
+def test_splits_grow_with_very_large_input(spark, small, monkeypatch):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    session.size_shuffles(spark, small)
+    assert spark.conf.get(key) == before
+    monkeypatch.setattr(session, "_MOST_SPLITS", 2)
+    monkeypatch.setattr(session, "_SPLIT_BYTES", 100)
+    session.size_shuffles(spark, small)
+    assert spark.conf.get(key) != before and int(spark.conf.get(key)) < 1 << 30
+    spark.conf.unset(key)
+
+
 class Conf(dict):
     def get(self, key, default=None):
         return super().get(key, default)

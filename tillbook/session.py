@@ -20,6 +20,9 @@ RUNTIME = {
 # Beyond this many partitions the bookkeeping of a shuffle costs more than larger, spilling tasks.
 _MOST_PARTITIONS = 20_000
 _SHUFFLE_BYTES = 64 << 20
+_MOST_SPLITS = 200_000
+_SPLIT_BYTES = 128 << 20
+_LARGEST_SPLIT = 1 << 30
 
 
 def session_conf(table_format: str = "versions", warehouse: str | None = None, catalog: str = "local") -> dict[str, str]:
@@ -56,12 +59,15 @@ def pin(spark: SparkSession) -> SparkSession:
 
 def size_shuffles(spark: SparkSession, folder: str) -> SparkSession:
     """Start shuffles with a partition per 64 MB of input below ``folder``; AQE merges what turns out
-    small. A fixed number that suits a test would put hundreds of GB into one task at 100 TB."""
+    small. A fixed number that suits a test would put hundreds of GB into one task at 100 TB. Scans of
+    very large folders get larger splits, as a shuffle has a block per scan task and partition."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(max(configured, size // _SHUFFLE_BYTES), max(configured, _MOST_PARTITIONS))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
+    if size > _MOST_SPLITS * _SPLIT_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", min(size // _MOST_SPLITS, _LARGEST_SPLIT))
     return spark
 
 
