@@ -20,6 +20,14 @@ from tillbook.sources.events import raw_source  # noqa: E402
 from tillbook.sources.retail import Feed, feed, sales, table  # noqa: E402
 from tillbook.streaming.ingest import AVAILABLE_NOW, start_ingest  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from tillbook.llm import registry as llm  # noqa: E402
+except ModuleNotFoundError as missing:  # only the folder itself may be absent
+    if missing.name not in ("corpus_pipeline", "tillbook.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _RANGE = (datetime(1996, 3, 10), datetime(1997, 6, 20))
@@ -323,7 +331,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: query for query in _QUERIES}
+    own = {query.__name__: query for query in _QUERIES}
+    return own if llm is None else own | llm.queries() | {"pipeline": corpus_pipeline.run}
 
 
 # -- the same in SQL ---------------------------------------------------------------------------
@@ -375,6 +384,13 @@ _DELETED = """SELECT transaction_id, total, payment_status FROM clean
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return _own_sql()
+    more = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return _own_sql() | llm.oracle_sql() | more
+
+
+def _own_sql() -> dict[str, str]:
     clean_rows = _SALES + f"SELECT {_FLAT} FROM clean"
     brief = _SALES + "SELECT transaction_id, total, payment_status FROM clean"
     return {
