@@ -8,9 +8,11 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tillbook
+from tillbook.llm import ann, bpe, chat, langid, packing, substring, topk
 from tillbook.llm.common import load
 from tillbook.llm.near_dup import near_duplicates
 
@@ -35,7 +37,45 @@ def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(ship(spark), sf_dir, "documents"))
 
 
-_QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [op1_near_dup]
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = load(ship(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(tricky).alias("text"))
+        for k, role in enumerate(("user", "assistant"))
+    ])).alias("x")).select("x.*")
+    return chat.digest(chat.formatted(said.unionByName(extra)))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(load(ship(spark), sf_dir, "documents"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(load(ship(spark), sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(packing.pieces(load(ship(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load(ship(spark), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(load(ship(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(load(ship(spark), sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+_QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op1_near_dup, op2_chat_format, op3_language_id, op4_substring_dedup, op5_packing, op6_ann, op7_bpe, op10_topk,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -43,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat_format": chat.ORACLE, "op4_substring_dedup": substring.ORACLE, "op10_topk": topk.ORACLE}
