@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillbook.llm import langid, packing, substring
 from tillbook.llm.common import load, save
 from tillbook.llm.near_dup import near_duplicates
 from tillbook.llm.registry import ship
@@ -11,14 +13,45 @@ from tillbook.llm.registry import ship
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language was found; texts that are null or have no letter go."""
+    learn_from = F.coalesce(langid.crc32(F.col("doc_id")) % 4 != 2, F.lit(False))
+    found = langid.identify(docs, learn_from, carry=["text", "lang", "source", "n_chars"])
+    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(COLUMNS)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies stays."""
-    found = near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(found.distinct(), "doc_id", "left_semi").select(COLUMNS)
+    """The document with the smallest id of each group of near copies stays; rows without an id stay."""
+    dropped = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(COLUMNS)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 20 words and more stay where they are first; documents with nothing left go.
+
+    A document without such a passage keeps its text as it is.
+    """
+    found = substring.strip_repeats(docs, carry=["text", "lang", "source", "n_chars"])
+    left = found.filter((F.col("n_removed") == 0) | (F.col("kept") != ""))
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
+    n_chars = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.char_length("kept").cast("long"))
+    return left.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 1024 tokens: where each piece of each document lies."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(packing.pieces(docs, path, public_tokenizers.PATTERN))
 
 
-STAGES = [("near_dedup", one_of_each_group)]
+STAGES = [
+    ("language_id", in_a_language),
+    ("near_dedup", one_of_each_group),
+    ("substring_dedup", without_repeats),
+    ("packing", packed),
+]
 
+# Language identification and near-duplicates by signatures have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

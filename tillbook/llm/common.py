@@ -126,6 +126,19 @@ def grouped(records: Iterator[tuple], weight, limit: int) -> Iterator[list[tuple
         yield held
 
 
+def carried(frame: DataFrame, columns: list[str]) -> list:
+    """Columns that only travel along, under names that nothing else has."""
+    return [F.col(name).alias(f"_carry_{k}") for k, name in enumerate(columns)]
+
+
+def carry_schema(frame: DataFrame, columns: list[str]) -> str:
+    return "".join(f", _carry_{k} {frame.schema[name].dataType.simpleString()}" for k, name in enumerate(columns))
+
+
+def uncarried(columns: list[str]) -> list:
+    return [F.col(f"_carry_{k}").alias(name) for k, name in enumerate(columns)]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge (u, v); the component is its smallest node.
 

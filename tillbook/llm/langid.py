@@ -18,10 +18,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import grouped, mix, rows
+from tillbook.llm.common import carried, carry_schema, grouped, mix, rows, save, uncarried
 
 LEAST = 2e-6  # least relative frequency of a gram in its language
 SHARE = 0.5  # of its highest relative frequency in any language
@@ -106,7 +107,7 @@ class Model:
 def fit(documents: DataFrame) -> Model:
     """Learn from all rows of (lang, text); null languages and texts teach nothing."""
     source = documents.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.col("text").cast("binary").alias("text"))
-    counted = source.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = save(source.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     sizes = {row.lang: row.total for row in totals.collect()}
     if not sizes:
@@ -153,40 +154,64 @@ def shares(texts: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for part in grouped(rows(batches), lambda r: len(r[1] or b""), _BLOCK_BYTES):
-        texts = [text or b"" for _, text in part]
-        letters = [bool(_LETTER.search(text.decode())) for text in texts]
-        named, score = [UNKNOWN] * len(part), [0.0] * len(part)
-        if model.languages:
-            value, total = shares(texts, model)
-            for k, best in enumerate(value.argmax(axis=1)):
-                if letters[k]:
-                    sure = value[k, best] > 0
-                    named[k] = model.languages[best] if sure else model.default
-                    score[k] = float(value[k, best] / value[k].sum()) if sure else 0.0
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": pa.array([r[0] for r in part], pa.int64()), "lang_pred": pa.array(named, pa.string()), "score": pa.array(score, pa.float64()),
-        })
+    """Batches of (doc_id, text, more...) become (doc_id, more..., lang_pred, score)."""
+    for batch in batches:
+        for part in _slices(batch):
+            named, score = _decide([r[0] or b"" for r in rows(iter([part.select(["text"])]))], model)
+            kept = part.drop_columns(["text"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(named, pa.string()), pa.array(score, pa.float64())], [*kept.schema.names, "lang_pred", "score"])
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with a bounded amount of text each; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy()
+    first = total = 0
+    for k, size in enumerate(sizes):
+        if k > first and total + size > _BLOCK_BYTES:
+            yield batch.slice(first, k - first)
+            first, total = k, 0
+        total += size
+    if len(sizes) > first:
+        yield batch.slice(first)
+
+
+def _decide(texts: list[bytes], model: Model) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    letters = [bool(_LETTER.search(text.decode())) for text in texts]
+    named, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    if model.languages:
+        value, total = shares(texts, model)
+        for k, best in enumerate(value.argmax(axis=1)):
+            if letters[k]:
+                sure = value[k, best] > 0
+                named[k] = model.languages[best] if sure else model.default
+                score[k] = float(value[k, best] / value[k].sum()) if sure else 0.0
+    return named, score
 
 
 def crc32(number: Column) -> Column:
     return F.crc32(number.cast("string").cast("binary"))
 
 
-def identify(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def identify(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: list[str] | None = None) -> DataFrame:
     """doc_id, lang_pred and score, a row for each row.
 
     ``learn_from`` tells the labelled rows to learn from. Null texts and texts without a letter are ``und``
     with score 0. A text whose grams are all unknown gets the most frequent language with score 0; without
-    any labelled row all are ``und``. Ties go to the language that sorts first. Other columns are ignored.
+    any labelled row all are ``und``. Ties go to the language that sorts first. Of other columns those named
+    in ``carry`` are returned too.
     """
+    carry = carry or []
     source = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"), learn_from.alias("use"),
+        *carried(documents, carry),
     )
     model = fit(source.filter("use").select("lang", "text"))
-    texts = source.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(partial(_predict, model=model), "doc_id long, lang_pred string, score double")
+    along = [f"_carry_{k}" for k in range(len(carry))]
+    texts = source.select("doc_id", F.col("text").cast("binary").alias("text"), *along)
+    schema = f"doc_id long{carry_schema(documents, carry)}, lang_pred string, score double"
+    return texts.mapInArrow(partial(_predict, model=model), schema).select("doc_id", "lang_pred", "score", *uncarried(carry))
 
 
 def predictions(documents: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tillbook
-from tillbook.llm import ann, bpe, chat, langid, packing, substring, topk
+from tillbook.llm import ann, bpe, chat, html, langid, lm, packing, substring, topk
 from tillbook.llm.common import load
 from tillbook.llm.near_dup import near_duplicates
 
@@ -52,7 +52,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.digest(load(ship(spark), sf_dir, "documents"))
+    return substring.digests(load(ship(spark), sf_dir, "documents"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,12 +69,21 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load(ship(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(load(ship(spark), sf_dir, "documents"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(load(ship(spark), sf_dir, "pages"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(load(ship(spark), sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    op1_near_dup, op2_chat_format, op3_language_id, op4_substring_dedup, op5_packing, op6_ann, op7_bpe, op10_topk,
+    op1_near_dup, op2_chat_format, op3_language_id, op4_substring_dedup, op5_packing, op6_ann, op7_bpe,
+    op8_lm_score, op9_html_text, op10_topk,
 ]
 
 

@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import grouped, mix, rows, runs, save, word_hashes
+from tillbook.llm.common import carried, carry_schema, grouped, mix, rows, runs, save, uncarried, word_hashes
 
 WINDOW = 20
 SEED = 5
@@ -30,7 +31,6 @@ _BLOCK_BYTES = 1 << 21
 _LAST_ID = (1 << 63) - 1  # rows without an id count as later than all others
 _BASE = 0xC2B2AE3D27D4EB4F
 _COPY, _LOOK_UP = 0, 1
-_FOUND = "kind int, s long, doc_id long, version int, start long, n int"
 _KEYED = "kind int, s long, e long, doc_id long, version int, start long, n int"
 
 
@@ -196,35 +196,31 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(np.where(fresh, _LOOK_UP, _COPY), s[each], e, doc_id, version, at, np.ones(len(at)))
 
 
-def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in grouped(rows(batches), lambda r: len(r[1] or b""), _BLOCK_BYTES):
-        ids, counts, removed, kept = [], [], [], []
-        for doc_id, text, spans in part:
+def _strip(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.RecordBatch]:
+    """Batches of (doc_id, text, spans, more...) become (doc_id, more..., n_words, n_removed, kept or its digest)."""
+    for batch in batches:
+        counts, removed, kept = [], [], []
+        for text, spans in rows(iter([batch.select(["text", "spans"])])):
             tokens = (text or b"").split()  # at space and 0x09-0x0D
+            gone = 0
+            left = tokens
             if spans:
                 change = np.zeros(len(tokens) + 1, np.int32)
                 starts = np.fromiter((x["start"] for x in spans), np.int64, len(spans))
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + np.fromiter((x["n"] for x in spans), np.int64, len(spans)) + WINDOW - 1, -1)
-                gone = np.cumsum(change[:-1]) > 0
-                removed.append(int(gone.sum()))
-                left = [token for token, out in zip(tokens, gone.tolist()) if not out]
-            else:
-                removed.append(0)
-                left = tokens
-            ids.append(doc_id)
+                out = np.cumsum(change[:-1]) > 0
+                gone = int(out.sum())
+                left = [token for token, drop in zip(tokens, out.tolist()) if not drop]
             counts.append(len(tokens))
-            kept.append(b" ".join(left))
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(counts, pa.int64()),
-            "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.binary()),
-        })
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _strip(batches):
-        marks = [hashlib.sha256(kept.as_py()).hexdigest() for kept in batch["kept"]]
-        yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "n_words", "n_removed")), pa.array(marks, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+            removed.append(gone)
+            joined = b" ".join(left)
+            kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode())
+        along = batch.drop_columns(["text", "spans"])
+        yield pa.RecordBatch.from_arrays(
+            [*along.columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+            [*along.schema.names, "n_words", "n_removed", "kept"],
+        )
 
 
 def _version(text: Column) -> Column:
@@ -244,27 +240,27 @@ def _spans(source: DataFrame) -> DataFrame:
     return copied.groupBy(F.col("doc_id").alias("order_id"), "version").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
-def _with_spans(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    source = source.withColumn("version", F.coalesce(_version(F.col("text")), F.lit(0)))
-    source = source.withColumn("order_id", F.coalesce("doc_id", F.lit(_LAST_ID)))
-    return source.join(_spans(source), ["order_id", "version"], "left").select("doc_id", "text", "spans")
-
-
-def strip_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def strip_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, digest: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the remaining words joined by one space), a row for each row.
 
     A word goes if a window of 20 words that covers it also starts earlier: in a smaller doc_id or before in
     the same one. Null texts have no words. Rows without an id count as later than all others; rows that
-    share an id are versions of one document. Other columns are ignored.
+    share an id are versions of one document. With ``digest``, kept is the SHA-256 of the words instead. Of
+    other columns those named in ``carry`` are returned too.
     """
-    out = _with_spans(documents, id_col, text_col).mapInArrow(_strip, "doc_id long, n_words long, n_removed long, kept binary")
-    return out.withColumn("kept", F.col("kept").cast("string"))
+    carry = carry or []
+    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *carried(documents, carry))
+    source = source.withColumn("version", F.coalesce(_version(F.col("text")), F.lit(0)))
+    source = source.withColumn("order_id", F.coalesce("doc_id", F.lit(_LAST_ID)))
+    found = source.join(_spans(source), ["order_id", "version"], "left").drop("order_id", "version")
+    schema = f"doc_id long{carry_schema(documents, carry)}, n_words long, n_removed long, kept string"
+    out = found.select("doc_id", "text", "spans", *(f"_carry_{k}" for k in range(len(carry)))).mapInArrow(partial(_strip, digest=digest), schema)
+    return out.select("doc_id", "n_words", "n_removed", "kept", *uncarried(carry))
 
 
-def digest(documents: DataFrame) -> DataFrame:
+def digests(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
-    return _with_spans(documents, "doc_id", "text").mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return strip_repeats(documents, digest=True).withColumnRenamed("kept", "kept_sha256")
 
 
 ORACLE = """
