@@ -3,7 +3,7 @@
 A token is coded in two parts. The first ``BITS`` bits of its hash are predicted one after the other; each bit
 by several predictors that know the bits before it and a context: nothing, the word before, the two words
 before, and what this document has said so far. Their predictions are mixed in the logistic domain with
-weights from a set that the experience with the node and its context selects; a last stage corrects the
+weights that the place of the bit and the experience with its contexts select; a last stage corrects the
 mixture by how it has erred at that level of confidence. Weights, corrections and the document's own counts
 adapt while a document is read, a block of tokens at a time. The second part, which token of its hash
 prefix it is, has the add-one probability of its count there; all unseen tokens of a prefix are one symbol.
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillbook.llm.common import grouped, mix, rows, save, word_hashes
@@ -26,7 +27,7 @@ from tillbook.llm.common import grouped, mix, rows, save, word_hashes
 BITS = 12
 SLOTS = 1 << 20  # of each table of hashed contexts
 STEP = 32  # tokens after which weights adapt
-RATE = 0.006  # of the weights
+RATE = 0.06  # of the weights
 CORRECTION = 0.01  # rate of the last stage
 # Weights of the four predictors at the start of a document: a row for each experience that the document has
 # with a node (below 1, 4, 30 observations, more), first where both contexts are rare ones, then where the word
@@ -41,13 +42,14 @@ _KNOWN = 4  # times the mean observations of a slot that make a context a known
 _LEVELS = 24  # of confidence in the last stage
 _WIDEST = 8.0
 _PRIOR = 0.4
+_UNIT = 2_000
 _NODES = 1 << BITS
 _ORDERS = 2  # tables of hashed contexts
 _PARTS = 64  # pieces in which tables travel
 _END = np.uint64(0x5EED0E2D0F7E871)  # stands for the end of a text
 _START = np.uint64(0x57A127)  # stands for what comes before a text
 _FLUSH = 1 << 20
-_BLOCK_BYTES = 1 << 19
+_CHUNK_BYTES = 1 << 20  # of text counted or scored at a time
 _GROUP_BYTES = 8 << 20
 _LOG10 = np.log(10)
 
@@ -62,25 +64,28 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _paths(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of the binary tree over hash prefixes that a token passes, and the bit it takes at each."""
     prefix = (hashes >> np.uint64(64 - BITS)).astype(np.int32)
-    down = np.arange(BITS)
-    nodes = (1 << down) | (prefix[:, None] >> (BITS - down))
-    return nodes, (prefix[:, None] >> (BITS - 1 - down)) & 1
+    down = np.arange(BITS, dtype=np.int32)
+    nodes = (np.int32(1) << down) | (prefix[:, None] >> (BITS - down))
+    return nodes, ((prefix[:, None] >> (BITS - 1 - down)) & 1).astype(np.int8)
 
 
 def _contexts(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the word before and of the two words before each token."""
+    """32-bit hashes of the word before and of the two words before each token."""
     first = np.cumsum(counts) - counts
     one = np.concatenate([[_START], hashes[:-1]])
     one[first] = _START
     two = np.concatenate([[_START], one[:-1]])
     two[first] = _START
-    return [mix(one + np.uint64(1)), mix(one * np.uint64(0x9E3779B97F4A7C15) + two)]
+    return [mix(one + np.uint64(1)).astype(np.uint32), mix(one * np.uint64(0x9E3779B97F4A7C15) + two).astype(np.uint32)]
 
 
 def _slots(context: np.ndarray, nodes: np.ndarray) -> np.ndarray:
     """Slot of each (context, node): nodes of a context are spread over the table."""
-    spread = (nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ context[:, None]
-    return ((spread * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+    spread = (nodes.view(np.uint32) * np.uint32(0x9E3779B1)) ^ context[:, None]
+    spread *= np.uint32(0x85EBCA6B)
+    spread ^= spread >> np.uint32(15)
+    spread *= np.uint32(0xC2B2AE35)
+    return spread >> np.uint32(33 - SLOTS.bit_length())
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +98,7 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         keys, at = np.unique(keys, return_inverse=True)
         return keys, np.bincount(at, n, len(keys)).astype(np.int64)
 
-    for part in grouped(rows(batches), lambda r: len(r[0] or b""), _BLOCK_BYTES):
+    for part in grouped(rows(batches), lambda r: len(r[0] or b""), _CHUNK_BYTES):
         held.append(np.unique(tokens([r[0] or b"" for r in part])[0], return_counts=True))
         size += len(held[-1][0])
         if size > _FLUSH:
@@ -108,45 +113,57 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of the tables: how often each slot saw a 0 and a 1."""
-    tables = [np.zeros((SLOTS, 2), np.int64) for _ in range(_ORDERS)]
+    """Pieces of the tables: how often each slot saw a 0 and a 1, as compressed 32-bit numbers."""
+    tables = [np.zeros(2 * SLOTS, np.int32) for _ in range(_ORDERS)]
     seen = False
-    for part in grouped(rows(batches), lambda r: len(r[0] or b""), _BLOCK_BYTES):
+    for part in grouped(rows(batches), lambda r: len(r[0] or b""), _CHUNK_BYTES):
         seen = True
         hashes, counts = tokens([r[0] or b"" for r in part])
         nodes, bits = _paths(hashes)
-        for table, at in zip(tables, (_slots(c, nodes) for c in _contexts(hashes, counts))):
-            table += np.bincount((2 * at + bits).ravel(), minlength=table.size).reshape(-1, 2)
+        for table, context in zip(tables, _contexts(hashes, counts)):
+            np.add.at(table, (2 * _slots(context, nodes).view(np.int32) + bits).ravel(), np.int32(1))
     if seen:
+        pack = zstandard.ZstdCompressor(level=1)
         for k, table in enumerate(tables):
             for number, piece in enumerate(np.array_split(table, _PARTS)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([number], pa.int32()), pa.array([piece.tobytes()], pa.binary())],
+                    [pa.array([k], pa.int32()), pa.array([number], pa.int32()), pa.array([pack.compress(piece.tobytes())], pa.binary())],
                     ["number", "piece", "counts"],
                 )
 
 
 def _add_pieces(found: pa.Table) -> pa.Table:
-    total = None
+    unpack = zstandard.ZstdDecompressor()
+    total = np.zeros(2 * SLOTS // _PARTS, np.int64)
     for counts in found["counts"]:
-        one = np.frombuffer(counts.as_buffer(), np.int64)
-        total = one if total is None else total + one
+        total += np.frombuffer(unpack.decompress(counts.as_py()), np.int32)
     return pa.table({"number": found["number"][:1], "piece": found["piece"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
 
 @dataclass(frozen=True)
 class Model:
-    """Stretched predictions of the tables; slots with known contexts; sizes of the hash prefixes; tokens and vocabulary."""
+    """Predictions without a context, those of the hashed tables, sizes of the hash prefixes, tokens, vocabulary.
+
+    The entry of a slot is its stretched prediction in units of 1 / ``_UNIT``, doubled, and 1 more if the
+    context is a known one.
+    """
 
-    stretched: list[np.ndarray]
-    known: list[np.ndarray]
+    plain: np.ndarray
+    hashed: list[np.ndarray]
     prefix_size: np.ndarray
     total: int
     distinct: int
 
 
 def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    return np.clip(np.log((ones + np.float32(_PRIOR)) / (zeros + np.float32(_PRIOR))), -_WIDEST, _WIDEST)
+    odds = (ones + np.float32(_PRIOR)) / (zeros + np.float32(_PRIOR))
+    return np.clip(np.log(odds), np.float32(-_WIDEST), np.float32(_WIDEST))
+
+
+def _entries(table: np.ndarray) -> np.ndarray:
+    observed = table.sum(axis=1)
+    known = observed > _KNOWN * observed.mean()
+    return (2 * np.round(_stretch(*table.T.astype(np.float32)) * _UNIT) + known).astype(np.int16)
 
 
 def _of_sizes(prefix_size: np.ndarray) -> np.ndarray:
@@ -172,10 +189,9 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     tables = [np.zeros((SLOTS, 2), np.int64) for _ in range(_ORDERS)]
     for row in pieces:
         np.array_split(tables[row["number"]], _PARTS)[row["piece"]][:] = np.frombuffer(row["counts"], np.int64).reshape(-1, 2)
-    stretched = [_of_sizes(prefix_size), *(_stretch(*t.T.astype(np.float32)) for t in tables)]
-    observed = [t.sum(axis=1) for t in tables]
-    known = [(n > _KNOWN * n.mean()).astype(np.int8) for n in observed]
-    model = Model(stretched, known, prefix_size, sum(r["n"] for r in sizes), sum(r["v"] for r in sizes))
+    model = Model(
+        _of_sizes(prefix_size), [_entries(t) for t in tables], prefix_size, sum(r["n"] for r in sizes), sum(r["v"] for r in sizes)
+    )
     return model, counted
 
 
@@ -185,55 +201,62 @@ def mixed(hashes: np.ndarray, counts: np.ndarray, model: Model) -> np.ndarray:
     All documents are read side by side: step k has the k-th block of ``STEP`` tokens of each.
     """
     documents = len(counts)
-    nodes, bits = _paths(hashes)
-    one, two = _contexts(hashes, counts)
-    slot = _slots(one, nodes)
-    inputs = np.empty((len(hashes), BITS, 4), np.float32)
-    inputs[:, :, 0] = model.stretched[0][nodes]
-    inputs[:, :, 1] = model.stretched[1][slot]
-    second = _slots(two, nodes)
-    inputs[:, :, 2] = model.stretched[2][second]
-    gate = np.where(model.known[1][second] > 0, 2, model.known[0][slot]).astype(np.int64) * len(WEIGHTS[0])
-    owner = np.repeat(np.arange(documents), counts)
-    place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
-    order = np.lexsort((owner, place // STEP))
-    bounds = np.append(np.flatnonzero(np.diff((place // STEP)[order], prepend=-1)), len(order))
-
-    start_weights = np.array(WEIGHTS, np.float32).reshape(-1, 4)
-    sets = len(start_weights)
-    weights = np.tile(start_weights, (documents, 1))
+    owner = np.repeat(np.arange(documents, dtype=np.int32), counts)
+    step = (np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)) // STEP
+    order = np.lexsort((owner, step))
+    bounds = np.append(np.flatnonzero(np.diff(step[order], prepend=-1)), len(order))
+    one, two = (c[order] for c in _contexts(hashes, counts))
+    owner = owner[order]
+    nodes, bits = _paths(hashes[order])
+
+    start_weights = np.array(WEIGHTS, np.float32).reshape(-1, 4).T.copy()
+    weights = np.ones((4, documents, BITS), np.float32)  # relative to where they start
     correction = np.zeros(documents * _LEVELS, np.float32)
     own = np.zeros((documents * _NODES, 2), np.float32)
+    own_flat, own_pair = own.reshape(-1), own.view(np.complex64).reshape(-1)  # a pair of counts in one look-up
     out = np.empty(len(hashes))
     for start, stop in zip(bounds[:-1], bounds[1:]):
-        at = order[start:stop]
-        who, bit = owner[at][:, None], bits[at]
-        here = who * _NODES + nodes[at]
-        x = inputs[at]
-        said = own[here]
-        x[:, :, 3] = _stretch(said[:, :, 0], said[:, :, 1])
-        chosen = who * sets + gate[at] + np.searchsorted(_SEEN, said.sum(axis=2), side="right")
-        raw = np.einsum("tbi,tbi->tb", x, weights[chosen])
-        level = who * _LEVELS + np.clip((raw + 6) * (_LEVELS / 12), 0, _LEVELS - 1).astype(np.int64)
-        final = raw + correction[level]
-        probability = 1 / (1 + np.exp(-np.clip(final, -14, 14)))
-        out[at] = np.log(np.where(bit == 1, probability, 1 - probability).astype(np.float64)).sum(axis=1)
-        error = (bit - probability).astype(np.float32)
-        touched = slice(int(who[0, 0]) * sets, (int(who[-1, 0]) + 1) * sets)
+        who, node, bit = owner[start:stop], nodes[start:stop], bits[start:stop]
+        entries = [np.take(table, _slots(c[start:stop], node).view(np.int32)) for table, c in zip(model.hashed, (one, two))]
+        here = who[:, None] * np.int32(_NODES) + node
+        said = np.take(own_pair, here)
+        zeros, ones = said.real, said.imag
+        seen = zeros + ones
+        gate = (seen >= _SEEN[0]).view(np.int8) + (seen >= _SEEN[1]).view(np.int8)
+        gate += (seen >= _SEEN[2]).view(np.int8)
+        gate += np.maximum(entries[0] & 1, (entries[1] & 1) << 1).astype(np.int8) << 2
+        x = [
+            np.take(model.plain, node), (entries[0] >> 1) * np.float32(1 / _UNIT), (entries[1] >> 1) * np.float32(1 / _UNIT),
+            _stretch(zeros, ones),
+        ]
+        raw = np.zeros(node.shape, np.float32)
+        for k in range(4):
+            x[k] *= np.take(start_weights[k], gate)
+            raw += x[k] * np.take(weights[k], who, axis=0)
+        level = ((np.clip(raw, -6, 5.99) + np.float32(6)) * np.float32(_LEVELS / 12)).astype(np.int32)
+        level += who[:, None] * np.int32(_LEVELS)
+        final = np.clip(raw + np.take(correction, level), -14, 14)
+        probability = 1 / (1 + np.exp(-final))
+        error = bit - probability
+        out[order[start:stop]] = np.log(np.prod(1 - np.abs(error), axis=1, dtype=np.float64))
+        first = np.flatnonzero(np.diff(who, prepend=-1))
         for k in range(4):
-            moved = np.bincount((chosen - touched.start).ravel(), (RATE * error * x[:, :, k]).ravel(), touched.stop - touched.start)
-            weights[touched, k] += moved
-        np.add.at(correction, level.ravel(), (CORRECTION * error).ravel())
-        np.add.at(own.reshape(-1), (2 * here + bit).ravel(), np.float32(1))
+            weights[k, who[first]] += np.float32(RATE) * np.add.reduceat(error * x[k], first, axis=0)
+        base = who[0] * _LEVELS
+        moved = np.bincount((level - base).ravel(), error.ravel(), (who[-1] + 1) * _LEVELS - base)
+        correction[base : base + len(moved)] += np.float32(CORRECTION) * moved
+        np.add.at(own_flat, (2 * here + bit).ravel(), np.float32(1))
     return out
 
 
 def _distinct(found: pa.Table) -> pa.Table:
     """Distinct tokens of the documents of a block."""
-    block, kept = found["block"][0].as_py(), np.empty(0, np.uint64)
-    for part in grouped(rows(iter(found.select(["text"]).to_batches())), lambda r: len(r[0] or b""), _BLOCK_BYTES):
-        kept = np.union1d(kept, tokens([r[0] or b"" for r in part])[0])
-    return pa.table({"block": pa.array(np.full(len(kept), block, np.int64)), "h": pa.array(kept.view(np.int64))})
+    parts = [
+        np.unique(tokens([r[0] or b"" for r in part])[0])
+        for part in grouped(rows(iter(found.select(["text"]).to_batches())), lambda r: len(r[0] or b""), _CHUNK_BYTES)
+    ]
+    kept = np.unique(np.concatenate(parts))
+    return pa.table({"block": pa.array(np.full(len(kept), found["block"][0].as_py(), np.int32)), "h": pa.array(kept.view(np.int64))})
 
 
 def _score_block(documents: pa.Table, known: pa.Table, model: Model) -> pa.Table:
@@ -243,7 +266,7 @@ def _score_block(documents: pa.Table, known: pa.Table, model: Model) -> pa.Table
         c = known["c"].to_numpy() if known.num_rows else np.empty(0, np.int64)
         order = np.argsort(h)
         h, c = h[order], np.append(c[order], 0)
-        for part in grouped(rows(iter(documents.select(["doc_id", "text"]).to_batches())), lambda r: len(r[1] or b"") + 64, _BLOCK_BYTES):
+        for part in grouped(rows(iter(documents.select(["doc_id", "text"]).to_batches())), lambda r: len(r[1] or b"") + 64, _CHUNK_BYTES):
             hashes, counts = tokens([text or b"" for _, text in part])
             place = np.searchsorted(h, hashes)
             hit = place < len(h)
@@ -273,8 +296,8 @@ def score(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", text
     model, counted = fit(source.filter("use").select("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, size // _GROUP_BYTES)
-    placed = source.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
-    wanted = placed.groupBy("block").applyInArrow(_distinct, "block long, h long")
+    placed = source.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
+    wanted = placed.groupBy("block").applyInArrow(_distinct, "block int, h long")
     known = save(wanted.join(counted, "h").select("block", "h", "c"), "known")
 
     def run(of_block: pa.Table, found: pa.Table) -> pa.Table:
