@@ -21,13 +21,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillbook.llm.vectors import best, in_blocks, usable
 
-PROJECTIONS = 64
+PROJECTIONS = 24
 WIDTH = 1.0  # half a window in units of the radius: two thirds of the vectors at that distance collide
 COLLISIONS = 0.6  # share of the projections
-STEP = 1.2  # between radii
+STEP = 1.25  # between radii
 START = 0.6  # first radius in units of the common norm
 SLACK = 1.25  # the k-th verified vector must be so much nearer than the radius
-SHARE = 0.3  # of a block that is verified before a query ends without proof
+SHARE = 0.47  # of a block that is verified before a query ends without proof
 _FEW = 1_024  # vectors that are verified at least before a query ends without proof
 _SEED = 7
 
