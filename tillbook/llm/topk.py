@@ -1,11 +1,12 @@
 """Exact top-k inner products by an impact-ordered index, read score at a time.
 
-Components become whole numbers. Per dimension the vectors are ordered by value and cut into segments of
-equal quantised impact. A query reads segments of all dimensions in descending order of what they can add
-and accumulates lower bounds. It stops only on proof: when the vectors whose accumulated bound, together
-with all that is still unread and the rounding of what was read, can reach the k-th lower bound are few.
-Those possible members are scored exactly. Without that proof all segments are read and the possible members
-are what remains.
+Components become whole numbers. The index of a block of vectors is a list of segments, one per band of
+magnitudes from large to small; a segment posts every component in its band with an impact quantised to a
+quarter of the band. Queries read the segments in descending impact and add up scores for all vectors. After
+each segment the part of a vector that is unread or lost by quantising has a known norm, which bounds its score
+from both sides. A query stops only on proof: when the vectors whose upper bound reaches the k-th lower bound
+are few. Those possible members are scored exactly. The last segment posts what all others lost, so reading
+on always ends in exact scores.
 """
 
 from __future__ import annotations
@@ -19,68 +20,56 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillbook.llm.vectors import best, in_blocks, usable
 
 SCALE = 256
-_LEVEL = 8  # values of one segment
-_EVERY = 64  # segments between two looks at the bounds
-_FEW = 0.02  # share of a block that is scored rather than read on
+_FEW = 0.02  # share of a block that is scored exactly rather than read on
+_TOGETHER = 128  # queries that read the index together
 _WIDEST = 1 << 20  # larger components are multiplied as Python numbers
 _LONG = (1 << 63) - 1
 
 
 class Index:
-    """Segments of one block: dimension, least and greatest value, and the rows in them."""
+    """Segments (impacts by vector and dimension) of one block, and the norm of what is lost after each."""
 
     def __init__(self, values: np.ndarray):
-        self.values, self.n = values, len(values)
-        self.order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
-        dims, first, last, low, high = [], [], [], [], []
-        for d in range(values.shape[1]):
-            column = values[self.order[:, d], d]
-            starts = np.flatnonzero(np.diff(column // _LEVEL, prepend=column[0] // _LEVEL - 1))
-            ends = np.append(starts[1:], self.n)
-            dims.append(np.full(len(starts), d))
-            first.append(starts)
-            last.append(ends)
-            low.append(column[starts])
-            high.append(column[ends - 1])
-        self.dims, self.first, self.last, self.low, self.high = (np.concatenate(x) for x in (dims, first, last, low, high))
-        self.least, self.most = values.min(axis=0), values.max(axis=0)
-
-    def possible(self, query: np.ndarray, k: int, skip: np.ndarray) -> np.ndarray:
-        """Rows that can be among the ``k`` best; rows of ``skip`` are not wanted."""
-        weight = query[self.dims]
-        lower, upper = np.minimum(weight * self.low, weight * self.high), np.maximum(weight * self.low, weight * self.high)
-        floor = np.minimum(query * self.least, query * self.most)  # what a dimension adds at least
-        impact = upper - floor[self.dims]
-        order = np.argsort(-impact, kind="stable")
-        total = np.zeros(self.n, np.int64)
-        total[skip] = -(1 << 62)
-        rounding = np.zeros(len(query), np.int64)
-        np.maximum.at(rounding, self.dims, upper - lower)
-        unread = np.zeros(len(query), np.int64)
-        np.maximum.at(unread, self.dims, impact)
-        left = np.bincount(self.dims, minlength=len(query))
-        few = max(8 * k, int(_FEW * self.n))
-        wanted = min(k, self.n - len(skip))
-        maybe = np.arange(self.n)
-        for at, s in enumerate(order, 1):
-            d = self.dims[s]
-            total[self.order[self.first[s] : self.last[s], d]] += lower[s] - floor[d]
-            left[d] -= 1
-            unread[d] = impact[s] if left[d] else 0  # what follows in this dimension is no larger
-            if at % _EVERY == 0 or at == len(order):
-                # A row has read a dimension, short by its rounding, or has not, short by what is unread at most.
-                short = int(np.maximum(rounding, unread).sum())
-                best_k = np.partition(total, self.n - wanted)[self.n - wanted]
-                maybe = np.flatnonzero(total + short >= best_k)
-                if len(maybe) <= few:
-                    break
-        return maybe[total[maybe] > -(1 << 61)]
-
-    def top(self, query: np.ndarray, k: int, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if self.n == len(skip):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        maybe = self.possible(query, k, skip)
-        return maybe, self.values[maybe] @ query
+        self.values = values.astype(np.float64)  # whole numbers, exact in all sums below
+        self.segments, self.lost = [], []
+        left = self.values.copy()
+        band = 1 << max(0, int(np.abs(values).max(initial=1)).bit_length() - 1)
+        while band >= 16:
+            step = band // 4
+            segment = np.where(np.abs(left) >= band, np.trunc(left / step) * step, 0.0)
+            if segment.any():
+                left -= segment
+                self.segments.append(segment)
+                self.lost.append(np.sqrt((left**2).sum(axis=1)))
+            band //= 2
+        self.segments.append(left)
+        self.lost.append(np.zeros(len(values)))
+
+    def top(self, queries: np.ndarray, k: int, skip: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Possible members and their exact scores for each query; rows of ``skip`` are not wanted."""
+        n = len(self.values)
+        norms = np.sqrt((queries**2).sum(axis=1)) * (1 + 1e-12)
+        few = max(8 * k, int(_FEW * n))
+        out: list[tuple] = [()] * len(queries)
+        open_ones = np.arange(len(queries))
+        total = np.zeros((len(queries), n))
+        for q, rows_of in enumerate(skip):
+            total[q, rows_of] = -np.inf
+        for segment, lost in zip(self.segments, self.lost):
+            total += queries[open_ones] @ segment.T
+            short = norms[open_ones, None] * lost
+            wanted = max(0, n - k - 1)  # a place lower, as the query's own vector may stand among the rows
+            floor = np.partition(total - short, wanted, axis=1)[:, wanted]
+            possible = total + short >= np.maximum(floor, -1e300)[:, None]
+            ready = (possible.sum(axis=1) <= few) | (segment is self.segments[-1])
+            for row in np.flatnonzero(ready):
+                q = open_ones[row]
+                at = np.flatnonzero(possible[row])
+                out[q] = at, (self.values[at] @ queries[q]).astype(np.int64)
+            open_ones, total = open_ones[~ready], total[~ready]
+            if not len(open_ones):
+                break
+        return out
 
 
 def _whole(rows: pa.Table) -> np.ndarray:
@@ -96,17 +85,21 @@ def _search(rows: pa.Table, k: int) -> pa.Table:
         values, wanted = _whole(members), _whole(queries)
         ids, query_ids = members["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
         fits = values.shape[1] and max(np.abs(values).max(), np.abs(wanted).max()) < _WIDEST
-        index = Index(values.astype(np.int64)) if fits else None
-        for query_id, query in zip(query_ids, wanted):
-            own = np.flatnonzero(ids == query_id)
+        index = Index(values) if fits else None
+        for first in range(0, len(query_ids), _TOGETHER):
+            some, of = query_ids[first : first + _TOGETHER], wanted[first : first + _TOGETHER]
+            own = [np.flatnonzero(ids == query_id) for query_id in some]
             if index is not None:
-                at, score = index.top(query.astype(np.int64), k, own)
+                results = index.top(of, k, own)
             else:  # exact products of any size, held to the range of a long
-                at = np.delete(np.arange(len(ids)), own)
-                exact = [sum(int(a) * int(b) for a, b in zip(values[t], query)) for t in at]
-                score = np.array([max(-_LONG - 1, min(_LONG, x)) for x in exact], np.int64)
-            for t in np.lexsort((ids[at], -score.astype(object) if index is None else -score))[:k]:
-                out.append((int(query_id), int(ids[at[t]]), int(score[t])))
+                results = []
+                for query, skip in zip(of, own):
+                    at = np.delete(np.arange(len(ids)), skip)
+                    exact = [sum(int(a) * int(b) for a, b in zip(values[t], query)) for t in at]
+                    results.append((at, np.array([max(-_LONG, min(_LONG, x)) for x in exact], np.int64)))
+            for query_id, (at, score) in zip(some, results):
+                for t in np.lexsort((ids[at], -score))[:k]:
+                    out.append((int(query_id), int(ids[at[t]]), int(score[t])))
     columns = list(zip(*out)) or [[], [], []]
     return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.int64())})
 
