@@ -506,6 +506,10 @@ def extract(pages: DataFrame) -> DataFrame:
     repeat; other columns are ignored.
     """
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    sample = source.filter("html IS NOT NULL").orderBy(F.xxhash64("url", "page_id"), "page_id", "url").limit(SAMPLE).select("html").collect()
+    place = F.xxhash64("url", "page_id")
+    full = source.filter("html IS NOT NULL")
+    lowest = full.select(place.alias("place")).orderBy("place").limit(SAMPLE).agg(F.max("place")).first()[0]  # numbers only
+    chosen = full.filter(place <= F.lit(lowest)).select("page_id", "url", "html") if lowest is not None else full.limit(0)
+    sample = chosen.orderBy(place, "page_id", "url", "html").limit(SAMPLE).select("html").collect()
     model = train([row["html"] for row in sample])
     return source.mapInArrow(_Run(model), "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))
