@@ -231,11 +231,12 @@ def _spans(source: DataFrame) -> DataFrame:
     """Copied stretches (start, n windows) by row of ``source``."""
     order = ["s", "e", "doc_id", "start"]
     indexed = source.select("order_id", "version", "text").mapInArrow(_index, _KEYED)
-    found = save(indexed.repartition("s").sortWithinPartitions(*order).mapInArrow(_resolve_blocks, _KEYED).drop("e"), "blocks")
+    spread = F.xxhash64("doc_id", "start")  # copies need no others; a passage of many documents is no hot key
+    found = save(indexed.repartition(F.when(F.col("kind") == _COPY, spread).otherwise(F.col("s"))).sortWithinPartitions(*order).mapInArrow(_resolve_blocks, _KEYED).drop("e"), "blocks")
     asked = found.filter(F.col("kind") == _LOOK_UP).groupBy(F.col("doc_id").alias("order_id"), "version")
     asked = asked.agg(F.collect_list(F.struct("s", "start", "n")).alias("asked"))  # at most a row per block of a document
     single = source.join(asked, ["order_id", "version"]).select("order_id", "version", "text", "asked").mapInArrow(_windows, _KEYED)
-    single = single.repartition("s", "e").sortWithinPartitions(*order).mapInArrow(_resolve_windows, _KEYED).drop("e")
+    single = single.repartition(F.when(F.col("kind") == _COPY, spread).otherwise(F.xxhash64("s", "e"))).sortWithinPartitions(*order).mapInArrow(_resolve_windows, _KEYED).drop("e")
     copied = found.filter(F.col("kind") == _COPY).unionByName(single).select("doc_id", "version", "start", "n")
     return copied.groupBy(F.col("doc_id").alias("order_id"), "version").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
