@@ -319,6 +319,7 @@ def main_texts(sources: list[str], model: boost.Trees) -> list[str]:
     score = model.score(x)
     tags = [t for p in pages for t in p.tag]
     score[[k for k, t in enumerate(tags) if t in ("#", "html", "body")]] = 30.0  # every page has them
+    score[[k for k, t in enumerate(tags) if t in ("nav", "footer", "aside", "form")]] = -30.0  # never main text by their meaning
     kept = decode(score, parent, depth)
     out, base = [], 0
     for page in pages:
@@ -442,6 +443,10 @@ def made_pages(n: int, seed: int = 11) -> list[str]:
             content = f"<main{name('main', 'page')}>{maybe(0.3, head)}{content}{maybe(0.3, related)}{maybe(0.3, comments)}</main>"
         elif dice.random() < 0.3:
             content = f"<div{name('wrapper', 'container', 'page', 'row')}>{content}{maybe(0.5, side)}{maybe(0.3, comments)}</div>"
+        if dice.random() < 0.1:  # a page without an article
+            content = dice.choice([menu, menu, advert, notice, foot, form, side])()
+            if dice.random() < 0.5:
+                return f"<body>{content}</body>"
         before = [maybe(0.5, head), maybe(0.25, notice), maybe(0.6, menu), maybe(0.5, advert)]
         after = [maybe(0.4, side), maybe(0.35, comments), maybe(0.25, related), maybe(0.25, form), maybe(0.2, advert), maybe(0.15, notice), maybe(0.8, foot)]
         dice.shuffle(after) if dice.random() < 0.2 else None
