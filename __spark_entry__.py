@@ -340,7 +340,7 @@ def queries() -> dict[str, Query]:
 _SALES = """
 WITH lines AS (
     SELECT l_orderkey, CAST(floor(l_quantity) AS INTEGER) AS quantity,
-           'SKU-' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS sku,
+           'SKU-' || lpad(CAST(p_partkey AS VARCHAR), greatest(5, length(CAST(p_partkey AS VARCHAR)))::INTEGER, '0') AS sku,
            CAST(p_retailprice AS DECIMAL(12,2)) AS price
     FROM lineitem JOIN part ON l_partkey = p_partkey
 ), baskets AS (
@@ -374,7 +374,8 @@ _FLAT = """transaction_id, store_id, register_id, transaction_timestamp, subtota
            payment_method, payment_status, customer_id, item_count"""
 
 _REVENUE = """SELECT store_id, count(*) AS transactions,
-    CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue FROM clean GROUP BY store_id"""
+    CAST(round(sum(CAST(total AS DECIMAL(38,8))), 2) AS DOUBLE) AS total_revenue,
+    count(*) FILTER (total IS NOT NULL AND (isnan(total) OR abs(total) >= 1e30)) AS not_added FROM clean GROUP BY store_id"""
 
 _DQ = """SELECT count(*) AS row_count, count(*) FILTER (transaction_id IS NULL) AS null_transaction_ids,
     count(*) FILTER (payment_status = 'failed') AS failed_payments FROM """
@@ -407,10 +408,16 @@ def _own_sql() -> dict[str, str]:
         "txn_by_payment_method": _SALES + "SELECT payment_method, count(*) AS cnt FROM clean GROUP BY payment_method",
         "dq_report": _SALES + _DQ + "clean",
         "dq_report_unfiltered": _SALES + _DQ + "parsed",
-        "rate_check": f"""SELECT time_bucket(INTERVAL '{_RATE["seconds"]} seconds', ts) AS window_start, count(*) AS events,
-            count(*) / {_RATE["seconds"]}.0::DOUBLE AS per_second,
-            count(*) / {_RATE["seconds"]}.0::DOUBLE BETWEEN {_RATE["low"]}::DOUBLE AND {_RATE["high"]}::DOUBLE AS in_range
-            FROM events GROUP BY ALL""",
+        "rate_check": f"""WITH counted AS (
+                SELECT time_bucket(INTERVAL '{_RATE["seconds"]} seconds', ts) AS w, count(*) AS n FROM events GROUP BY ALL
+            ), windows AS (
+                SELECT unnest(generate_series(min(w), max(w), INTERVAL '{_RATE["seconds"]} seconds')) AS w FROM counted
+            ), filled AS (
+                SELECT windows.w AS window_start, coalesce(n, 0) AS events FROM windows LEFT JOIN counted ON counted.w = windows.w
+            )
+            SELECT window_start, events, events / {_RATE["seconds"]}.0::DOUBLE AS per_second,
+            events / {_RATE["seconds"]}.0::DOUBLE BETWEEN {_RATE["low"]}::DOUBLE AND {_RATE["high"]}::DOUBLE AS in_range
+            FROM filled""",
         "ingest_stream_parquet": clean_rows,
         "ingest_stream_append": clean_rows,
         "restart_resume": clean_rows,

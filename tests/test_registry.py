@@ -17,4 +17,4 @@ def test_query_equals_sql(spark, small, name):
 
 
 def test_entry(spark):
-    assert registry.entry(spark).columns == ["store_id", "transactions", "total_revenue"]
+    assert registry.entry(spark).columns == ["store_id", "transactions", "total_revenue", "not_added"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 from ..schema import TAX_RATE
 
 MONEY = "decimal(18,2)"
+_ADDED = "decimal(38,8)"
 
 
 def as_money(amount: Column) -> Column:
@@ -16,8 +17,13 @@ def as_money(amount: Column) -> Column:
 
 
 def rounded_sum(amount: Column) -> Column:
-    """SUM rounded to cents. Amounts that are not money (see ``as_money``) are left out."""
-    return F.sum(as_money(amount)).cast("double")
+    """SUM rounded once to cents. NaN, infinities and amounts beyond 1e30 cannot be added; see ``not_addable``."""
+    return F.round(F.try_sum(amount.try_cast(_ADDED)), 2).cast("double")
+
+
+def not_addable(amount: Column) -> Column:
+    """How many amounts ``rounded_sum`` had to leave out."""
+    return F.count_if(amount.isNotNull() & amount.try_cast(_ADDED).isNull())
 
 
 def basket_subtotal(items: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..plans import verification
+from ..plans import quality, verification
 from . import options
 
 
@@ -17,6 +17,18 @@ def main(arguments: list[str] | None = None) -> None:
             print("not run")
         else:
             result.show(truncate=False)
+            for check, holds in _verdicts(title, result):
+                print(f"{'PASS' if holds else 'FAIL'}: {check}")
+
+
+def _verdicts(title: str, result) -> list[tuple[str, bool]]:
+    """What a section says about the table: no refunded row after a delete, no row without an id or failed."""
+    if title == "delete refunded":
+        return [("no refunded rows are left", result.filter("checked = 'after'").first()["refunded"] == 0)]
+    if title == "quality":
+        found = result.first()
+        return [(message, holds(found[rule])) for rule, holds, message in quality.RULES]
+    return []
 
 
 if __name__ == "__main__":

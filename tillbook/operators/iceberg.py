@@ -37,9 +37,9 @@ class IcebergTable:
     def current(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def as_of(self, snapshot: int | None = None) -> DataFrame:
+    def as_of(self, snapshot: int | None) -> DataFrame:
         if snapshot is None:
-            return self.current()
+            raise LookupError("time travel needs at least two snapshots")
         return self.spark.sql(f"SELECT * FROM {self.name} VERSION AS OF {int(snapshot)}")
 
     def snapshots(self) -> DataFrame:

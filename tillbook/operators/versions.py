@@ -215,10 +215,15 @@ class VersionedTable:
     # -- read ---------------------------------------------------------------------------------
 
     def current(self) -> DataFrame:
-        return self.as_of()
+        return self._as_of(None)
 
-    def as_of(self, version: int | None = None) -> DataFrame:
-        """The rows of a snapshot, by default of the newest one."""
+    def as_of(self, version: int | None) -> DataFrame:
+        """The rows of a snapshot. ``first_snapshot()`` of a table with a single one gives none to travel to."""
+        if version is None:
+            raise LookupError("time travel needs at least two snapshots")
+        return self._as_of(version)
+
+    def _as_of(self, version: int | None) -> DataFrame:
         return self._rows(self._entries(version)).select(*self.schema.fieldNames())
 
     def scan_between(
@@ -266,7 +271,7 @@ class VersionedTable:
 
     def register(self, name: str, version: int | None = None) -> DataFrame:
         """Make a snapshot and the snapshot list readable from SQL as ``name`` and ``name_snapshots``."""
-        rows = self.as_of(version)
+        rows = self._as_of(version)
         rows.createOrReplaceTempView(name)
         self.snapshots().createOrReplaceTempView(f"{name}_snapshots")
         return rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.money import as_money, basket_subtotal, tax_on
 from ..schema import FAILED_STATUS
 
+_POLL = 0.2  # seconds
+
 # In the order in which a run is judged: name, what must hold, message.
 RULES: tuple[tuple[str, Callable[[int], bool], str], ...] = (
     ("row_count", lambda n: n > 0, "the table has no rows"),
@@ -45,15 +48,30 @@ def gate(report: DataFrame) -> DataFrame:
     return report.sparkSession.createDataFrame([found], report.schema)
 
 
-def settle(query: StreamingQuery) -> None:
-    """Wait until a query has worked off its input: one that ends by itself is awaited, a running one
-    is asked to process what has arrived."""
-    if query.isActive:
-        query.processAllAvailable()
+def settle(query: StreamingQuery, timeout: float = 600.0) -> None:
+    """Wait until a query has worked off what had arrived when it was asked, ``timeout`` seconds at most.
+
+    A running query has done so when it is idle without data, or when two batches have begun and ended
+    since: the second began after this call, whatever keeps arriving.
+    """
+    started, until = _batch(query), time.monotonic() + timeout
+    while query.isActive and _batch(query) < started + 2:
+        state = query.status
+        if _batch(query) > started and not state["isDataAvailable"] and not state["isTriggerActive"]:
+            break
+        if query.awaitTermination(_POLL):
+            break
+        if time.monotonic() > until:
+            raise TimeoutError(f"the query has not caught up within {timeout} seconds")
     if query.exception():
         raise query.exception()
 
 
+def _batch(query: StreamingQuery) -> int:
+    progress = query.lastProgress
+    return -1 if progress is None else progress["batchId"]
+
+
 def gated_run(start: Callable[[], StreamingQuery], rows: Callable[[], DataFrame]) -> DataFrame:
     """Start ingest (or find it running), let it catch up, then judge the table."""
     settle(start())

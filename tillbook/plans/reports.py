@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.money import rounded_sum
+from ..functions.money import not_addable, rounded_sum
 
 LATEST_COLUMNS = ("transaction_id", "store_id", "total", "payment_status", "transaction_timestamp")
 
@@ -24,11 +24,10 @@ def latest(sales: DataFrame, n: int = 5) -> DataFrame:
 
 
 def revenue_by_store(sales: DataFrame) -> DataFrame:
-    """Transactions and revenue per store. An amount that is no money (NaN, out of range) counts as a
-    transaction without revenue; ``quality.reconcile`` shows which they are."""
+    """Transactions and revenue per store, and how many amounts (NaN, beyond 1e30) could not be added."""
     return (
         sales.groupBy("store_id")
-        .agg(F.count(F.lit(1)).alias("transactions"), rounded_sum(F.col("total")).alias("total_revenue"))
+        .agg(F.count(F.lit(1)).alias("transactions"), rounded_sum(F.col("total")).alias("total_revenue"), not_addable(F.col("total")).alias("not_added"))
         .orderBy(F.desc("total_revenue"), "store_id")
     )
 
@@ -48,9 +47,17 @@ def first_rows(snapshot: DataFrame, n: int = 5) -> DataFrame:
 
 
 def rate_check(events: DataFrame, moment: str = "ts", seconds: int = 60, low: float = 5.0, high: float = 10.0) -> DataFrame:
-    """Events per window and whether the rate is within the limits. A window without any event has no row."""
+    """Events per window and whether the rate is within the limits, from the first to the last window with an
+    event; a window without any has a rate of 0."""
     rate = F.col("events") / F.lit(float(seconds))
+    step = F.expr(f"INTERVAL {int(seconds)} SECONDS")
+    counted = (
+        events.groupBy(F.window(moment, f"{seconds} seconds").alias("w")).agg(F.count(F.lit(1)).alias("found"))
+        .select(F.col("w.start").alias("window_start"), "found")
+    )
+    ends = counted.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last")).filter("first IS NOT NULL")
+    windows = ends.select(F.explode(F.sequence("first", "last", step)).alias("window_start"))
     return (
-        events.groupBy(F.window(moment, f"{seconds} seconds").alias("w")).agg(F.count(F.lit(1)).alias("events"))
-        .select(F.col("w.start").alias("window_start"), "events", rate.alias("per_second"), rate.between(low, high).alias("in_range"))
+        windows.join(counted, "window_start", "left").withColumn("events", F.coalesce("found", F.lit(0)))
+        .select("window_start", "events", rate.alias("per_second"), rate.between(low, high).alias("in_range"))
     )

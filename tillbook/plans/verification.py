@@ -31,9 +31,12 @@ def sections(table, delete: bool = False) -> Iterator[tuple[str, DataFrame | Non
 def delete_check(table) -> DataFrame:
     """Refunded rows before and after deleting them. Where the table has version numbers, both counts
     are of fixed snapshots, so a stream that appends meanwhile does not disturb them."""
+    before = _refunded(table.current(), "before").first()["refunded"]
     version = table.delete_where(REFUNDED)
-    if version is None:
-        return _refunded(table.current(), "after")
+    if version is None:  # the catalogue numbers snapshots itself; the count before was taken before
+        spark = table.current().sparkSession
+        known = spark.range(1).select(F.lit("before").alias("checked"), F.lit(before).cast("long").alias("refunded"))
+        return known.unionByName(_refunded(table.current(), "after"))
     return _refunded(table.as_of(version - 1), "before").unionByName(_refunded(table.as_of(version), "after"))
 
 

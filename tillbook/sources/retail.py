@@ -35,7 +35,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parts = table(spark, sf_dir, "part").select(
         "p_partkey",
-        F.concat(F.lit("SKU-"), F.lpad(F.col("p_partkey").cast("string"), 5, "0")).alias("sku"),
+        F.expr("concat('SKU-', lpad(cast(p_partkey AS string), greatest(5, length(cast(p_partkey AS string))), '0'))").alias("sku"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("unit_price"),
@@ -74,7 +74,7 @@ def _header() -> dict[str, Column]:
         .when(F.col("o_orderstatus") == "P", "refunded")
         .when(F.col("o_orderstatus") == "F", "failed")
     )
-    register = F.floor(key / 4) % 4 + 1
+    register = F.expr("o_orderkey div 4") % 4 + 1
     return {
         "transaction_id": F.concat(F.lit("TXN-"), key.cast("string")),
         "store_id": F.concat(F.lit("STORE-00"), (customer % 3 + 1).cast("string")),
