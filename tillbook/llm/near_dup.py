@@ -26,12 +26,16 @@ from tillbook.llm.common import components, grouped, mix, rows, runs, save, word
 
 WIDTH = 5  # words in a shingle
 PERCENT = 75  # similarity from which documents are linked
-COORDINATES = 128  # length of a signature
+COORDINATES = 1024  # length of a signature
 POSTED = 32  # coordinates that are inverted
 MATCHES = 12  # least matches among the posted ones: five deviations below the mean at the threshold
-AGREED = 71  # least matches in the whole signature, by the same measure
+# Two bits of a coordinate are compared, so a quarter of the unequal ones match by chance; the least matches lie
+# five deviations below the mean at the threshold, first in the leading coordinates, then in all.
+GLANCE, GLANCED = 256, 176
+AGREED = 767
 _BLOCK_WORDS = 50_000
 _BLOCK_MEMBERS = 4_096
+_EQUAL = np.array([sum((x >> k) & 3 == 0 for k in (0, 2, 4, 6)) for x in range(256)], np.uint8)  # of four coordinates
 
 _SEEDS = np.random.default_rng(20240501)
 _MULTIPLY = _SEEDS.integers(0, 2**32, COORDINATES, dtype=np.uint32) | np.uint32(1)
@@ -55,39 +59,42 @@ def _weight(record: tuple) -> int:
     return len(record[1] or b"") // 6 + 1
 
 
-def _signatures(sets: list[np.ndarray]) -> np.ndarray:
+def _signatures(sets: list[np.ndarray], length: int) -> np.ndarray:
     """One row of minima per set; no set is empty."""
     values = np.concatenate(sets).astype(np.uint32)
     starts = np.cumsum([0, *map(len, sets[:-1])])
-    out, mixed = np.empty((COORDINATES, len(sets)), np.uint32), np.empty_like(values)
-    for k in range(COORDINATES):
+    out, mixed = np.empty((length, len(sets)), np.uint32), np.empty_like(values)
+    for k in range(length):
         np.multiply(values, _MULTIPLY[k], out=mixed)
         np.add(mixed, _ADD[k], out=mixed)
         np.minimum.reduceat(mixed, starts, out=out[k])
-    return out.T
+    return np.ascontiguousarray(out.T)
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in grouped(rows(batches), _weight, _BLOCK_WORDS):
         sets = _sets(part)
         full = [k for k, s in enumerate(sets) if len(s)]
-        signed = dict(zip(full, _signatures([sets[k] for k in full]))) if full else {}
+        signed = dict(zip(full, _signatures([sets[k] for k in full], POSTED))) if full else {}
         yield pa.RecordBatch.from_pydict({
             "doc_id": pa.array([r[0] for r in part], pa.int64()),
             "n": pa.array([len(s) for s in sets], pa.int64()),
             "mark": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-            "posted": pa.array([signed[k][:POSTED].astype(np.int64) if k in signed else None for k in range(len(part))], pa.list_(pa.int64())),
-            # Eight bits of a coordinate tell a chance match in one of 256.
-            "brief": pa.array([(signed[k] >> np.uint32(11)).astype(np.uint8).tobytes() if k in signed else None for k in range(len(part))], pa.binary()),
+            "posted": pa.array([signed[k].view(np.int32) if k in signed else None for k in range(len(part))], pa.list_(pa.int32())),
         })
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in grouped(rows(batches), _weight, _BLOCK_WORDS):
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": pa.array([r[0] for r in part], pa.int64()),
-            "whole": pa.array([s.tobytes() for s in _sets(part)], pa.binary()),
-        })
+        sets = _sets(part)
+        ids, sets = [r[0] for r, s in zip(part, sets) if len(s)], [s for s in sets if len(s)]
+        if sets:
+            bits = ((_signatures(sets, COORDINATES) >> np.uint32(11)) & np.uint32(3)).astype(np.uint8).reshape(len(sets), -1, 4)
+            brief = bits[:, :, 0] | bits[:, :, 1] << 2 | bits[:, :, 2] << 4 | bits[:, :, 3] << 6
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
+                "brief": pa.array([b.tobytes() for b in brief], pa.binary()), "whole": pa.array([s.tobytes() for s in sets], pa.binary()),
+            })
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,21 +117,73 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("u", "v").join(one, "u").join(other, "v").select("u", "v", "one", "other").mapInArrow(_confirm, "u long, v long")
 
 
-def _across(rows: pa.Table) -> pa.Table:
-    """Pairs of a probe and a member from different components whose signatures and sizes allow a link."""
+def _matches(many: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.take(_EQUAL, many ^ one).sum(axis=1, dtype=np.int32)
+
+
+def _across(rows: pa.Table, every: bool) -> pa.Table:
+    """Pairs of a probe and a member from different components whose signatures and sizes allow a link.
+
+    A pair is made in the first posting that its two prefixes share and nowhere else. Unless ``every`` pair is
+    asked for, only the likeliest one of two components is returned.
+    """
     sides = [rows.filter(pc.field("probe")), rows.filter(~pc.field("probe"))]
     probe, member = ({c: t[c].to_numpy() for c in ("doc_id", "n", "component")} for t in sides)
-    views = [np.frombuffer(b"".join(t["brief"].to_pylist()), np.uint8).reshape(-1, COORDINATES) for t in sides]
+    views = [np.frombuffer(b"".join(t["brief"].to_pylist()), np.uint8).reshape(-1, COORDINATES // 4) for t in sides]
+    leading = np.ascontiguousarray(views[1][:, : GLANCE // 4])
+    prefixes = [t["tokens"].to_pylist() for t in sides]
+    here = rows["token"][0].as_py()
     found: list[tuple] = []
     for k in range(len(views[0])):
         n, m = probe["n"][k], member["n"]
         able = (member["component"] != probe["component"][k]) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
         able = np.flatnonzero(able)
-        agreed = (views[1][able] == views[0][k]).sum(axis=1, dtype=np.int32)
-        hit = agreed >= AGREED
-        found.append((np.full(hit.sum(), probe["doc_id"][k]), member["doc_id"][able[hit]], agreed[hit]))
-    joined = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
-    return pa.table({"u": pa.array(joined[0], pa.int64()), "v": pa.array(joined[1], pa.int64()), "agreed": pa.array(joined[2], pa.int32())})
+        able = able[_matches(leading[able], views[0][k, : GLANCE // 4]) >= GLANCED]
+        agreed = _matches(views[1][able], views[0][k])
+        hit = np.flatnonzero(agreed >= AGREED)
+        able, agreed = able[hit], agreed[hit]
+        if every:
+            own = set(prefixes[0][k])
+            first = [min(own.intersection(prefixes[1][t])) == here for t in able]
+            able, agreed = able[first], agreed[first]
+        else:  # the likeliest of each component
+            order = np.lexsort((-agreed, member["component"][able]))
+            lead = np.concatenate([[True], np.diff(member["component"][able[order]]) != 0])[: len(order)]
+            able, agreed = able[order[lead]], agreed[order[lead]]
+        found.append((np.full(len(able), k), able, agreed))
+    if not found:
+        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+    left, right, agreed = (np.concatenate(c) for c in zip(*found))
+    u, v = probe["doc_id"][left], member["doc_id"][right]
+    if not every:
+        parts = np.sort([probe["component"][left], member["component"][right]], axis=0)
+        order = np.lexsort((-agreed, parts[1], parts[0]))
+        lead = np.concatenate([[True], (np.diff(parts[:, order]) != 0).any(axis=0)])[: len(order)]
+        u, v = u[order[lead]], v[order[lead]]
+    return pa.table({"u": pa.array(np.minimum(u, v), pa.int64()), "v": pa.array(np.maximum(u, v), pa.int64())})
+
+
+def _open_pairs(prefix: DataFrame, labelled: DataFrame, every: bool) -> DataFrame:
+    """Pairs (u, v) from postings that hold several components: all but the largest part probe all members, in blocks."""
+    members = prefix.select("doc_id", "token").join(labelled.select("doc_id", "component"), "doc_id")
+    parts = members.groupBy("token", "component").agg(F.count("*").alias("size"))
+    split = (
+        parts.groupBy("token")
+        .agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("parts"), F.sum("size").alias("held"))
+        .filter("parts > 1")
+        .select("token", F.col("main.component").alias("main"), F.ceil(F.col("held") / _BLOCK_MEMBERS).cast("int").alias("blocks"))
+    )
+    rows_in = save(members.join(split, "token"), "open")
+    shape = ["token", "block", "doc_id", "probe"]
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    held = rows_in.withColumn("block", own).withColumn("probe", F.lit(False)).select(shape)
+    probes = rows_in.filter("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    both = held.union(probes.withColumn("probe", F.lit(True)).select(shape)).join(labelled, "doc_id")
+
+    def across(rows: pa.Table) -> pa.Table:
+        return _across(rows, every)
+
+    return both.groupBy("token", "block").applyInArrow(across, "u long, v long").distinct()
 
 
 def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -140,7 +199,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     ignored, whatever their names; an empty table gives an empty result.
     """
     source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    described = save(source.mapInArrow(_describe, "doc_id long, n long, mark binary, posted array<long>, brief binary"), "described")
+    described = save(source.mapInArrow(_describe, "doc_id long, n long, mark binary, posted array<int>"), "described")
 
     # One document of each distinct set stands for its copies.
     named = described.filter("n > 0 AND doc_id IS NOT NULL")
@@ -148,7 +207,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     classes = named.join(first, ["mark", "doc_id"]).dropDuplicates(["mark"])
 
     posted = classes.select("doc_id", F.posexplode("posted").alias("k", "value")).select(
-        "doc_id", (F.col("k") * F.lit(2**32) + F.col("value")).alias("token")
+        "doc_id", (F.col("k") * F.lit(2**33) + F.col("value")).alias("token")
     )
     shared = posted.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
     by_document = Window.partitionBy("doc_id")
@@ -160,10 +219,10 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         .select("doc_id", "token", "held")
     )
     prefix = save(prefix, "prefix")
-    able = save(prefix.select("doc_id").distinct(), "able")
-    briefs = save(classes.join(able, "doc_id", "left_semi").select("doc_id", "n", "brief", "mark"), "briefs")
-    texts = source.join(able, "doc_id", "left_semi").mapInArrow(_full_sets, "doc_id long, whole binary")
-    sets = save(texts.distinct(), "sets")
+    able = save(prefix.groupBy("doc_id").agg(F.collect_list("token").alias("tokens")), "able")  # at most a prefix of each
+    texts = source.join(able.select("doc_id"), "doc_id", "left_semi")
+    sets = save(texts.mapInArrow(_full_sets, "doc_id long, n long, brief binary, whole binary").distinct(), "sets")
+    briefs = sets.select("doc_id", "n", "brief").join(able, "doc_id")
 
     # Each document against the leader of its postings that it collides with most often.
     leaders = prefix.groupBy("token").agg(F.min("doc_id").alias("u"))
@@ -173,37 +232,13 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     )
     best = collisions.groupBy("v").agg(F.max(F.struct("n", -F.col("u"))).alias("top")).select((-F.col("top.col2")).alias("u"), "v")
     links = save(_confirmed(best, sets), "links")
-    labelled = save(_labelled(briefs.select("doc_id", "n", "brief"), links), "labelled")
-
-    # Postings that still hold several components: all but the largest part probe all members, in blocks.
-    members = prefix.join(labelled, "doc_id")
-    parts = members.groupBy("token", "component").agg(F.count("*").alias("size"))
-    split = (
-        parts.groupBy("token")
-        .agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("parts"), F.sum("size").alias("held"))
-        .filter("parts > 1")
-        .select("token", F.col("main.component").alias("main"), F.ceil(F.col("held") / _BLOCK_MEMBERS).cast("int").alias("blocks"))
-    )
-    open_rows = save(members.drop("held").join(split, "token"), "open")
-    shape = ["token", "block", "doc_id", "n", "component", "brief", "probe"]
-    held = open_rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("probe", F.lit(False)).select(shape)
-    probes = open_rows.filter("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("probe", F.lit(True)).select(shape)
-    across = held.union(probes).groupBy("token", "block").applyInArrow(_across, "u long, v long, agreed int")
-    across = save(
-        across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "agreed").distinct(), "across"
-    )
 
-    # The likeliest pair of a document and a component first; then whatever still lies across.
-    label = labelled.select("doc_id", "component")
-    ends = across.join(label.select(F.col("doc_id").alias("u"), F.col("component").alias("cu")), "u")
-    ends = ends.join(label.select(F.col("doc_id").alias("v"), F.col("component").alias("cv")), "v")
-    likely = ends.groupBy("cu", "cv").agg(F.max_by(F.struct("u", "v"), "agreed").alias("pair")).select("pair.u", "pair.v")
-    links = save(links.union(_confirmed(likely, sets)), "links")
-    label = save(_labelled(briefs.select("doc_id"), links), "labelled")
-    ends = across.join(label.select(F.col("doc_id").alias("u"), F.col("component").alias("cu")), "u")
-    ends = ends.join(label.select(F.col("doc_id").alias("v"), F.col("component").alias("cv")), "v").filter("cu <> cv")
-    links = save(links.union(_confirmed(ends, sets)), "links")
-    label = _labelled(briefs.select("doc_id", "mark"), links)
+    # What postings still hold apart: the likeliest pair of two components, then every pair that is left.
+    for every in (False, True):
+        labelled = save(_labelled(briefs, links), "labelled")
+        pairs = save(_open_pairs(prefix, labelled, every), "pairs")
+        links = save(links.union(_confirmed(pairs, sets)), "links")
+    label = _labelled(classes.join(able, "doc_id", "left_semi").select("doc_id", "mark"), links)
 
     of_mark = first.select("mark", F.col("doc_id").alias("first")).join(label.select("mark", "component"), "mark", "left")
     of_mark = of_mark.select(F.col("mark"), F.coalesce("component", "first").alias("component"))
