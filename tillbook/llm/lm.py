@@ -1,4 +1,4 @@
-"""Language model scores by online logistic mixing of hashed-context bit predictors.
+"""Language model scores by online logistic mixing of bit predictors that know a context.
 
 A token is coded in two parts. The first ``BITS`` bits of its hash are predicted one after the other; each bit
 by several predictors that know the bits before it and a context: nothing, the word before, the two words
@@ -8,24 +8,29 @@ mixture by how it has erred at that level of confidence. Weights, corrections an
 adapt while a document is read, a block of tokens at a time. The second part, which token of its hash
 prefix it is, has the add-one probability of its count there; all unseen tokens of a prefix are one symbol.
 
-The counts behind the fixed contexts come from the whole training part of the corpus: per token without
-bound, per hashed context in tables of a fixed size, which bounds what is sent to the driver and the tasks.
+The counts behind the fixed contexts come from the whole training part of the corpus, per token and per
+pair of a context and a hash prefix that follows it, both without bound. A pair is a 64-bit key, 52 bits of
+the context's hash above the prefix, so the keys below a node of a context are one range. Keys are dealt
+into ranges that grow in number with the input; each block of documents tells every range the keys it has
+and how often it teaches them, and gets the predictions along them and no others. Tokens are counted the
+same way, by their whole hash. Only sizes of the hash prefixes reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from tempfile import SpooledTemporaryFile
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import grouped, mix, rows, save, word_hashes
+from tillbook.llm.common import grouped, mix, rows, word_hashes
 
 BITS = 12
-SLOTS = 1 << 20  # of each table of hashed contexts
 STEP = 32  # tokens after which weights adapt
 RATE = 0.06  # of the weights
 CORRECTION = 0.01  # rate of the last stage
@@ -38,14 +43,14 @@ WEIGHTS = (
     ((0.10, 0.95, 0.75, 0.00), (0.10, 1.10, 0.60, 0.05), (0.00, 1.00, 0.60, 0.18), (0.00, 0.80, 0.60, 0.20)),
 )
 _SEEN = np.array([1, 4, 30], np.float32)
-_KNOWN = 4  # times the mean observations of a slot that make a context a known one
+_KNOWN = 4  # observations of a node that make a context a known one there
 _LEVELS = 24  # of confidence in the last stage
 _WIDEST = 8.0
 _PRIOR = 0.4
 _UNIT = 2_000
 _NODES = 1 << BITS
-_ORDERS = 2  # tables of hashed contexts
-_PARTS = 64  # pieces in which tables travel
+_RANGE_BYTES = 8 << 20  # of text for a range of pairs
+_HELD_BYTES = 32 << 20  # of questions to a range, more go to a temporary file
 _END = np.uint64(0x5EED0E2D0F7E871)  # stands for the end of a text
 _START = np.uint64(0x57A127)  # stands for what comes before a text
 _FLUSH = 1 << 20
@@ -70,22 +75,26 @@ def _paths(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contexts(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """32-bit hashes of the word before and of the two words before each token."""
+    """Hashes of the word before and of the two words before each token."""
     first = np.cumsum(counts) - counts
     one = np.concatenate([[_START], hashes[:-1]])
     one[first] = _START
     two = np.concatenate([[_START], one[:-1]])
     two[first] = _START
-    return [mix(one + np.uint64(1)).astype(np.uint32), mix(one * np.uint64(0x9E3779B97F4A7C15) + two).astype(np.uint32)]
+    return [mix(one + np.uint64(1)), mix(one * np.uint64(0x9E3779B97F4A7C15) + two)]
 
 
-def _slots(context: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """Slot of each (context, node): nodes of a context are spread over the table."""
-    spread = (nodes.view(np.uint32) * np.uint32(0x9E3779B1)) ^ context[:, None]
-    spread *= np.uint32(0x85EBCA6B)
-    spread ^= spread >> np.uint32(15)
-    spread *= np.uint32(0xC2B2AE35)
-    return spread >> np.uint32(33 - SLOTS.bit_length())
+def _keys(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """The pair of each token's hash prefix with the word before and with the two words before."""
+    prefix = hashes >> np.uint64(64 - BITS)
+    return [(context & ~np.uint64(_NODES - 1)) | prefix for context in _contexts(hashes, counts)]
+
+
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    keys, n = (np.concatenate(x) for x in zip(*held))
+    keys, at = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(at, n, len(keys)).astype(np.int64)
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,63 +102,121 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
-    def merged():
-        keys, n = (np.concatenate(x) for x in zip(*held))
-        keys, at = np.unique(keys, return_inverse=True)
-        return keys, np.bincount(at, n, len(keys)).astype(np.int64)
-
     for part in grouped(rows(batches), lambda r: len(r[0] or b""), _CHUNK_BYTES):
         held.append(np.unique(tokens([r[0] or b"" for r in part])[0], return_counts=True))
         size += len(held[-1][0])
         if size > _FLUSH:
-            held = [merged()]
+            held = [_added(held)]
             size = len(held[0][0])
             if size > _FLUSH // 2:
                 yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], ["h", "c"])
                 held, size = [], 0
     if held:
-        keys, n = merged()
+        keys, n = _added(held)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["h", "c"])
 
 
-def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of the tables: how often each slot saw a 0 and a 1, as compressed 32-bit numbers."""
-    tables = [np.zeros(2 * SLOTS, np.int32) for _ in range(_ORDERS)]
-    seen = False
-    for part in grouped(rows(batches), lambda r: len(r[0] or b""), _CHUNK_BYTES):
-        seen = True
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte of all of them, as most of the high bytes are alike."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T))
+
+
+def _unsqueezed(data: bytes, kind: type, width: int = 1) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize * width, -1)
+    return np.ascontiguousarray(flat.T).view(kind)
+
+
+def _keys_of(data: bytes) -> np.ndarray:
+    return np.cumsum(_unsqueezed(data, np.uint64).ravel(), dtype=np.uint64)
+
+
+def _asked_keys(texts: Iterator[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct pairs and distinct tokens of (text, use) in order, each with their counts in the texts to learn from."""
+    held: list[list] = [[], []]
+    for part in grouped(texts, lambda r: len(r[0] or b""), _CHUNK_BYTES):
         hashes, counts = tokens([r[0] or b"" for r in part])
-        nodes, bits = _paths(hashes)
-        for table, context in zip(tables, _contexts(hashes, counts)):
-            np.add.at(table, (2 * _slots(context, nodes).view(np.int32) + bits).ravel(), np.int32(1))
-    if seen:
-        pack = zstandard.ZstdCompressor(level=1)
-        for k, table in enumerate(tables):
-            for number, piece in enumerate(np.array_split(table, _PARTS)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([number], pa.int32()), pa.array([pack.compress(piece.tobytes())], pa.binary())],
-                    ["number", "piece", "counts"],
-                )
+        learnt = np.repeat(np.array([bool(r[1]) for r in part]), counts).astype(np.int64)
+        held[0].append(_added([(keys, learnt) for keys in _keys(hashes, counts)]))
+        held[1].append(_added([(hashes, learnt)]))
+    return [_added(h) for h in held]
 
 
-def _add_pieces(found: pa.Table) -> pa.Table:
-    unpack = zstandard.ZstdDecompressor()
-    total = np.zeros(2 * SLOTS // _PARTS, np.int64)
-    for counts in found["counts"]:
-        total += np.frombuffer(unpack.decompress(counts.as_py()), np.int32)
-    return pa.table({"number": found["number"][:1], "piece": found["piece"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+def _ask(found: pa.Table, ranges: int) -> pa.Table:
+    """A row for each range in which a block has pairs, and then for each range of its tokens."""
+    out: list[tuple] = []
+    for kind, (keys, n) in enumerate(_asked_keys(rows(iter(found.select(["text", "use"]).to_batches())))):
+        place = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        edges = np.searchsorted(place, np.arange(ranges + 1, dtype=np.uint64)).tolist()
+        for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+            if b > a:
+                out.append((kind * ranges + k, _squeezed(np.diff(keys[a:b], prepend=np.uint64(0))), _squeezed(n[a:b])))
+    return pa.table({
+        "block": pa.array(np.full(len(out), found["block"][0].as_py(), np.int32)), "range": pa.array([r[0] for r in out], pa.int32()),
+        "keys": pa.array([r[1] for r in out], pa.binary()), "counts": pa.array([r[2] for r in out], pa.binary()),
+    })
+
+
+def _entries(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Predictions at the nodes along each key; ``keys`` are in order and hold all of each of their contexts.
+
+    An entry is the stretched prediction of the bit that the key takes, in units of 1 / ``_UNIT``, doubled, and 1
+    more if the context is a known one there. It is 0 where nothing was observed.
+    """
+    before = np.concatenate([[0], np.cumsum(counts)])
+    out = np.empty((len(keys), BITS), np.int16)
+
+    def below(depth: int) -> np.ndarray:
+        node = keys >> np.uint64(BITS - depth)
+        edges = np.concatenate([[0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(keys)]])
+        return np.repeat((before[edges[1:]] - before[edges[:-1]]).astype(np.float32), np.diff(edges))
+
+    here = below(0)
+    for depth in range(BITS):
+        taken = below(depth + 1)
+        out[:, depth] = 2 * np.round(_stretch(here - taken, taken) * _UNIT) + (here >= _KNOWN)
+        here = taken
+    return out
+
+
+def _of_ones(keys: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """The same entries for the bit 1."""
+    for depth in range(BITS):
+        zero = (keys >> np.uint64(BITS - 1 - depth)) & np.uint64(1) == 0
+        entries[zero, depth] = 2 * (entries[zero, depth] & 1) - entries[zero, depth]
+    return entries
+
+
+def _answer(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
+    """For each block and range the entries of its pairs, or the counts of its tokens. Rows come range by range:
+    counts are added up while the questions are put aside, then these are answered one by one."""
+    for number, of_range in groupby(rows(batches), lambda r: r[1]):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size, asked = 0, []
+        with SpooledTemporaryFile(_HELD_BYTES) as aside:
+            for block, _, keys, counts in of_range:
+                aside.write(keys)
+                asked.append((block, len(keys)))
+                held.append((_keys_of(keys), _unsqueezed(counts, np.int64).ravel()))
+                size += len(held[-1][0])
+                if size > _FLUSH and size > 2 * len(held[0][0]):
+                    held = [_added(held)]
+                    size = len(held[0][0])
+            whole, told = _added(held)
+            if number < ranges:
+                told = _entries(whole, told)
+            aside.seek(0)
+            for block, length in asked:
+                found = _squeezed(told[np.searchsorted(whole, _keys_of(aside.read(length)))])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int32()), pa.array([number], pa.int32()), pa.array([found], pa.binary())], ["block", "range", "found"]
+                )
 
 
 @dataclass(frozen=True)
 class Model:
-    """Predictions without a context, those of the hashed tables, sizes of the hash prefixes, tokens, vocabulary.
-
-    The entry of a slot is its stretched prediction in units of 1 / ``_UNIT``, doubled, and 1 more if the
-    context is a known one.
-    """
+    """Predictions without a context, sizes of the hash prefixes, tokens, vocabulary."""
 
     plain: np.ndarray
-    hashed: list[np.ndarray]
     prefix_size: np.ndarray
     total: int
     distinct: int
@@ -160,12 +227,6 @@ def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.clip(np.log(odds), np.float32(-_WIDEST), np.float32(_WIDEST))
 
 
-def _entries(table: np.ndarray) -> np.ndarray:
-    observed = table.sum(axis=1)
-    known = observed > _KNOWN * observed.mean()
-    return (2 * np.round(_stretch(*table.T.astype(np.float32)) * _UNIT) + known).astype(np.int16)
-
-
 def _of_sizes(prefix_size: np.ndarray) -> np.ndarray:
     """Without a context a node's children are as likely as the sizes of what is below them: alone, this
     predictor gives every token its add-one probability in the corpus."""
@@ -176,36 +237,44 @@ def _of_sizes(prefix_size: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.log(children[:, 1] / children[:, 0])]).astype(np.float32)
 
 
-def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model and the token counts (h, c) of all rows of (text)."""
-    counted = save(texts.mapInArrow(_count_tokens, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "counts")
+def fit(texts: DataFrame) -> Model:
+    """What the token counts of all rows of (text) tell without a context."""
+    counted = texts.mapInArrow(_count_tokens, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     prefix = F.shiftrightunsigned("h", 64 - BITS)
     sizes = counted.groupBy(prefix.alias("prefix")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()  # a row per prefix
     prefix_size = np.ones(_NODES, np.float64)
     for row in sizes:
         prefix_size[row["prefix"]] += row["n"] + row["v"]
-    pieces = texts.mapInArrow(_count_contexts, "number int, piece int, counts binary")
-    pieces = pieces.groupBy("number", "piece").applyInArrow(_add_pieces, "number int, piece int, counts binary").collect()
-    tables = [np.zeros((SLOTS, 2), np.int64) for _ in range(_ORDERS)]
-    for row in pieces:
-        np.array_split(tables[row["number"]], _PARTS)[row["piece"]][:] = np.frombuffer(row["counts"], np.int64).reshape(-1, 2)
-    model = Model(
-        _of_sizes(prefix_size), [_entries(t) for t in tables], prefix_size, sum(r["n"] for r in sizes), sum(r["v"] for r in sizes)
-    )
-    return model, counted
+    return Model(_of_sizes(prefix_size), prefix_size, sum(r["n"] for r in sizes), sum(r["v"] for r in sizes))
 
 
-def mixed(hashes: np.ndarray, counts: np.ndarray, model: Model) -> np.ndarray:
+def answered(placed: DataFrame, ranges: int) -> DataFrame:
+    """(block, range, found) of (block, text, use): entries of all pairs of a block, in order over the ranges, and
+    counts of all its tokens in ranges from ``ranges`` on."""
+
+    def ask(found: pa.Table) -> pa.Table:
+        return _ask(found, ranges)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _answer(batches, ranges)
+
+    asked = placed.groupBy("block").applyInArrow(ask, "block int, range int, keys binary, counts binary")
+    dealt = asked.repartition("range").sortWithinPartitions("range")
+    return dealt.mapInArrow(answer, "block int, range int, found binary")
+
+
+def mixed(hashes: np.ndarray, counts: np.ndarray, model: Model, pairs: np.ndarray, predicted: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each token's hash prefix, document by document.
 
-    All documents are read side by side: step k has the k-th block of ``STEP`` tokens of each.
+    All documents are read side by side: step k has the k-th block of ``STEP`` tokens of each. ``pairs`` holds
+    all their keys in order and ``predicted`` the entries of each.
     """
     documents = len(counts)
     owner = np.repeat(np.arange(documents, dtype=np.int32), counts)
     step = (np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)) // STEP
     order = np.lexsort((owner, step))
     bounds = np.append(np.flatnonzero(np.diff(step[order], prepend=-1)), len(order))
-    one, two = (c[order] for c in _contexts(hashes, counts))
+    one, two = (np.searchsorted(pairs, keys[order]) for keys in _keys(hashes, counts))
     owner = owner[order]
     nodes, bits = _paths(hashes[order])
 
@@ -217,7 +286,7 @@ def mixed(hashes: np.ndarray, counts: np.ndarray, model: Model) -> np.ndarray:
     out = np.empty(len(hashes))
     for start, stop in zip(bounds[:-1], bounds[1:]):
         who, node, bit = owner[start:stop], nodes[start:stop], bits[start:stop]
-        entries = [np.take(table, _slots(c[start:stop], node).view(np.int32)) for table, c in zip(model.hashed, (one, two))]
+        entries = [np.take(predicted, place[start:stop], axis=0) for place in (one, two)]
         here = who[:, None] * np.int32(_NODES) + node
         said = np.take(own_pair, here)
         zeros, ones = said.real, said.imag
@@ -249,32 +318,22 @@ def mixed(hashes: np.ndarray, counts: np.ndarray, model: Model) -> np.ndarray:
     return out
 
 
-def _distinct(found: pa.Table) -> pa.Table:
-    """Distinct tokens of the documents of a block."""
-    parts = [
-        np.unique(tokens([r[0] or b"" for r in part])[0])
-        for part in grouped(rows(iter(found.select(["text"]).to_batches())), lambda r: len(r[0] or b""), _CHUNK_BYTES)
-    ]
-    kept = np.unique(np.concatenate(parts))
-    return pa.table({"block": pa.array(np.full(len(kept), found["block"][0].as_py(), np.int32)), "h": pa.array(kept.view(np.int64))})
-
-
-def _score_block(documents: pa.Table, known: pa.Table, model: Model) -> pa.Table:
+def _score_block(documents: pa.Table, told: pa.Table, model: Model, ranges: int) -> pa.Table:
     out: list[tuple] = []
     if documents.num_rows:
-        h = known["h"].to_numpy().view(np.uint64) if known.num_rows else np.empty(0, np.uint64)
-        c = known["c"].to_numpy() if known.num_rows else np.empty(0, np.int64)
-        order = np.argsort(h)
-        h, c = h[order], np.append(c[order], 0)
+        told = told.sort_by("range")
+        (pairs, _), (h, _) = _asked_keys((text, False) for text, in rows(iter(documents.select(["text"]).to_batches())))
+        parts: list[list] = [[], []]
+        for number, found in zip(told["range"].to_pylist(), told["found"]):
+            parts[number >= ranges].append(_unsqueezed(found.as_py(), *((np.int16, BITS) if number < ranges else (np.int64, 1))))
+        predicted, c = _of_ones(pairs, np.concatenate(parts[0])), np.concatenate(parts[1]).ravel()
         for part in grouped(rows(iter(documents.select(["doc_id", "text"]).to_batches())), lambda r: len(r[1] or b"") + 64, _CHUNK_BYTES):
             hashes, counts = tokens([text or b"" for _, text in part])
-            place = np.searchsorted(h, hashes)
-            hit = place < len(h)
-            hit[hit] = h[place[hit]] == hashes[hit]
-            times = c[np.where(hit, place, len(h))]
+            times = c[np.searchsorted(h, hashes)]
+            hit = times > 0
             base = np.log10((times + 1) / (model.total + model.distinct + 1))
             size = model.prefix_size[(hashes >> np.uint64(64 - BITS)).astype(np.int64)]
-            whole = mixed(hashes, counts, model) / _LOG10 + np.log10((times + 1) / size)
+            whole = mixed(hashes, counts, model, pairs, predicted) / _LOG10 + np.log10((times + 1) / size)
             first = np.cumsum(counts) - counts
             out += zip(
                 [r[0] for r in part], [len(r[1] or b"") for r in part], counts.tolist(), np.add.reduceat(hit, first, dtype=np.int64).tolist(),
@@ -293,18 +352,16 @@ def score(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", text
     ignored; an empty table gives no rows.
     """
     source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"), learn_from.alias("use"))
-    model, counted = fit(source.filter("use").select("text"))
+    model = fit(source.filter("use").select("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, size // _GROUP_BYTES)
-    placed = source.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
-    wanted = placed.groupBy("block").applyInArrow(_distinct, "block int, h long")
-    known = save(wanted.join(counted, "h").select("block", "h", "c"), "known")
+    blocks, ranges = max(1, size // _GROUP_BYTES), max(1, size // _RANGE_BYTES)
+    placed = source.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "use")  # dealt once for both uses
 
     def run(of_block: pa.Table, found: pa.Table) -> pa.Table:
-        return _score_block(of_block, found, model)
+        return _score_block(of_block, found, model, ranges)
 
     schema = "doc_id long, n_bytes long, n_tokens long, n_known long, base_score double, score double"
-    scored = placed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
+    scored = placed.groupBy("block").cogroup(answered(placed, ranges).groupBy("block")).applyInArrow(run, schema)
     bits = -F.col("score") / F.lit(np.log10(2.0).item()) / F.when(F.col("n_bytes") > 0, F.col("n_bytes"))
     return scored.select(
         "doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte")
