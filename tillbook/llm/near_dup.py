@@ -14,6 +14,7 @@ that still span several components compare their members, component against comp
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,6 +129,8 @@ def _across(rows: pa.Table, every: bool) -> pa.Table:
     asked for, only the likeliest one of two components is returned.
     """
     sides = [rows.filter(pc.field("probe")), rows.filter(~pc.field("probe"))]
+    if not all(t.num_rows for t in sides):
+        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
     probe, member = ({c: t[c].to_numpy() for c in ("doc_id", "n", "component")} for t in sides)
     views = [np.frombuffer(b"".join(t["brief"].to_pylist()), np.uint8).reshape(-1, COORDINATES // 4) for t in sides]
     leading = np.ascontiguousarray(views[1][:, : GLANCE // 4])
@@ -163,27 +166,53 @@ def _across(rows: pa.Table, every: bool) -> pa.Table:
     return pa.table({"u": pa.array(np.minimum(u, v), pa.int64()), "v": pa.array(np.maximum(u, v), pa.int64())})
 
 
-def _open_pairs(prefix: DataFrame, labelled: DataFrame, every: bool) -> DataFrame:
-    """Pairs (u, v) from postings that hold several components: all but the largest part probe all members, in blocks."""
-    members = prefix.select("doc_id", "token").join(labelled.select("doc_id", "component"), "doc_id")
+def _dealt(prefix: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Postings that hold several components, where all but the largest part probe all members: (token, band, block,
+    turn, doc_id, probe), so that each block of members meets each turn of probes and neither grows with the posting.
+
+    Postings longer than a block are first dealt into bands of sizes a third apart; a probe asks its own band and
+    the two beside it, as no link reaches further.
+    """
+    sized = prefix.select("doc_id", "token", "held").join(labelled.select("doc_id", "n", "component"), "doc_id")
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / PERCENT)).cast("int")
+    members = sized.select("doc_id", "token", "component", F.when(F.col("held") > _BLOCK_MEMBERS, band).alias("band"))
     parts = members.groupBy("token", "component").agg(F.count("*").alias("size"))
     split = (
         parts.groupBy("token")
-        .agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("parts"), F.sum("size").alias("held"))
+        .agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
         .filter("parts > 1")
-        .select("token", F.col("main.component").alias("main"), F.ceil(F.col("held") / _BLOCK_MEMBERS).cast("int").alias("blocks"))
+        .select("token", F.col("main.component").alias("main"))
     )
     rows_in = save(members.join(split, "token"), "open")
-    shape = ["token", "block", "doc_id", "probe"]
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    held = rows_in.withColumn("block", own).withColumn("probe", F.lit(False)).select(shape)
-    probes = rows_in.filter("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    both = held.union(probes.withColumn("probe", F.lit(True)).select(shape)).join(labelled, "doc_id")
+    asked = F.when(F.col("band").isNull(), F.array(F.lit(0))).otherwise(F.array(*(F.col("band") + k for k in (-1, 0, 1))))
+    held = rows_in.select("token", F.coalesce("band", F.lit(0)).alias("band"), "doc_id")
+    probes = rows_in.filter("component <> main").select("token", F.explode(asked).alias("band"), "doc_id")
+
+    def dealt(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("token", "band").agg(F.ceil(F.count("*") / _BLOCK_MEMBERS).cast("int").alias(name))
+
+    cells = dealt(held, "blocks").join(dealt(probes, "turns"), ["token", "band"])
+
+    def own(count: str):
+        return F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    held = held.join(cells, ["token", "band"]).withColumn("block", own("blocks")).withColumn("turn", every("turns"))
+    probes = probes.join(cells, ["token", "band"]).withColumn("turn", own("turns")).withColumn("block", every("blocks"))
+    shape = ["token", "band", "block", "turn", "doc_id", "probe"]
+    return held.withColumn("probe", F.lit(False)).select(shape).union(probes.withColumn("probe", F.lit(True)).select(shape))
+
+
+def _open_pairs(prefix: DataFrame, labelled: DataFrame, every: bool) -> DataFrame:
+    """Pairs (u, v) across the components of a posting."""
+    both = _dealt(prefix, labelled).join(labelled, "doc_id")
 
     def across(rows: pa.Table) -> pa.Table:
         return _across(rows, every)
 
-    return both.groupBy("token", "block").applyInArrow(across, "u long, v long").distinct()
+    return both.groupBy("token", "band", "block", "turn").applyInArrow(across, "u long, v long").distinct()
 
 
 def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
