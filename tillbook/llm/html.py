@@ -34,8 +34,12 @@ _BLOCK_CHARS = 1 << 21
 # Elements by how HTML treats them (fixed values of the standard).
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-_DROPPED = _RAW | frozenset("head noscript template svg math canvas object select button datalist audio video map".split())
-_INLINE = frozenset(
+_DROPPED = _RAW | frozenset("noscript template svg canvas object select button datalist audio video map".split())
+_MATH = frozenset(
+    "math maction annotation annotation-xml merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
+    "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
+_INLINE = _MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rt rp".split()
 )
 _CLOSES_P = frozenset(
@@ -47,7 +51,6 @@ _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}),
-    "body": ({"head"}, set()),
 }
 
 # Groups of tags and of words in class, id and role that are told apart.
@@ -170,6 +173,8 @@ class Page:
                     if k:
                         pop_to(k)
                 continue
+            if tag == "head":  # what cannot be in a head is in the body, whether or not the head was closed
+                continue
             if tag in _VOID:
                 if tag == "hr":
                     k = find({"p"}, ())
@@ -181,10 +186,11 @@ class Page:
                 continue
             if tag in _DROPPED:
                 buffer.append(" ")
-                position = self._skip(source, position, tag)
+                if tag != "svg" or not attributes.endswith("/"):
+                    position = self._skip(source, position, tag, {t for t in open_tag if t not in _INLINE})
                 continue
             if tag in _INLINE:
-                if not attributes.endswith("/") or tag != "a":
+                if not attributes.endswith("/") or tag != "a" and tag not in _MATH:
                     open_at.append(open_at[-1])
                     open_tag.append(tag)
                     in_link += tag == "a"
@@ -208,19 +214,40 @@ class Page:
         flush()
 
     @staticmethod
-    def _skip(source: str, position: int, tag: str) -> int:
-        """End of an element whose inside is no text; an element that never ends reaches up to the body or the end."""
-        close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>" + (r"|(?=<body[\s>])" if tag == "head" else ""), re.I)
-        found = close.search(source, position)
-        if tag not in _RAW:  # the same element inside counts
-            depth, both = 1, re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>" + (r"|(?=<body[\s>])" if tag == "head" else ""), re.I)
-            while found := both.search(source, position):
-                depth += -1 if found.group(1) != "" else 1
-                position = found.end()
-                if not depth or found.group(1) is None:
-                    return position
-            return len(source)
-        return found.end() if found else len(source)
+    def _skip(source: str, position: int, tag: str, outside: set[str]) -> int:
+        """End of an element whose inside is no text: its end tag, or else where an element around it ends.
+
+        As in HTML, raw text that is not closed reaches to the end of the page.
+        """
+        if tag in _RAW:
+            found = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, position)
+            return found.end() if found else len(source)
+        if tag in ("template", "object"):  # end tags of what is around them do not count inside
+            depth, start, both = 1, position, re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I)
+            while found := both.search(source, start):
+                depth += -1 if found.group(1) else 1
+                start = found.end()
+                if not depth:
+                    return start
+        inside: list[str] = []
+        while found := _TOKEN.search(source, position):
+            closing, name, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
+            name = (name or "").lower()
+            if closing:
+                if name in inside:
+                    del inside[len(inside) - 1 - inside[::-1].index(name) :]
+                elif name == tag:
+                    return found.end()
+                elif name in outside:
+                    return found.start()
+            position = found.end()
+            if not name or closing or name in _VOID or attributes.endswith("/") or name == tag in ("button", "select"):
+                continue
+            if name in _RAW and tag != "svg" and "svg" not in inside:
+                position = Page._skip(source, position, name, outside)
+            else:
+                inside.append(name)
+        return len(source)
 
 
 def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
