@@ -28,3 +28,28 @@ def test_only_what_is_dropped_goes(source):
 def test_math_is_text():
     page = html.Page("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><mspace/></math> hold.</p></article>")
     assert [text for _, text in page.blocks] == ["Let x=1 hold."]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return html.train([])
+
+
+def text_of(source, model):
+    return html.main_texts([source], model)[0].split("\n\n")
+
+
+def test_form_around_a_page(model):
+    body = f"<h1>Title of it</h1><p>{LONG}</p><p>{LONG}</p>"
+    menu = "<ul class=menu><li><a href=/a>A b</a></li><li><a href=/b>C</a></li></ul>"
+    page = f"<html><body><form method=post><input type=hidden name=v>{menu}<div id=content>{body}</div><footer>Copyright x</footer></form></body></html>"
+    assert text_of(page, model) == ["Title of it", LONG.strip(), LONG.strip()]
+
+
+def test_footer_of_a_quote_and_aside_with_text(model):
+    quote = "<blockquote><p>Said once, and then again by all.</p><footer>A writer of it</footer></blockquote>"
+    aside = "<aside><p>An aside that holds what belongs to the article, in some more words.</p></aside>"
+    nav = "<nav><a href=/>Home</a></nav>"
+    for part, want in ((quote, ["Said once, and then again by all.", "A writer of it"]), (aside, [aside[10:-12]])):
+        page = f"<html><body>{nav}<article><h1>Title</h1><p>{LONG}</p>{part}<p>{LONG}</p></article></body></html>"
+        assert text_of(page, model) == ["Title", LONG.strip(), *want, LONG.strip()]

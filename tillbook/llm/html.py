@@ -85,6 +85,7 @@ _TOKEN = re.compile(
 )
 _NAMED = re.compile(r"(?<![^\s\"'/])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_EMPTY = re.compile(r"(?<![^\s\"'])/\Z")  # the slash of <a/>, not the one of <a href=/>
 _STOPS = re.compile(r"[.,;:!?]")
 
 
@@ -190,7 +191,7 @@ class Page:
                     position = self._skip(source, position, tag, {t for t in open_tag if t not in _INLINE})
                 continue
             if tag in _INLINE:
-                if not attributes.endswith("/") or tag != "a" and tag not in _MATH:
+                if not _EMPTY.search(attributes) or tag != "a" and tag not in _MATH:
                     open_at.append(open_at[-1])
                     open_tag.append(tag)
                     in_link += tag == "a"
@@ -323,6 +324,9 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.stack([np.asarray(c, float) for c in columns], axis=1), parent, depth
 
 
+_LINKED = 2 * len(_TAGS) - 1 + 2 * len(_WORDS) + 2  # the feature that tells which part of the text is in links
+
+
 def decode(score: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> np.ndarray:
     """Which nodes are kept: the most probable choice in which a kept node has a kept parent; roots are kept."""
     keep, drop = -np.logaddexp(0, -score), -np.logaddexp(0, score)  # log probabilities
@@ -346,7 +350,7 @@ def main_texts(sources: list[str], model: boost.Trees) -> list[str]:
     score = model.score(x)
     tags = [t for p in pages for t in p.tag]
     score[[k for k, t in enumerate(tags) if t in ("#", "html", "body")]] = 30.0  # every page has them
-    score[[k for k, t in enumerate(tags) if t in ("nav", "footer", "aside", "form")]] = -30.0  # never main text by their meaning
+    score[x[:, _TAG_GROUP["nav"]].astype(bool) & (x[:, _LINKED] > 0.5)] = -30.0  # links to elsewhere by meaning and content
     kept = decode(score, parent, depth)
     out, base = [], 0
     for page in pages:
@@ -387,6 +391,8 @@ def made_pages(n: int, seed: int = 11) -> list[str]:
     def menu():
         tag = dice.choice(["nav", "nav", "div", "ul"])
         inside = links(3, 9) if tag == "ul" else f"<ul>{links(3, 9)}</ul>"
+        if tag == "nav" and dice.random() < 0.3:
+            inside = " ".join(f'<a href="/{word()}">{words(1, 3)}</a>' for _ in range(dice.randint(1, 6)))
         return f'<{tag}{name("nav", "menu", "navbar", "main-menu", "breadcrumbs") if tag != "nav" else ""}>{inside}</{tag}>'
 
     def advert():
@@ -438,14 +444,16 @@ def made_pages(n: int, seed: int = 11) -> list[str]:
         parts = [f"<h1 {_KEEP}>{words(2, 12)}</h1>"] if dice.random() < 0.85 else []
         for _ in range(dice.randint(1, 14)):
             kind = dice.random()
-            if kind < 0.8:
+            if kind < 0.02:
+                parts.append(f"<aside><p {_KEEP}>{words(8, 60)}</p></aside>")
+            elif kind < 0.8:
                 parts.append(f"<p {_KEEP}>{text()}" + ("</p>" if dice.random() < 0.9 else "<br>"))
             elif kind < 0.86:
                 parts.append(f"<h{(k := dice.randint(2, 4))} {_KEEP}>{words(1, 8)}</h{k}>")
             elif kind < 0.91:
                 parts.append("<ul>" + "".join(f"<li {_KEEP}>{text(1, 25)}</li>" for _ in range(dice.randint(2, 6))) + "</ul>")
             elif kind < 0.94:
-                parts.append(f"<blockquote {_KEEP}>{text(3, 40)}</blockquote>")
+                parts.append(f"<blockquote {_KEEP}>{text(3, 40)}{dice.choice(['', '', f'<footer {_KEEP}>{words(1, 8)}</footer>'])}</blockquote>")
             elif kind < 0.96:
                 parts.append("<table>" + "".join(f"<tr><td {_KEEP}>{words(1, 4)}</td><td {_KEEP}>{words(1, 4)}</td></tr>" for _ in range(3)) + "</table>")
             elif kind < 0.98:
@@ -477,6 +485,9 @@ def made_pages(n: int, seed: int = 11) -> list[str]:
         before = [maybe(0.5, head), maybe(0.25, notice), maybe(0.6, menu), maybe(0.5, advert)]
         after = [maybe(0.4, side), maybe(0.35, comments), maybe(0.25, related), maybe(0.25, form), maybe(0.2, advert), maybe(0.15, notice), maybe(0.8, foot)]
         dice.shuffle(after) if dice.random() < 0.2 else None
+        if dice.random() < 0.1:  # a form around the whole page
+            before.insert(0, f'<form{dice.choice(["", " method=post", f" id={word()}"])}>')
+            after.append("</form>")
         return f"<!DOCTYPE html><html><head><title>{words(2, 8)}</title></head><body>{''.join(before)}{content}{''.join(after)}</body></html>"
 
     return [page() for _ in range(n)]
