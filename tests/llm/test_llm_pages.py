@@ -53,3 +53,9 @@ def test_footer_of_a_quote_and_aside_with_text(model):
     for part, want in ((quote, ["Said once, and then again by all.", "A writer of it"]), (aside, [aside[10:-12]])):
         page = f"<html><body>{nav}<article><h1>Title</h1><p>{LONG}</p>{part}<p>{LONG}</p></article></body></html>"
         assert text_of(page, model) == ["Title", LONG.strip(), *want, LONG.strip()]
+
+
+@pytest.mark.parametrize("last", ["The last of it, x&amp;y", "The end.", "So it was"])
+def test_short_last_paragraph(model, last):
+    page = f"<article><h1>T</h1><p>{LONG}</p><p>{last}</p>"
+    assert text_of(page, model) == ["T", LONG.strip(), html.html.unescape(last)] == text_of(page + "</article>", model)

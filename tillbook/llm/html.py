@@ -28,7 +28,7 @@ from tillbook.llm import boost
 from tillbook.llm.common import grouped, rows
 
 SAMPLE = 200  # pages at hand that are learnt from, the ones whose address hashes lowest
-MADE = 500  # composed pages
+MADE = 1_000  # composed pages
 _BLOCK_CHARS = 1 << 21
 
 # Elements by how HTML treats them (fixed values of the standard).
@@ -313,6 +313,10 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     earlier = np.empty(n)
     earlier[below] = np.arange(n) - first[np.maximum(parent[below], 0)]
     page_chars = np.maximum(total[offset][page], 1)
+    prior = np.arange(n)  # the sibling before
+    later = earlier[below] > 0
+    prior[below[later]] = below[np.flatnonzero(later) - 1]
+    lone = prior == np.arange(n)
     columns = [
         *((tag == k) for k in range(len(_TAGS))), *((above_tag >> k & 1) for k in range(1, len(_TAGS))),
         *((named >> k & 1) for k in range(len(_WORDS))), *((above_named >> k & 1) for k in range(len(_WORDS))),
@@ -320,6 +324,7 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         np.log1p(longest), total / np.maximum(block, 1), np.log1p(paragraphs), np.log1p(nodes), total / page_chars,
         text_before / page_chars, siblings, earlier / np.maximum(siblings, 1), total / np.maximum(total[up], 1),
         paragraphs[up] / np.maximum(nodes[up], 1), np.log1p(longest[up]), link[up] / np.maximum(total[up], 1),
+        np.where(lone, -1, tag[prior]), np.where(lone, -1, np.log1p(total[prior])), (tag == tag[prior]) & (named == named[prior]) & ~lone,
     ]
     return np.stack([np.asarray(c, float) for c in columns], axis=1), parent, depth
 
@@ -478,6 +483,10 @@ def made_pages(n: int, seed: int = 11) -> list[str]:
             content = f"<main{name('main', 'page')}>{maybe(0.3, head)}{content}{maybe(0.3, related)}{maybe(0.3, comments)}</main>"
         elif dice.random() < 0.3:
             content = f"<div{name('wrapper', 'container', 'page', 'row')}>{content}{maybe(0.5, side)}{maybe(0.3, comments)}</div>"
+        if dice.random() < 0.1:  # nothing but the text, its end a short paragraph
+            last = f"<p {_KEEP}>{words(1, 8)}</p>"
+            inside = "".join(f"<p {_KEEP}>{words(5, 120)}</p>" for _ in range(dice.randint(1, 6)))
+            return dice.choice(["<article>{}</article>", "<body><article>{}</article></body>", "<div>{}</div>", "{}"]).format(f"<h1 {_KEEP}>{words(1, 9)}</h1>{inside}{last}")
         if dice.random() < 0.1:  # a page without an article
             content = dice.choice([menu, menu, advert, notice, foot, form, side])()
             if dice.random() < 0.5:
