@@ -12,15 +12,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tillbook
-from tillbook.llm import ann, bpe, chat, html, langid, lm, packing, substring, topk
+from tillbook.llm import ann, bpe, chat, html, langid, lm, merkle, negatives, packing, substring, topk
 from tillbook.llm.common import load
 from tillbook.llm.near_dup import near_duplicates
 
 _SHIPPED: set[str] = set()
 
+# Operators write what they reuse to the shared folder; the shuffles behind it are of no more use then.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def ship(spark: SparkSession) -> SparkSession:
     """Give the Python workers this package, once per application; they may not see the driver's folders."""
+    spark.conf.set(_CLEANUP, "true")
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         root = Path(tillbook.__file__).parent
@@ -81,9 +85,17 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(load(ship(spark), sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(load(ship(spark), sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(load(ship(spark), sf_dir, "embeddings"))
+
+
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_near_dup, op2_chat_format, op3_language_id, op4_substring_dedup, op5_packing, op6_ann, op7_bpe,
-    op8_lm_score, op9_html_text, op10_topk,
+    op8_lm_score, op9_html_text, op10_topk, op12_merkle, op13_hard_negatives,
 ]
 
 
@@ -92,4 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": chat.ORACLE, "op4_substring_dedup": substring.ORACLE, "op10_topk": topk.ORACLE}
+    return {
+        "op2_chat_format": chat.ORACLE, "op4_substring_dedup": substring.ORACLE, "op10_topk": topk.ORACLE,
+        "op12_merkle": merkle.ORACLE, "op13_hard_negatives": negatives.ORACLE,
+    }
