@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tillbook
-from tillbook.llm import ann, bpe, chat, html, langid, lm, merkle, negatives, packing, substring, topk
+from tillbook.llm import ann, bpe, chat, html, langid, lm, merkle, negatives, packing, repeats, substring, topk
 from tillbook.llm.common import load
 from tillbook.llm.near_dup import near_duplicates
 
@@ -85,6 +85,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(load(ship(spark), sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(load(ship(spark), sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digests(load(ship(spark), sf_dir, "documents"))
 
@@ -95,7 +99,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_near_dup, op2_chat_format, op3_language_id, op4_substring_dedup, op5_packing, op6_ann, op7_bpe,
-    op8_lm_score, op9_html_text, op10_topk, op12_merkle, op13_hard_negatives,
+    op8_lm_score, op9_html_text, op10_topk, op11_suffix_dedup, op12_merkle, op13_hard_negatives,
 ]
 
 
@@ -106,5 +110,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_format": chat.ORACLE, "op4_substring_dedup": substring.ORACLE, "op10_topk": topk.ORACLE,
-        "op12_merkle": merkle.ORACLE, "op13_hard_negatives": negatives.ORACLE,
+        "op11_suffix_dedup": repeats.ORACLE, "op12_merkle": merkle.ORACLE, "op13_hard_negatives": negatives.ORACLE,
     }
