@@ -61,15 +61,20 @@ def run_hashes(data: np.ndarray, width: int) -> np.ndarray:
         size *= 2
 
 
-def _smallest(values: np.ndarray) -> np.ndarray:
-    """For each window the place of its smallest seed, the leftmost of equal ones."""
-    place, width = np.arange(len(values)), 1
+def _smallest(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window its smallest seed and the place of that.
+
+    Seeds lose their last six bits to their place, which then is the lowest part of what is compared. Of equal
+    seeds any may be taken: equal windows have the same seed, if not the same block.
+    """
+    at, low = np.arange(len(values), dtype=np.uint64), np.uint64(63)
+    least, width = (values & ~low) | (at & low), 1
     while width < _SPAN:
         step = min(width, _SPAN - width)
-        left, right = place[:-step], place[step:]
-        place = np.where(values[left] <= values[right], left, right)
+        least = np.minimum(least[:-step], least[step:])
         width += step
-    return place
+    at = at[: len(least)]
+    return least & ~low, (at + ((least - at) & low)).astype(np.int64)
 
 
 def blocks(data: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -81,16 +86,19 @@ def blocks(data: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(data) < WINDOW:
         return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     seeds, whole = run_hashes(data, SEED), run_hashes(data, WINDOW)
-    place = _smallest(seeds)
-    owner = np.repeat(np.arange(len(counts)), counts)[: len(place)]
+    seed, place = _smallest(seeds)
     ends = np.cumsum(counts)
-    inside = np.arange(len(place)) + WINDOW <= ends[owner]
-    first = inside & np.concatenate([[True], (place[1:] != place[:-1]) | ~inside[:-1] | (owner[1:] != owner[:-1])])
+    inside = np.ones(len(place), bool)  # whether a window ends in the document in which it starts
+    for begin, end in zip((ends - counts).tolist(), ends.tolist()):
+        inside[max(begin, end - WINDOW + 1) : end] = False
+    first = inside.copy()
+    first[1:] &= (place[1:] != place[:-1]) | ~inside[:-1]
     start = np.flatnonzero(first)
-    stop = np.minimum(np.append(start[1:], len(place)), ends[owner[start]] - WINDOW + 1)
+    owner = np.searchsorted(ends, start, side="right")
+    stop = np.minimum(np.append(start[1:], len(place)), ends[owner] - WINDOW + 1)
     n = stop - start  # less than WINDOW, so the first and the last window cover the block
     shape = (n << 8 | (place[start] - start)).astype(np.uint64)
-    return seeds[place[start]], mix(whole[start] ^ mix(whole[stop - 1] ^ mix(shape))), owner[start], start, n
+    return seed[start], mix(whole[start] ^ mix(whole[stop - 1] ^ mix(shape))), owner, start, n
 
 
 def _batch(kind, s, e, doc_id, version, start, n) -> pa.RecordBatch:
@@ -179,33 +187,55 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
 
+def _words(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """The bytes of each suffix as numbers of eight, the first most significant; zeros behind its end."""
+    part = data.astype(np.uint64)
+    for shift in (1, 2, 4):
+        part = (part[:-shift] << np.uint64(8 * shift)) | part[shift:]
+    out = []
+    for first in range(0, _WIDEST, 8):
+        missing = np.clip(first + 8 - size, 0, 8).astype(np.uint64) * np.uint64(8)
+        word = part[at + first] >> np.minimum(missing, np.uint64(63))
+        out.append(np.where(missing == 64, np.uint64(0), word << np.minimum(missing, np.uint64(63))))
+    return out
+
+
+def _common(words: list[np.ndarray]) -> np.ndarray:
+    """Number of leading bytes that each suffix shares with the one before."""
+    common, equal = np.zeros(max(0, len(words[0]) - 1), np.int64), np.ones(max(0, len(words[0]) - 1), bool)
+    for word in words:
+        differ = word[1:] ^ word[:-1]
+        for shift in range(56, -1, -8):
+            equal &= (differ >> np.uint64(shift)) == 0
+            common += equal
+    return common
+
+
 class SuffixArray:
     """Suffixes of pieces that share WINDOW bytes with another document's, in order, with their common prefixes."""
 
     def __init__(self, pieces: list[bytes], n: np.ndarray, doc_id: np.ndarray):
         size = np.array([len(p) for p in pieces])
-        data = np.frombuffer(b"".join(pieces) + bytes(_WIDEST + 8), np.uint8)
+        data = np.frombuffer(b"".join(pieces) + bytes(_WIDEST + 16), np.uint8)
         begin = np.cumsum(size) - size
         owner = np.repeat(np.arange(len(pieces)), n)
         offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
         at = begin[owner] + offset
         # Only strings of more than one document can be copies.
         content = run_hashes(data, WINDOW)[at]
-        order = np.lexsort((doc_id[owner], content))
-        new = np.concatenate([[True], content[order][1:] != content[order][:-1]])
-        ends = np.append(np.flatnonzero(new)[1:], len(order)) - 1
-        shared = (doc_id[owner][order][new] != doc_id[owner][order][ends])[np.cumsum(new) - 1]
-        keep = order[shared]
+        order = np.argsort(content, kind="stable")
+        content, docs = content[order], doc_id[owner][order]
+        first = np.flatnonzero(np.concatenate([[True], content[1:] != content[:-1]]))
+        shared = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)
+        size_of = np.diff(np.append(first, len(order)))
+        keep, group = order[np.repeat(shared, size_of)], np.repeat(np.arange(len(first))[shared], size_of[shared])
         self.owner, self.offset = owner[keep], offset[keep]
         self.size = size[self.owner] - self.offset
-        width = -(-_WIDEST // 8) * 8
-        text = np.lib.stride_tricks.sliding_window_view(data, width)[at[keep]] if len(keep) else np.empty((0, width), np.uint8)
-        text = np.where(np.arange(width) < self.size[:, None], text, 0).astype(np.uint8)
-        words = text.view(">u8").astype(np.uint64)
-        order = np.lexsort((self.size, *(words[:, k] for k in range(words.shape[1] - 1, -1, -1))))
-        self.owner, self.offset, self.size, text = (x[order] for x in (self.owner, self.offset, self.size, text))
-        differ = text[1:] != text[:-1]
-        common = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+        words = _words(data, at[keep], self.size)
+        # Suffixes are together by their first WINDOW bytes already; what follows puts each group in order.
+        order = np.lexsort((self.size, *reversed(words[WINDOW // 8 :]), group))
+        self.owner, self.offset, self.size = self.owner[order], self.offset[order], self.size[order]
+        common = _common([word[order] for word in words])
         self.common = np.minimum(common, np.minimum(self.size[1:], self.size[:-1]))  # with the suffix before
         before = data[np.maximum(at[keep][order] - 1, 0)].astype(np.int64)
         self.before = np.where(self.offset > 0, before, -1)  # -1: the piece begins here, whatever precedes it
