@@ -7,25 +7,27 @@ import sys
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillbook.functions.codec import clean, parse, unpack  # noqa: E402
+from tillbook.operators.layout import read_by_layout, write_by_layout  # noqa: E402
+from tillbook.operators.parts import whole, whole_once  # noqa: E402
 from tillbook.operators.versions import VersionedTable  # noqa: E402
 from tillbook.plans import quality, reports, verification  # noqa: E402
-from tillbook.schema import CLEAN  # noqa: E402
+from tillbook.schema import CLEAN, STORED  # noqa: E402
 from tillbook.session import pin, size_shuffles, workspace  # noqa: E402
 from tillbook.sources.events import raw_source  # noqa: E402
-from tillbook.sources.retail import Feed, feed, sales, table  # noqa: E402
-from tillbook.streaming.ingest import AVAILABLE_NOW, start_ingest  # noqa: E402
+from tillbook.sources.retail import feed, sales, table  # noqa: E402
+from tillbook.streaming.ingest import AVAILABLE_NOW, rejects_of, start_ingest, stored_events  # noqa: E402
+from tillbook.streaming.journal import Journal  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
     from tillbook.llm import registry as llm  # noqa: E402
-except ModuleNotFoundError as missing:  # only the folder itself may be absent
-    if missing.name not in ("corpus_pipeline", "tillbook.llm"):
-        raise
+except ImportError:  # the folder is absent, or a library that its operators need
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _RANGE = (datetime(1996, 3, 10), datetime(1997, 6, 20))
 _RANGE_STORES = ["STORE-001", "STORE-003"]
 _RATE = {"seconds": 60, "low": 0.02, "high": 0.1}
+_DELAY = "1 day"
+_PARTS = 3
 
 
 # Files per micro-batch of a backlog: bounds what a failed batch repeats, not what is read.
@@ -50,9 +54,10 @@ def _clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Tables to JSON events and back to flat rows, or to some of their columns."""
-    events = feed(_ready(spark, sf_dir), sf_dir)
-    return events.complete(parse(events.raw, columns=columns or None))
+    """Tables to JSON events and back to flat rows, or to some of their columns; parts are added up."""
+    needed = ("transaction_id", *(name for name in columns if name != "transaction_id"), "part", "parts") if columns else None
+    found = whole_once(parse(feed(_ready(spark, sf_dir), sf_dir), columns=needed))
+    return found.select(*columns) if columns else found
 
 
 def _naive(rows: DataFrame) -> DataFrame:
@@ -80,26 +85,30 @@ def events_to_revenue(spark, sf_dir):
 
 
 def basket_totals(spark, sf_dir):
-    events = feed(_ready(spark, sf_dir), sf_dir)
-    checked = quality.reconcile(unpack(events.raw))
-    large = Feed(events.raw, None if events.oversized is None else events.oversized.withColumn("consistent", F.lit(True)))
-    return large.complete(checked)
+    return quality.reconcile(unpack(feed(_ready(spark, sf_dir), sf_dir)))
+
+
+def amount_mismatch(spark, sf_dir):
+    """The same check on events of which some have a total that is a cent too high, or none."""
+    events = unpack(feed(_ready(spark, sf_dir), sf_dir))
+    key = F.substring_index("transaction_id", "-", -1).cast("bigint")
+    wrong = F.when(key % 11 == 0, F.col("total") + 0.01).when(key % 13 != 0, F.col("total"))
+    return quality.reconcile(events.withColumn("total", wrong))
 
 
 def encode_payload(spark, sf_dir):
-    events = feed(_ready(spark, sf_dir), sf_dir, "units", "first_sku", "last_sku")
     skus = F.transform("items", lambda item: item["sku"])
     units = F.aggregate("items", F.lit(0).cast("bigint"), lambda n, item: n + item["quantity"])
-    read = unpack(events.raw).select(
+    read = unpack(feed(_ready(spark, sf_dir), sf_dir)).select(
         "transaction_id", "store_id", "register_id",
         F.col("timestamp").cast("timestamp").alias("transaction_timestamp"),
         "subtotal", "tax", "total", "payment_method", "payment_status", "customer_id",
         F.size("items").alias("item_count"),
         units.alias("units"),
         F.array_min(skus).alias("first_sku"),
-        F.array_max(skus).alias("last_sku"),
+        F.array_max(skus).alias("last_sku"), "part", "parts",
     )
-    return _naive(events.complete(read)).withColumn("units", F.coalesce("units", F.lit(0)))
+    return _naive(whole_once(read, {"units": F.sum("units"), "first_sku": F.min("first_sku"), "last_sku": F.max("last_sku")}))
 
 
 # -- reports -----------------------------------------------------------------------------------
@@ -137,84 +146,170 @@ def rate_check(spark, sf_dir):
     return reports.rate_check(table(_ready(spark, sf_dir), sf_dir, "events"), **_RATE)
 
 
+def rate_stream(spark, sf_dir):
+    """The same from a running stream: only windows that the watermark has closed, each counted once."""
+    folder = workspace(_ready(spark, sf_dir), "rates")
+    events = table(spark, sf_dir, "events").select("ts")
+    events.write.parquet(f"{folder}/landing")
+    arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/landing")
+    counts = reports.windowed_counts(arriving, seconds=_RATE["seconds"], delay=_DELAY)
+    query = counts.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    query.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    rates = reports.rates_of_counts(spark.read.schema(counts.schema).parquet(f"{folder}/out"), **_RATE)
+    return rates.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 # -- streams -----------------------------------------------------------------------------------
 
 
-def _land(raw: DataFrame, folder: str, kind: str = "files") -> None:
+def _land(raw: DataFrame, folder: str, kind: str = "files", place: str = "") -> None:
     """Put events down where a stream picks them up: one per line of text, or as a table of values."""
+    target = f"{folder}/landing{place}"
     if kind == "files":
-        raw.select(F.col("value").cast("string")).write.mode("append").text(f"{folder}/landing")
+        raw.select(F.col("value").cast("string")).write.mode("append").text(target)
     else:
-        raw.write.mode("append").parquet(f"{folder}/landing")
+        raw.write.mode("append").parquet(target)
+
 
+def _ingest(spark: SparkSession, folder: str, sink: str, target: str, *, kind: str = "files", consumer: str = "ingest", mode: str = "strict", **source):
+    raw = raw_source(spark, kind, source.pop("location", f"{folder}/landing"), per_batch=_BATCH_FILES, **source)
+    return start_ingest(raw, sink, target, f"{folder}/{consumer}.checkpoint", trigger=AVAILABLE_NOW, mode=mode, layout=("store",))
 
-def _ingest(spark: SparkSession, folder: str, sink: str, target: str, *, kind: str = "files", consumer: str = "ingest"):
-    raw = raw_source(spark, kind, f"{folder}/landing", per_batch=_BATCH_FILES)
-    return start_ingest(raw, sink, target, f"{folder}/{consumer}.checkpoint", trigger=AVAILABLE_NOW)
 
+def _settled(folder: str, query, consumer: str = "ingest"):
+    quality.settle(query, location=f"{folder}/landing", checkpoint=f"{folder}/{consumer}.checkpoint")
+    query.awaitTermination()  # of what is available now; there is an end
+    return query
 
-def _written(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(CLEAN).parquet(target)
+
+def _table(spark: SparkSession, folder: str) -> VersionedTable:
+    return VersionedTable(spark, f"{folder}/table", STORED, ("store",))
 
 
 def ingest_stream_parquet(spark, sf_dir):
-    folder, events = workspace(_ready(spark, sf_dir), "parquet"), feed(spark, sf_dir)
-    _land(events.raw, folder)
-    quality.settle(_ingest(spark, folder, "parquet", f"{folder}/out"))
-    return _naive(events.complete(_written(spark, f"{folder}/out"), cleaned=True))
+    folder = workspace(_ready(spark, sf_dir), "parquet")
+    _land(feed(spark, sf_dir), folder)
+    _settled(folder, _ingest(spark, folder, "parquet", f"{folder}/out"))
+    return _naive(whole(stored_events(spark, f"{folder}/out")))
 
 
 def ingest_stream_append(spark, sf_dir):
-    folder, events = workspace(_ready(spark, sf_dir), "append"), feed(spark, sf_dir)
-    stored = VersionedTable(spark, f"{folder}/table").create(("store",))
-    _land(events.raw, folder)
-    quality.settle(_ingest(spark, folder, "versions", stored.root))
-    return _naive(events.complete(stored.current(), cleaned=True))
+    folder = workspace(_ready(spark, sf_dir), "append")
+    stored = _table(spark, folder)
+    _land(feed(spark, sf_dir), folder)
+    _settled(folder, _ingest(spark, folder, "versions", stored.root))
+    return _naive(stored.current())
 
 
 def restart_resume(spark, sf_dir):
     """Half of the events, a restart without new ones, the other half: every row once."""
     folder = workspace(_ready(spark, sf_dir), "restart")
-    stored = VersionedTable(spark, f"{folder}/table").create(("store",))
-    halves = [feed(spark, sf_dir, where=F.col("o_orderkey") % 2 == half) for half in (0, 1)]
-    for arriving in (halves[0], None, halves[1]):
-        if arriving:
-            _land(arriving.raw, folder)
-        quality.settle(_ingest(spark, folder, "versions", stored.root))
-    rows = stored.current()
-    for half in halves:
-        rows = half.complete(rows, cleaned=True)
-    return _naive(rows)
+    stored = _table(spark, folder)
+    for half in (0, None, 1):
+        if half is not None:
+            _land(feed(spark, sf_dir, where=F.col("o_orderkey") % 2 == half), folder)
+        _settled(folder, _ingest(spark, folder, "versions", stored.root))
+    return _naive(stored.current())
 
 
 def two_consumers(spark, sf_dir):
     """Two queries read the same events, each at its own pace and into its own sink."""
-    folder, events = workspace(_ready(spark, sf_dir), "consumers"), feed(spark, sf_dir)
-    _land(events.raw, folder, "table")
-    stored = VersionedTable(spark, f"{folder}/table").create(("store",))
-    queries = [
-        _ingest(spark, folder, "parquet", f"{folder}/out", kind="table", consumer="archive"),
-        _ingest(spark, folder, "versions", stored.root, kind="table", consumer="table"),
-    ]
-    for query in queries:
-        quality.settle(query)
+    folder = workspace(_ready(spark, sf_dir), "consumers")
+    _land(feed(spark, sf_dir), folder, "table")
+    stored = _table(spark, folder)
+    queries = {
+        "archive": _ingest(spark, folder, "parquet", f"{folder}/out", kind="table", consumer="archive"),
+        "table": _ingest(spark, folder, "versions", stored.root, kind="table", consumer="table"),
+    }
+    for consumer, query in queries.items():
+        _settled(folder, query, consumer)
+    rows = {"archive": whole(stored_events(spark, f"{folder}/out")), "table": stored.current()}
     counted = [
-        events.complete(rows, cleaned=True).agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(consumer).alias("consumer"), "rows")
-        for consumer, rows in (("archive", _written(spark, f"{folder}/out")), ("table", stored.current()))
+        received.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(consumer).alias("consumer"), "rows")
+        for consumer, received in rows.items()
     ]
     return counted[0].unionByName(counted[1])
 
 
 def quality_gate(spark, sf_dir):
     """Ingest what is there, then judge the table; raises if a rule does not hold."""
-    folder, events = workspace(_ready(spark, sf_dir), "gate"), feed(spark, sf_dir)
-    stored = VersionedTable(spark, f"{folder}/table").create(("store",))
-    _land(events.raw, folder, "table")
+    folder = workspace(_ready(spark, sf_dir), "gate")
+    stored = _table(spark, folder)
+    _land(feed(spark, sf_dir), folder, "table")
     return quality.gated_run(
-        lambda: _ingest(spark, folder, "versions", stored.root, kind="table"),
-        lambda: events.complete(stored.current(), cleaned=True),
+        lambda: _ingest(spark, folder, "versions", stored.root, kind="table"), stored.current,
+        location=f"{folder}/landing", checkpoint=f"{folder}/ingest.checkpoint",
+    )
+
+
+def dq_stream(spark, sf_dir):
+    """Input rows and quality counts of each micro-batch, observed while it was written and kept over restarts."""
+    folder = workspace(_ready(spark, sf_dir), "journal")
+    with Journal(spark, f"{folder}/journal") as journal:
+        for part in range(_PARTS):
+            _land(feed(spark, sf_dir, where=F.col("o_orderkey") % _PARTS == part), folder)
+            query = _settled(folder, _ingest(spark, folder, "parquet", f"{folder}/out"))
+            journal.wait(query)
+    return journal.rows().select("batch_id", "input_rows", "row_count", "null_transaction_ids", "failed_payments")
+
+
+def quarantined_events(spark, sf_dir):
+    """Some events are cut off or have an impossible time: those are set aside with a reason, the rest is kept."""
+    folder = workspace(_ready(spark, sf_dir), "quarantine")
+    text = F.col("value").cast("string")
+    number = F.regexp_extract(text, "TXN-([0-9]+)", 1).cast("bigint")
+    spoilt = F.when(number % 17 == 0, F.substring_index(text, ",", 5)).when(number % 19 == 0, F.regexp_replace(text, '"timestamp":"[0-9]+', '"timestamp":"soon')).otherwise(text)
+    _land(feed(spark, sf_dir).select(spoilt.cast("binary").alias("value")), folder)
+    _settled(folder, _ingest(spark, folder, "parquet", f"{folder}/out", mode="quarantine"))
+    aside = spark.read.schema("reason string, value binary").option("recursiveFileLookup", "true").parquet(
+        rejects_of("parquet", f"{folder}/out", f"{folder}/ingest.checkpoint")
     )
+    number = F.regexp_extract(F.col("value").cast("string"), "TXN-([0-9]+)", 0)
+    kept = whole(stored_events(spark, f"{folder}/out")).select("transaction_id", F.lit("kept").alias("outcome"))
+    return kept.unionByName(aside.select(number.alias("transaction_id"), F.col("reason").alias("outcome")).distinct())
+
+
+def start_latest(spark, sf_dir):
+    """A query that starts at the latest event leaves out what was there before its first start."""
+    folder = workspace(_ready(spark, sf_dir), "latest")
+    source = {"start": "latest", "checkpoint": f"{folder}/ingest.checkpoint"}
+    for half in (0, 1):
+        _land(feed(spark, sf_dir, where=F.col("o_orderkey") % 2 == half), folder)
+        _settled(folder, _ingest(spark, folder, "parquet", f"{folder}/out", **source))
+    return _naive(whole(stored_events(spark, f"{folder}/out")))
+
+
+def lost_file(spark, sf_dir):
+    """Files that vanish between the plan of a batch and its reading are tolerated if that was asked for."""
+    folder = workspace(_ready(spark, sf_dir), "lost")
+    for half in (0, 1):
+        _land(feed(spark, sf_dir, where=F.col("o_orderkey") % 2 == half), folder, place=f"/half={half}")
+
+    def fail(batch: DataFrame, batch_id: int) -> None:
+        raise RuntimeError("the sink is down")
+
+    source = {"location": f"{folder}/landing/half=*", "tolerate_loss": True}
+    raw = raw_source(spark, "files", per_batch=_BATCH_FILES, **source)
+    planned = raw.writeStream.foreachBatch(fail).option("checkpointLocation", f"{folder}/ingest.checkpoint").trigger(availableNow=True).start()
+    try:
+        planned.awaitTermination()
+    except StreamingQueryException:
+        pass  # the batch is planned and not committed
+    spark.createDataFrame([], "value string").write.mode("overwrite").text(f"{folder}/landing/half=1")
+    _ingest(spark, folder, "parquet", f"{folder}/out", **source).awaitTermination()
+    return _naive(whole(stored_events(spark, f"{folder}/out")))
+
+
+# -- layouts -----------------------------------------------------------------------------------
+
+
+def days_by_store(spark, sf_dir):
+    """Written with a directory per day and store; a range of days is read without opening the others."""
+    folder = workspace(_ready(spark, sf_dir), "days")
+    write_by_layout(_clean_sales(spark, sf_dir), f"{folder}/t", ("day", "store"))
+    found = read_by_layout(spark, f"{folder}/t", CLEAN, ("day", "store"), *_RANGE, _RANGE_STORES)
+    day = F.to_date("transaction_timestamp").alias("day")
+    return found.groupBy(day, F.col("store_id").alias("store")).agg(F.count(F.lit(1)).alias("rows"), reports.rounded_sum(F.col("total")).alias("total"))
 
 
 # -- versioned table ---------------------------------------------------------------------------
@@ -222,11 +317,11 @@ def quality_gate(spark, sf_dir):
 
 def _stored(spark: SparkSession, sf_dir: str, parts: int, layout: tuple[str, ...] = ("store",)) -> tuple[VersionedTable, Callable[[int], int]]:
     """A new table, and a function that appends the part of the transactions with a given number."""
-    stored = VersionedTable(_ready(spark, sf_dir), f"{workspace(spark, 'table')}/t").create(layout)
+    stored = VersionedTable(_ready(spark, sf_dir), f"{workspace(spark, 'table')}/t", layout=layout)
 
-    def append(part: int) -> int:
+    def append(part: int, to: VersionedTable = stored) -> int:
         orders = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % parts == part)
-        return stored.append(clean(sales(spark, sf_dir, orders=orders)))
+        return to.append(clean(sales(spark, sf_dir, orders=orders)))
 
     return stored, append
 
@@ -307,21 +402,30 @@ def pruned_scan(spark, sf_dir):
     )
 
 
+def many_updates(spark, sf_dir):
+    """Ten updates of every row; each reads what is current and adds its rows, so the cost is that of ten."""
+    stored, append = _stored(spark, sf_dir, 1)
+    append(0)
+    for _ in range(10):
+        stored.update_where("payment_status = 'refunded'", {"item_count": "item_count + 1"})
+    return stored.current().select("transaction_id", "item_count")
+
+
 def layout_change(spark, sf_dir):
     """Rows written under two layouts are read as one table."""
     stored, append = _stored(spark, sf_dir, 2)
     append(0)
-    stored.set_layout(())
-    append(1)
+    append(1, stored.with_layout(()))
     return _brief(stored.current())
 
 
 _QUERIES: list[Query] = [
-    parse_flatten, clean_filter, item_count, events_to_revenue, basket_totals, encode_payload,
-    row_count, latest_transactions, revenue_by_store, txn_by_payment_method, dq_report, dq_report_unfiltered, rate_check,
-    ingest_stream_parquet, ingest_stream_append, restart_resume, two_consumers, quality_gate,
+    parse_flatten, clean_filter, item_count, events_to_revenue, basket_totals, amount_mismatch, encode_payload,
+    row_count, latest_transactions, revenue_by_store, txn_by_payment_method, dq_report, dq_report_unfiltered,
+    rate_check, rate_stream, ingest_stream_parquet, ingest_stream_append, restart_resume, two_consumers, quality_gate,
+    dq_stream, quarantined_events, start_latest, lost_file, days_by_store,
     table_scan_current, time_travel_first, delete_refunded, delete_check, update_status, rewrite_current,
-    snapshots, partition_layout, pruned_scan, layout_change,
+    snapshots, partition_layout, pruned_scan, layout_change, many_updates,
 ]
 
 
@@ -374,12 +478,15 @@ _FLAT = """transaction_id, store_id, register_id, transaction_timestamp, subtota
            payment_method, payment_status, customer_id, item_count"""
 
 _REVENUE = """SELECT store_id, count(*) AS transactions,
-    CAST(round(sum(CAST(total AS DECIMAL(38,8))), 2) AS DOUBLE) AS total_revenue,
-    count(*) FILTER (total IS NOT NULL AND (isnan(total) OR abs(total) >= 1e30)) AS not_added FROM clean GROUP BY store_id"""
+    CAST(round(sum(CAST(total AS DECIMAL(38,4))), 2) AS DOUBLE) AS total_revenue,
+    count(*) FILTER (total IS NOT NULL AND (isnan(total) OR abs(total) >= 1e11)) AS not_added FROM clean GROUP BY store_id"""
 
 _DQ = """SELECT count(*) AS row_count, count(*) FILTER (transaction_id IS NULL) AS null_transaction_ids,
     count(*) FILTER (payment_status = 'failed') AS failed_payments FROM """
 
+_BASKETS = """SELECT transaction_id, subtotal, tax, total,
+    CAST(total * 100 AS DECIMAL(20,0)) = CAST(subtotal * 100 AS DECIMAL(20,0)) + CAST(tax * 100 AS DECIMAL(20,0)) AND {0} AS consistent FROM parsed"""
+
 _DELETED = """SELECT transaction_id, total, payment_status FROM clean
     WHERE NOT (payment_status = 'refunded' AND o_orderkey % 2 = 0)"""
 
@@ -399,7 +506,8 @@ def _own_sql() -> dict[str, str]:
         "clean_filter": clean_rows,
         "item_count": _SALES + "SELECT transaction_id, item_count FROM parsed",
         "events_to_revenue": _SALES + _REVENUE,
-        "basket_totals": _SALES + "SELECT transaction_id, subtotal, tax, total, true AS consistent FROM parsed",
+        "basket_totals": _SALES + _BASKETS.format("true"),
+        "amount_mismatch": _SALES + _BASKETS.format("(o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0)"),
         "encode_payload": _SALES + f"SELECT {_FLAT}, units, first_sku, last_sku FROM parsed",
         "row_count": _SALES + "SELECT count(*) AS total_rows FROM clean",
         "latest_transactions": _SALES + """SELECT transaction_id, store_id, total, payment_status, transaction_timestamp
@@ -418,6 +526,32 @@ def _own_sql() -> dict[str, str]:
             SELECT window_start, events, events / {_RATE["seconds"]}.0::DOUBLE AS per_second,
             events / {_RATE["seconds"]}.0::DOUBLE BETWEEN {_RATE["low"]}::DOUBLE AND {_RATE["high"]}::DOUBLE AS in_range
             FROM filled""",
+        "rate_stream": f"""WITH counted AS (
+                SELECT time_bucket(INTERVAL '{_RATE["seconds"]} seconds', ts) AS w, count(*) AS n FROM events GROUP BY ALL
+            ), closed AS (
+                SELECT * FROM counted WHERE w + INTERVAL '{_RATE["seconds"]} seconds' <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL {_DELAY}
+            ), windows AS (
+                SELECT unnest(generate_series(min(w), max(w), INTERVAL '{_RATE["seconds"]} seconds')) AS w FROM closed
+            ), filled AS (
+                SELECT windows.w AS window_start, coalesce(n, 0) AS events FROM windows LEFT JOIN closed ON closed.w = windows.w
+            )
+            SELECT window_start, events, events / {_RATE["seconds"]}.0::DOUBLE AS per_second,
+            events / {_RATE["seconds"]}.0::DOUBLE BETWEEN {_RATE["low"]}::DOUBLE AND {_RATE["high"]}::DOUBLE AS in_range
+            FROM filled""",
+        "dq_stream": _SALES + f"""SELECT o_orderkey % {_PARTS} AS batch_id, count(*) AS input_rows,
+            count(*) FILTER (payment_status IN ('completed', 'refunded')) AS row_count,
+            0::BIGINT AS null_transaction_ids, 0::BIGINT AS failed_payments FROM parsed GROUP BY 1""",
+        "quarantined_events": _SALES + """SELECT transaction_id, CASE WHEN o_orderkey % 17 = 0 THEN 'malformed'
+                WHEN o_orderkey % 19 = 0 THEN 'timestamp' ELSE 'kept' END AS outcome FROM parsed
+            WHERE outcome <> 'kept' OR payment_status IN ('completed', 'refunded')""",
+        "start_latest": _SALES + f"SELECT {_FLAT} FROM clean WHERE o_orderkey % 2 = 1",
+        "lost_file": _SALES + f"SELECT {_FLAT} FROM clean WHERE o_orderkey % 2 = 0",
+        "days_by_store": _SALES + f"""SELECT CAST(transaction_timestamp AS DATE) AS day, store_id AS store, count(*) AS rows,
+                CAST(round(sum(CAST(total AS DECIMAL(38,4))), 2) AS DOUBLE) AS total FROM clean
+            WHERE transaction_timestamp >= TIMESTAMP '{_RANGE[0]}' AND transaction_timestamp < TIMESTAMP '{_RANGE[1]}'
+            AND store_id IN ('STORE-001', 'STORE-003') GROUP BY ALL""",
+        "many_updates": _SALES + """SELECT transaction_id,
+            CAST(item_count + CASE WHEN payment_status = 'refunded' THEN 10 ELSE 0 END AS INTEGER) AS item_count FROM clean""",
         "ingest_stream_parquet": clean_rows,
         "ingest_stream_append": clean_rows,
         "restart_resume": clean_rows,

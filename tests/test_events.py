@@ -9,7 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillbook.functions.codec import clean, encode, judged, parse, rejects, sound, unpack
-from tillbook.schema import CLEAN, ITEM, ITEM_PRESENCE, TRANSACTION
+from tillbook.schema import ITEM, ITEM_PRESENCE, PARTS, STORED, TRANSACTION
+from tillbook.operators.parts import whole, whole_once
 from tillbook.session import pin
 
 BASE = {
@@ -117,7 +118,7 @@ def test_quarantine_splits_without_loss(spark):
     reasons = {r["reason"] for r in rejects(events).collect()}
     assert reasons == {"empty", "malformed", "timestamp", "amount"}
     assert rejects(events).count() + sound(events).count() == len(texts)
-    assert sound(events).columns == CLEAN.fieldNames()
+    assert sound(events).columns == STORED.fieldNames()
 
 
 def test_unknown_mode(spark):
@@ -126,14 +127,14 @@ def test_unknown_mode(spark):
 
 
 def test_schema_of_clean_rows(spark):
-    assert [(f.name, f.dataType) for f in clean(parse(raw(spark, payload()))).schema] == [(f.name, f.dataType) for f in CLEAN]
+    assert [(f.name, f.dataType) for f in clean(parse(raw(spark, payload()))).schema] == [(f.name, f.dataType) for f in STORED]
 
 
 def test_encode_then_unpack_is_identity(spark):
     events = unpack(raw(spark, payload(), payload(items=[], customer_id="CUST-1")))
     again = unpack(encode(events))
     assert again.collect() == events.collect()
-    assert again.schema == TRANSACTION
+    assert again.columns == TRANSACTION.fieldNames() + PARTS.fieldNames()
     assert '"customer_id":null' in encode(events).first()["value"].decode()
 
 
@@ -166,3 +167,16 @@ def test_parsing_some_columns_gives_the_same_values(spark, columns):
 def test_text_of_a_kept_row_is_parsed_once(spark):
     plan = clean(parse(raw(spark, payload())))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_only_parts_of_a_transaction_say_so(spark):
+    events = unpack(raw(spark, payload(), payload(transaction_id="p", part=1, parts=3)))
+    written = [r["value"].decode() for r in encode(events).collect()]
+    assert sorted('"part":1,"parts":3' in text for text in written) == [False, True]
+    assert sum('"part' in text for text in written) == 1
+    assert unpack(encode(events)).collect() == events.collect()
+
+
+def test_a_part_number_that_is_none_makes_a_whole_event(spark):
+    rows = parse(raw(spark, payload(part="x"), payload(part=5, parts=3), payload(part=-1, parts=3), payload(part=0, parts=0), payload(part=0)))
+    assert whole(rows).count() == whole_once(rows).count() == 5

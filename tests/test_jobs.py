@@ -6,7 +6,8 @@ from test_streams import arrive, ids, one
 from tillbook.jobs import check, ingest, verify
 from tillbook.operators.versions import VersionedTable
 from tillbook.plans.quality import DataQualityError
-from tillbook.schema import CLEAN
+from tillbook.streaming.ingest import stored_events
+from tillbook.schema import STORED
 
 
 @pytest.fixture
@@ -23,7 +24,7 @@ def test_ingest_verify_check(spark, folder, arguments, capsys):
     arrive(folder, "a", one(1), one(2, payment_status="refunded"))
     ingested(folder, arguments)
     ingested(folder, arguments)
-    assert ids(VersionedTable(spark, f"{folder}/db/pos_transactions").current()) == ["t1", "t2"]
+    assert ids(VersionedTable(spark, f"{folder}/db/pos_transactions", STORED).current()) == ["t1", "t2"]
     verify.main([*arguments, "--delete"])
     shown = capsys.readouterr().out
     assert "-- first snapshot\nnot run" in shown and "-- delete refunded" in shown
@@ -34,7 +35,7 @@ def test_parquet_from_the_environment(spark, folder, arguments, monkeypatch):
     monkeypatch.setenv("WRITE_MODE", "parquet")
     arrive(folder, "a", one(1))
     ingested(folder, arguments)
-    assert ids(spark.read.schema(CLEAN).parquet(f"{folder}/db/pos_transactions.parquet")) == ["t1"]
+    assert ids(stored_events(spark, f"{folder}/db/pos_transactions.parquet")) == ["t1"]
 
 
 def test_unknown_sink_stops_the_program(spark, folder, arguments, monkeypatch):

@@ -1,5 +1,7 @@
 """Hot keys, plans and settings that decide how the work scales."""
 
+import datetime as dt
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from oracle import assert_same
 from tillbook import session
+from tillbook.functions.codec import clean, parse, unpack
+from tillbook.functions.money import not_addable, rounded_sum
+from tillbook.operators.parts import incomplete, whole, whole_once
+from tillbook.plans import reports
 from tillbook.sources import retail
 
 
@@ -33,28 +39,88 @@ WITH_EVENTS = ["parse_flatten", "clean_filter", "item_count", "events_to_revenue
                "ingest_stream_parquet", "restart_resume", "two_consumers", "quality_gate"]
 
 
-@pytest.mark.parametrize("name", [*WITH_EVENTS, "revenue_by_store", "rate_check", "snapshots"])
+@pytest.mark.parametrize("name", [*WITH_EVENTS, "revenue_by_store", "rate_check", "rate_stream", "snapshots", "quarantined_events", "days_by_store"])
 def test_hot_keys_give_the_same_rows(spark, skewed, name, monkeypatch):
-    monkeypatch.setattr(retail.feed, "__kwdefaults__", {"where": None, "limit": 500})
+    monkeypatch.setattr(retail, "PART_LINES", 500)
     assert_same(registry.queries()[name](spark, skewed), registry.oracle_sql()[name], skewed)
 
 
-def test_hot_order_is_no_event(spark, skewed):
-    events = retail.feed(session.pin(spark), skewed, limit=500)
-    lines = retail.table(spark, skewed, "lineitem").filter("l_orderkey = 7").count()
-    assert lines > 500
-    assert events.oversized.select("transaction_id", "item_count").collect() == [("TXN-7", lines)]
-    assert events.raw.filter(F.col("value").cast("string").contains('"TXN-7"')).count() == 0
-
-
-def test_many_hot_orders_are_joined_without_broadcast_hint(spark, small, monkeypatch):
-    monkeypatch.setattr(retail, "BROADCAST_KEYS", 3)
-    monkeypatch.setattr(retail.feed, "__kwdefaults__", {"where": None, "limit": 2})
-    assert_same(registry.queries()["parse_flatten"](spark, small), registry.oracle_sql()["parse_flatten"], small)
+@pytest.fixture(scope="module")
+def huge(small, tmp_path_factory):
+    """An order of 20,000 lines, all of them equal, among the others."""
+    folder = tmp_path_factory.mktemp("huge")
+    con = duckdb.connect()
+    for name in ("orders", "part"):
+        con.execute(f"COPY (SELECT * FROM '{small}/{name}.parquet') TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    con.execute(f"""COPY (SELECT * FROM '{small}/lineitem.parquet' WHERE l_orderkey <> 7 UNION ALL
+        SELECT l.* FROM (SELECT * REPLACE (7 AS l_orderkey) FROM '{small}/lineitem.parquet' LIMIT 1) l, range(20000))
+        TO '{folder}/lineitem.parquet' (FORMAT parquet)""")
+    return str(folder)
 
 
-def test_no_oversized_orders_cost_no_join(spark, small):
-    assert retail.feed(session.pin(spark), small).oversized is None
+@pytest.mark.parametrize("name", ["ingest_stream_parquet", "ingest_stream_append", "restart_resume", "basket_totals", "amount_mismatch", "encode_payload"])
+def test_an_order_of_any_size_goes_through_the_sink(spark, huge, name):
+    assert_same(registry.queries()[name](spark, huge), registry.oracle_sql()[name], huge)
+
+
+def test_large_orders_are_sent_in_parts_of_bounded_size(spark, huge):
+    events = unpack(retail.feed(session.pin(spark), huge)).filter("transaction_id = 'TXN-7'")
+    parts = events.select("part", "parts", F.size("items").alias("n")).orderBy("part").collect()
+    assert [r["part"] for r in parts] == list(range(8)) and {r["parts"] for r in parts} == {8}
+    assert sum(r["n"] for r in parts) == 20_000 and max(r["n"] for r in parts) <= retail.PART_LINES
+    others = unpack(retail.feed(spark, huge)).filter("transaction_id <> 'TXN-7' AND (part IS NOT NULL OR parts IS NOT NULL)")
+    assert others.count() == 0
+
+
+def test_missing_and_repeated_parts(spark, huge):
+    stored = clean(parse(retail.feed(session.pin(spark), huge))).cache()
+    key = "transaction_id = 'TXN-7'"
+    whole_row = whole(stored).filter(key).collect()
+    some = stored.filter(f"NOT ({key}) OR part <> 3")
+    if whole_row:  # the order may have a status that the filter drops
+        assert len(whole_row) == 1 and whole_row[0]["item_count"] == 20_000
+        assert whole(stored.union(stored.filter(f"{key} AND part < 4"))).filter(key).collect() == whole_row
+        assert whole(some).filter(key).count() == whole_once(some).filter(key).count() == 0
+        assert [tuple(r) for r in incomplete(some).collect()] == [("TXN-7", 8, 7)]
+    assert whole(some).count() == whole(stored).count() - len(whole_row)
+    assert incomplete(stored).count() == 0
+
+
+def test_keys_of_large_orders_are_joined_by_their_size(spark, small, monkeypatch):
+    monkeypatch.setattr(retail, "PART_LINES", 2)
+    for threshold in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            assert_same(registry.queries()["parse_flatten"](spark, small), registry.oracle_sql()["parse_flatten"], small)
+            _, physical = plan(retail.feed(session.pin(spark), small))
+            assert ("Broadcast" in physical) == (threshold == "10MB")
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("texts, total, refused", [
+    ([9e29, 9e29], None, 2), ([1e11, 1.0], 1.0, 1), ([float("nan"), 2.5, None], 2.5, 1), ([float("inf"), -1.25], -1.25, 1),
+    ([99_999_999_999.99] * 50, 4_999_999_999_999.5, 0), ([-99_999_999_999.99, -0.01], -100_000_000_000.0, 0),
+    ([0.1] * 10, 1.0, 0), ([1.005], 1.01, 0), ([-1.005], -1.01, 0), ([0.0049, 0.0001], 0.01, 0), ([], None, 0), ([None], None, 0),
+])
+def test_sums_are_exact_or_refused(spark, texts, total, refused):
+    frame = spark.createDataFrame([(x,) for x in texts], "x double").repartition(3)
+    row = frame.agg(rounded_sum(F.col("x")).alias("total"), not_addable(F.col("x")).alias("refused")).first()
+    assert (row["total"], row["refused"]) == (total, refused)
+
+
+def test_sums_equal_decimals(spark):
+    frame = spark.range(20_000).select(F.round((F.xxhash64("id") % 10_000_000_000_000) / 100, 2).alias("x"))
+    want = frame.agg(F.sum(F.col("x").cast("decimal(38,4)")).cast("decimal(38,2)").cast("double")).first()[0]
+    assert frame.agg(rounded_sum(F.col("x"))).first()[0] == want
+
+
+def test_rate_with_a_stray_event_and_none(spark):
+    times = [(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 1, 0, 0, 59),), (dt.datetime(2023, 12, 31, 23, 0, 30),), (None,)]
+    found = reports.rate_check(spark.createDataFrame(times, "ts timestamp_ntz"), seconds=60, low=0.01, high=1.0).orderBy("window_start").collect()
+    assert len(found) == 61 and [r["events"] for r in found if r["events"]] == [1, 2] and not found[1]["in_range"]
+    assert found[0]["window_start"] == dt.datetime(2023, 12, 31, 23)
+    assert reports.rate_check(spark.createDataFrame([], "ts timestamp_ntz")).collect() == []
 
 
 def plan(frame):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schema import CLEAN, ITEM, ITEM_PRESENCE, KEPT_STATUSES, TRANSACTION, transaction
+from ..schema import ITEM, ITEM_PRESENCE, KEPT_STATUSES, PARTS, STORED, TRANSACTION, transaction
 from .money import as_money
 
 _CORRUPT = "_corrupt_record"
@@ -16,9 +16,15 @@ _SOURCE = {"transaction_timestamp": "timestamp", "item_count": "items"}
 
 
 def encode(transactions: DataFrame) -> DataFrame:
-    """Nested transactions to raw events: one ``value BINARY`` column of UTF-8 JSON, NULLs written out."""
-    record = F.struct(*TRANSACTION.fieldNames())
-    text = F.to_json(record, {"ignoreNullFields": "false"})
+    """Nested transactions to raw events: one ``value BINARY`` column of UTF-8 JSON, NULLs written out.
+
+    Only parts of a transaction say so; rows without a ``part`` column or with a NULL in it are whole.
+    """
+    written = {"ignoreNullFields": "false"}
+    text = F.to_json(F.struct(*TRANSACTION.fieldNames()), written)
+    if "part" in transactions.columns:
+        marked = F.to_json(F.struct(*TRANSACTION.fieldNames(), *PARTS.fieldNames()), written)
+        text = F.when(F.col("part").isNull(), text).otherwise(marked)
     return transactions.select(text.cast("binary").alias("value"))
 
 
@@ -35,7 +41,7 @@ def unpack(
     below it, so the text of a kept row is parsed once and not once more for the filter. Columns are not
     pruned through it either; ``fields`` names the ones to parse.
     """
-    schema = transaction(item)
+    schema = StructType([*transaction(item).fields, *PARTS.fields])
     if fields is not None:
         schema = StructType([field for field in schema if field.name in fields])
     options = {}
@@ -47,12 +53,12 @@ def unpack(
 
 
 def parse(raw: DataFrame, mode: str = "strict", columns: tuple[str, ...] | None = None) -> DataFrame:
-    """Raw events to the eleven flat columns, or some of them, before the status filter.
+    """Raw events to the flat columns of ``STORED``, or some of them, before the status filter.
 
     ``strict`` casts the timestamp, so a malformed one on a kept row fails the job. ``quarantine``
     leaves such rows out here; ``rejects`` returns them.
     """
-    columns = tuple(CLEAN.fieldNames()) if columns is None else columns
+    columns = tuple(STORED.fieldNames()) if columns is None else columns
     if mode == "strict":
         events = unpack(raw, ITEM_PRESENCE, fields=tuple(_SOURCE.get(name, name) for name in columns))
         derived = {"transaction_timestamp": F.col("timestamp").cast("timestamp"), "item_count": F.size("items")}
@@ -81,12 +87,12 @@ def judged(raw: DataFrame) -> DataFrame:
         .when(F.col("timestamp").isNotNull() & F.col("transaction_timestamp").isNull(), "timestamp")
         .when(bad_amount, "amount")
     )
-    return flat.withColumn("reason", reason).select(*CLEAN.fieldNames(), "value", "reason")
+    return flat.withColumn("reason", reason).select(*STORED.fieldNames(), "value", "reason")
 
 
 def sound(events: DataFrame) -> DataFrame:
     """The flat columns of the events that ``judged`` found nothing wrong with."""
-    return events.filter(F.col("reason").isNull()).select(*CLEAN.fieldNames())
+    return events.filter(F.col("reason").isNull()).select(*STORED.fieldNames())
 
 
 def rejects(events: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from ..operators.iceberg import IcebergTable
 from ..operators.versions import VersionedTable
+from ..schema import STORED
 from ..session import open_session, session_conf
 
 
@@ -32,5 +33,6 @@ def location(chosen: argparse.Namespace) -> str:
 
 
 def opened(spark: SparkSession, chosen: argparse.Namespace) -> VersionedTable | IcebergTable:
-    kind = IcebergTable if chosen.format == "iceberg" else VersionedTable
-    return kind(spark, location(chosen))
+    if chosen.format == "iceberg":
+        return IcebergTable(spark, location(chosen))
+    return VersionedTable(spark, location(chosen), STORED)

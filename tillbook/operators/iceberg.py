@@ -11,8 +11,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.times import instant
-from ..schema import CLEAN
+from ..schema import CLEAN, STORED
 from . import layout as layouts
+from .parts import whole
 
 _TRANSFORM = {"day": "days(transaction_timestamp)", "month": "months(transaction_timestamp)", "store": "store_id"}
 
@@ -23,24 +24,27 @@ class IcebergTable:
         self.name = name
 
     def create_statement(self, layout: tuple[str, ...] = layouts.DEFAULT) -> str:
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CLEAN)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STORED)
         parts = ", ".join(_TRANSFORM[name] for name in layouts.checked(layout))
         return f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING iceberg" + (f" PARTITIONED BY ({parts})" if parts else "")
 
     def create(self, layout: tuple[str, ...] = layouts.DEFAULT) -> IcebergTable:
+        """Create the table if it does not exist. Rows may be parts of transactions, hence two more columns."""
         self.spark.sql(self.create_statement(layout))
         return self
 
     def append(self, rows: DataFrame) -> None:
-        rows.select(*CLEAN.fieldNames()).writeTo(self.name).append()
+        given = {name: F.col(name) for name in rows.columns}
+        stored = rows.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in STORED))
+        stored.writeTo(self.name).append()
 
     def current(self) -> DataFrame:
-        return self.spark.table(self.name)
+        return whole(self.spark.table(self.name)).select(*CLEAN.fieldNames())
 
     def as_of(self, snapshot: int | None) -> DataFrame:
         if snapshot is None:
             raise LookupError("time travel needs at least two snapshots")
-        return self.spark.sql(f"SELECT * FROM {self.name} VERSION AS OF {int(snapshot)}")
+        return whole(self.spark.sql(f"SELECT * FROM {self.name} VERSION AS OF {int(snapshot)}")).select(*CLEAN.fieldNames())
 
     def snapshots(self) -> DataFrame:
         return self.spark.table(f"{self.name}.snapshots")

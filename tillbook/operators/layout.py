@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DataType, DateType, StringType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, DateType, StringType, StructField, StructType
 
-from ..functions.times import utc_day, utc_month
+from ..functions.times import day_of, instant, utc_day, utc_month
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,52 @@ def directory(name: str) -> str:
     return f"_p_{name}"
 
 
+def gathered(rows: DataFrame, layout: tuple[str, ...], once: bool = False) -> DataFrame:
+    """Brings the rows of a directory together, so that few tasks write each of them.
+
+    Days make many small directories, whose files cost more than their rows: these are dealt in ranges, which
+    keeps all tasks busy, with a hash behind the directory so that a hot one is split. Few directories
+    are rebalanced instead, which needs no sample; adaptive execution splits the large and merges the small.
+    So are the rows of a micro-batch, which are of few days and must be read only ``once``.
+    """
+    names = [directory(name) for name in layout]
+    if "day" in layout and not once:
+        return rows.repartitionByRange(*names, F.xxhash64("transaction_id", "transaction_timestamp"))
+    return rows.hint("rebalance", *names)
+
+
+def write_by_layout(rows: DataFrame, path: str, layout: tuple[str, ...] = DEFAULT, mode: str = "errorifexists") -> None:
+    """Write rows as Parquet with a directory per day (UTC) and store, or another layout.
+
+    The derived columns are hidden: ``read_by_layout`` leaves them out.
+    """
+    names = [directory(name) for name in checked(layout)]
+    derived = rows.withColumns({directory(name): DERIVED[name].of_rows() for name in layout})
+    dealt = gathered(derived, layout).sortWithinPartitions(*names, "transaction_timestamp") if layout else derived
+    dealt.write.mode(mode).partitionBy(*names).parquet(path)
+
+
+def read_by_layout(
+    spark: SparkSession, path: str, schema: StructType, layout: tuple[str, ...] = DEFAULT,
+    since: datetime | None = None, until: datetime | None = None, stores: list[str] | None = None,
+) -> DataFrame:
+    """Rows of a folder written by ``write_by_layout``, of a range of time and of some stores; other directories
+    are not read."""
+    kinds = [StructField(directory(name), DERIVED[name].kind, True) for name in checked(layout)]
+    rows = spark.read.schema(StructType([*schema.fields, *kinds])).parquet(path)
+    last = None if until is None else day_of(until - timedelta(microseconds=1))
+    for test in pruning(layout, None if since is None else day_of(since), last, stores):
+        rows = rows.filter(test)
+    moment = F.col("transaction_timestamp")
+    if since is not None:
+        rows = rows.filter(moment >= instant(since))
+    if until is not None:
+        rows = rows.filter(moment < instant(until))
+    if stores is not None:
+        rows = rows.filter(F.col("store_id").isin(stores))
+    return rows.select(*schema.fieldNames())
+
+
 def pruning(layout: tuple[str, ...], first: date | None, last: date | None, stores: list[str] | None) -> list[Column]:
     """Directory predicates that every row of the range satisfies.
 

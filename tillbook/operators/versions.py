@@ -1,378 +1,273 @@
-"""A versioned table on plain Parquet folders and a commit log.
+"""A history of sale transactions in plain partitioned Parquet: appends, deletions and updates as rows.
 
 Layout below ``root``::
 
-    data/_version=N/_try=ID/_p_day=.../_p_store=.../*.parquet    rows of one append
-    commits/v=N/*.json                                           one line: what version N did
+    layout=day-store/change=added|removed|base/version=N/query=Q/batch=B/_p_day=.../_p_store=.../*.parquet
 
-Data is written first and its log line last; readers open only folders that the log names, so a
-crashed or losing write is never seen and nothing is ever overwritten. DELETE and UPDATE add a log
-line only: readers replay them as column expressions over the rows of earlier versions. ``rewrite``
-folds them in. One writer at a time: the check on the log line is not a lock.
+Every stored row has an identity. A deletion stores the rows that it hit once more, as removed; an update
+stores them as removed and their new form as added. A snapshot is what was added up to a version without
+what was removed up to it: a filter on partitions and an anti-join. ``rewrite`` stores what is left as a new
+base. Each change is one write, whose files appear when Spark commits it; its predicate is evaluated once. There is no log: versions,
+operations and counts are read off the folders and rows.
+
+A micro-batch is known by the id of its query and its number. When it is replayed after a crash it
+replaces its own folder. Writers that start at the same time may share a version number; neither loses rows.
 """
 
 from __future__ import annotations
 
-import json
-import re
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..functions.times import day_of, instant, utc_day
+from ..functions.times import day_of, instant
 from ..schema import CLEAN
-from ..session import exists
+from ..session import matching
 from . import layout as layouts
+from .parts import whole
 
-_ENTRY = """
-    snapshot_id BIGINT, parent_id BIGINT, committed_at TIMESTAMP, operation STRING,
-    predicate STRING, assignments MAP<STRING, STRING>, query_id STRING, batch_id BIGINT,
-    added_records BIGINT, deleted_records BIGINT, total_records BIGINT,
-    folder STRING, layout ARRAY<STRING>, first_day DATE, last_day DATE, since BIGINT, committed_micros BIGINT
-"""
-_STAMP = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-_SNAPSHOTS = ("append", "delete", "update", "rewrite")
-_WITH_DATA = ("append", "rewrite")
-_ROW_CHANGES = ("delete", "update")
-
-_LITERAL = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"")
-_NOT_A_ROW_EXPRESSION = re.compile(
-    r"\b(select|rand|random|randn|randstr|uniform|uuid|shuffle|now|current_\w+|localtimestamp|"
-    r"monotonically_increasing_id|spark_partition_id|input_file_\w+|session_user|user|sum|count|over)\b",
-    re.IGNORECASE,
-)
-
-
-class CommitConflict(RuntimeError):
-    """Another writer has committed the same version."""
+_IDENTITY = StructType([StructField("_write", LongType()), StructField("_row", LongType())])
+_PLACE = StructType([StructField("change", StringType()), StructField("version", LongType()), StructField("query", StringType()), StructField("batch", LongType())])
+_ADDED, _REMOVED, _BASE = "added", "removed", "base"
+_PLAIN = "none"  # name of the layout without directories
 
 
 class VersionedTable:
-    """Snapshots of sale transactions below one folder."""
+    """Snapshots of sale transactions below one folder. ``layout`` is that of rows written from now on.
+
+    With the schema ``STORED`` rows may be parts of transactions; they are read as whole ones, while changes
+    act on the stored rows.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType = CLEAN):
+    def __init__(self, spark: SparkSession, root: str, schema: StructType = CLEAN, layout: tuple[str, ...] = layouts.DEFAULT):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self.layout = layouts.checked(layout)
 
-    # -- definition ---------------------------------------------------------------------------
+    def with_layout(self, layout: tuple[str, ...]) -> VersionedTable:
+        """The same table, written with another layout from now on. Existing files stay as they are."""
+        return VersionedTable(self.spark, self.root, self.schema, layout)
 
-    def create(self, layout: tuple[str, ...] = layouts.DEFAULT) -> VersionedTable:
-        """Create the table if it does not exist; an existing one is left as it is."""
-        layout = layouts.checked(layout)
-        if self._entry(0) is None:
-            self._commit(None, "create", layout=layout)
-        return self
+    # -- versions -----------------------------------------------------------------------------
 
-    def set_layout(self, layout: tuple[str, ...]) -> int:
-        """Use another layout for rows appended from now on. Existing files stay as they are."""
-        return self._commit(self._head(), "layout", layout=layouts.checked(layout))
+    def _stored_layouts(self) -> list[tuple[str, ...]]:
+        names = sorted(path.rsplit("layout=", 1)[1] for path, _ in matching(self.spark, f"{self.root}/layout=*"))
+        return [() if name == _PLAIN else tuple(name.split("-")) for name in names]
 
-    # -- log ----------------------------------------------------------------------------------
+    def _versions(self, change: str = "*") -> list[int]:
+        found = matching(self.spark, f"{self.root}/layout=*/change={change}/version=*")
+        return sorted({int(path.rsplit("version=", 1)[1]) for path, _ in found})
 
-    def log(self, version: int | None = None) -> DataFrame:
-        """Every log line up to ``version``."""
-        if not exists(self.spark, f"{self.root}/commits"):
-            raise LookupError(f"no table at {self.root}")
-        entries = self.spark.read.schema(_ENTRY).options(**_STAMP).json(f"{self.root}/commits/v=*")
-        return entries if version is None else entries.filter(F.col("snapshot_id") <= version)
+    def latest(self) -> int:
+        """Number of the newest version; 0 for a table without rows."""
+        return max(self._versions(), default=0)
 
     def snapshots(self) -> DataFrame:
-        """One row per committed change of the rows, oldest first."""
-        return (
-            self.log().filter(F.col("operation").isin(*_SNAPSHOTS))
-            .select("snapshot_id", "parent_id", "committed_at", "operation",
-                    "added_records", "deleted_records", "total_records")
-            .orderBy("snapshot_id")
+        """One row per version, oldest first, counted from the rows themselves without reading a column."""
+        rows = self._scan()
+        counts = {change: F.count_if(F.col("change") == change) for change in (_ADDED, _REMOVED, _BASE)}
+        found = rows.groupBy("version").agg(*(count.alias(name) for name, count in counts.items()), F.max("file_time").alias("committed_at"))
+        order = Window.orderBy("version")  # a row per version
+        operation = (
+            F.when(F.col(_BASE) > 0, "rewrite").when((F.col(_ADDED) > 0) & (F.col(_REMOVED) > 0), "update")
+            .when(F.col(_REMOVED) > 0, "delete").otherwise("append")
         )
+        added, deleted = F.col(_ADDED) + F.col(_BASE), F.col(_REMOVED) + F.col(_BASE)
+        return found.select(
+            F.col("version").alias("snapshot_id"), F.lag("version").over(order).alias("parent_id"), "committed_at",
+            operation.alias("operation"), added.alias("added_records"), deleted.alias("deleted_records"),
+            F.sum(F.col(_ADDED) - F.col(_REMOVED)).over(order).alias("total_records"),
+        ).orderBy("snapshot_id")
 
     def first_snapshot(self) -> int | None:
         """Oldest snapshot if there are at least two, as time travel needs; otherwise None."""
-        found = self.snapshots().agg(
-            F.count(F.lit(1)).alias("n"), F.min_by("snapshot_id", "committed_at").alias("first")
-        ).first()
-        return found["first"] if found["n"] >= 2 else None
+        versions = self._versions()
+        return versions[0] if len(versions) >= 2 else None
 
     def total_records(self) -> int:
-        """Row count of the current snapshot, from the log alone."""
-        return self._head()["total_records"]
-
-    def _entry(self, version: int) -> Row | None:
-        """One log line; None if it does not exist or its writer crashed before it was complete."""
-        path = f"{self.root}/commits/v={version}"
-        if not exists(self.spark, path):
-            return None
-        return self.spark.read.schema(_ENTRY).options(**_STAMP).json(path).first()
-
-    def _head(self) -> Row:
-        """The newest log line."""
-        newest = self.log().select(F.max_by(F.struct("*"), "snapshot_id").alias("e")).first()["e"]
-        if newest is None:
-            raise LookupError(f"no table at {self.root}")
-        return newest
-
-    def _commit(self, parent: Row | None, operation: str, **entry) -> int:
-        """Write the log line that makes the next version visible; return its number."""
-        version = parent["snapshot_id"] + 1 if parent else 0
-        added, deleted = entry.get("added_records", 0), entry.get("deleted_records", 0)
-        values = {
-            "snapshot_id": version,
-            "parent_id": parent["snapshot_id"] if parent else None,
-            "operation": operation,
-            "added_records": added,
-            "deleted_records": deleted,
-            "total_records": (parent["total_records"] if parent else 0) + added - deleted,
-            "layout": list(parent["layout"]) if parent else None,
-        } | entry
-        now = datetime.now(timezone.utc)
-        if parent:  # strictly later than the parent even if the clock was set back
-            now = max(now, _EPOCH + timedelta(microseconds=parent["committed_micros"] + 1))
-        values["committed_at"] = now.isoformat(timespec="microseconds")
-        values["committed_micros"] = (now - _EPOCH) // timedelta(microseconds=1)
-        line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(values, default=str)).alias("value"))
-        path = f"{self.root}/commits/v={version}"
-        leftover = exists(self.spark, path) and self._entry(version) is None
-        try:
-            line.write.mode("overwrite" if leftover else "errorifexists").text(path)
-        except AnalysisException as taken:
-            if taken.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            raise CommitConflict(f"version {version} of {self.root} was committed by another writer") from taken
+        counted = self._scan().filter(F.col("change") != _BASE).agg(F.sum(F.when(F.col("change") == _ADDED, 1).otherwise(-1)).alias("n"))
+        return counted.first()["n"] or 0
+
+    # -- write --------------------------------------------------------------------------------
+
+    def append(self, rows: DataFrame, *, query_id: str | None = None, batch_id: int | None = None, replay: bool = True) -> int:
+        """Append rows as one version. A batch of a stream that is there already is replaced by itself;
+        ``replay=False`` says that it cannot be there yet."""
+        query, batch = query_id or f"append-{uuid.uuid4().hex}", batch_id or 0
+        version = self._version_of(query, batch) if query_id and replay else None
+        version = version or self.latest() + 1
+        given = {name: F.col(name) for name in rows.columns}
+        rows = rows.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema))
+        folder = f"{self._folder(self.layout)}/change={_ADDED}/version={version}/query={query}/batch={batch}"
+        names = [layouts.directory(name) for name in self.layout]
+        self._prepared(rows, once=query_id is not None).write.mode("overwrite").partitionBy(*names).parquet(folder)
         return version
 
-    # -- append -------------------------------------------------------------------------------
-
-    def append(self, rows: DataFrame, *, query_id: str | None = None, batch_id: int | None = None) -> int:
-        """Append a batch as one version. A batch of a stream that the log already has is not
-        written again, so a replay after a crash adds nothing."""
-        head = self._head()
-        if query_id is not None:
-            done = self.log().filter((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)).first()
-            if done:
-                return done["snapshot_id"]
-        return self._write(head, rows, "append", query_id=query_id, batch_id=batch_id)
-
-    def _write(self, head: Row, rows: DataFrame, operation: str, **entry) -> int:
-        layout = tuple(head["layout"])
-        folder = f"_version={head['snapshot_id'] + 1}/_try={uuid.uuid4().hex}"
-        directories = {layouts.directory(name): layouts.DERIVED[name].of_rows() for name in layout}
-        rows = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema)).withColumns(directories)
-        if directories:
-            # Brings the rows of a directory together; AQE splits a hot directory by size and merges
-            # small ones, so neither one task nor thousands of tiny files result.
-            rows = rows.hint("rebalance", *directories)
-        # Counted in the tasks that write, not in an extra pass. They are the last stage, whose
-        # metrics count each partition once however often a task is retried.
-        seen = Observation()
-        day = utc_day(F.col("transaction_timestamp"))
-        rows = rows.observe(
-            seen,
-            F.count(F.lit(1)).alias("added_records"),
-            F.min(day).alias("first_day"),
-            F.max(day).alias("last_day"),
-        )
-        if directories:  # the write sorts by directory anyway; the time makes row groups skippable
-            rows = rows.sortWithinPartitions(*directories, "transaction_timestamp")
-        rows.write.mode("errorifexists").partitionBy(*directories).parquet(f"{self.root}/data/{folder}")
-        found = seen.get
-        if operation == "rewrite":
-            entry["deleted_records"] = found["added_records"]
-        return self._commit(head, operation, folder=folder, **entry, **found)
-
-    def stream_writer(self, attempts: int = 3) -> Callable[[DataFrame, int], None]:
+    def _version_of(self, query: str, batch: int) -> int | None:
+        found = matching(self.spark, f"{self.root}/layout=*/change={_ADDED}/version=*/query={query}/batch={batch}")
+        return int(found[0][0].split("version=")[1].split("/")[0]) if found else None
+
+    def _folder(self, layout: tuple[str, ...]) -> str:
+        return f"{self.root}/layout={'-'.join(layout) or _PLAIN}"
+
+    def _prepared(self, rows: DataFrame, once: bool = False) -> DataFrame:
+        """Rows as they are written: with directories, and an identity where they had none before."""
+        if "_row" not in rows.columns:
+            rows = rows.withColumns({"_write": F.lit(None).cast("long"), "_row": F.lit(None).cast("long")})
+        names = [layouts.directory(name) for name in self.layout]
+        rows = rows.withColumns({layouts.directory(name): layouts.DERIVED[name].of_rows() for name in self.layout})
+        if self.layout:
+            rows = layouts.gathered(rows, self.layout, once)
+            # the write sorts by directory anyway; the time makes row groups skippable
+            rows = rows.sortWithinPartitions(*names, "transaction_timestamp")
+        fresh = uuid.uuid4().int >> 65  # of this write
+        return rows.withColumns({
+            "_row": F.when(F.col("_write").isNull(), F.monotonically_increasing_id()).otherwise(F.col("_row")),
+            "_write": F.coalesce("_write", F.lit(fresh)),
+        })
+
+    def stream_writer(self) -> Callable[[DataFrame, int], None]:
         """A ``foreachBatch`` function that appends each micro-batch exactly once.
 
-        Batches are identified by the query id, which is stable across restarts from a checkpoint; a
-        new checkpoint has a new one and starts again at batch 0. The log is read on the first batch
-        after a start, where a replay can happen; afterwards the writer knows its own last version.
+        Batches are identified by the query id, which is stable across restarts from a checkpoint; a new
+        checkpoint has a new one and starts again at batch 0. Only the first batch after a start can be a replay.
         """
-        known: dict[str, Row] = {}
+        started: set[str] = set()
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            table = VersionedTable(batch.sparkSession, self.root, self.schema)
+            table = VersionedTable(batch.sparkSession, self.root, self.schema, self.layout)
             query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            for left in reversed(range(attempts)):
-                try:
-                    if "head" in known:
-                        version = table._write(known["head"], batch, "append", query_id=query_id, batch_id=batch_id)
-                        known["head"] = table._entry(version)
-                    else:
-                        table.append(batch, query_id=query_id, batch_id=batch_id)
-                        known["head"] = table._head()
-                    return
-                except CommitConflict:
-                    known.clear()
-                    if not left:
-                        raise
+            table.append(batch, query_id=query_id, batch_id=batch_id, replay=query_id not in started)
+            started.add(query_id)
 
         return write
 
     # -- read ---------------------------------------------------------------------------------
 
     def current(self) -> DataFrame:
-        return self._as_of(None)
+        return self._shown(self._rows(self.latest()))
+
+    def _shown(self, rows: DataFrame) -> DataFrame:
+        rows = rows.select(*self.schema.fieldNames())
+        return whole(rows) if "part" in rows.columns else rows
 
     def as_of(self, version: int | None) -> DataFrame:
         """The rows of a snapshot. ``first_snapshot()`` of a table with a single one gives none to travel to."""
         if version is None:
             raise LookupError("time travel needs at least two snapshots")
-        return self._as_of(version)
-
-    def _as_of(self, version: int | None) -> DataFrame:
-        return self._rows(self._entries(version)).select(*self.schema.fieldNames())
-
-    def scan_between(
-        self, since: datetime, until: datetime, stores: list[str] | None = None, version: int | None = None
-    ) -> DataFrame:
-        """Rows with ``since <= transaction_timestamp < until``, optionally of some stores only.
+        if not 1 <= version <= self.latest():
+            raise LookupError(f"no version {version} of {self.root}")
+        return self._shown(self._rows(version))
 
-        Versions outside the days are not even listed, directories outside are not read. A column that
-        some UPDATE assigns says nothing about where its row is stored and is not used for that.
-        """
-        entries = self._entries(version)
-        assigned = {name for e in entries if e["operation"] == "update" for name in e["assignments"]}
+    def scan_between(self, since: datetime, until: datetime, stores: list[str] | None = None, version: int | None = None) -> DataFrame:
+        """Rows with ``since <= transaction_timestamp < until``, optionally of some stores only; directories
+        outside are not read."""
         first, last = day_of(since), day_of(until - timedelta(microseconds=1))
-        if "transaction_timestamp" in assigned:
-            first = last = None
-        else:
-            entries = [
-                e for e in entries
-                if e["operation"] not in _WITH_DATA
-                or (e["first_day"] is not None and e["first_day"] <= last and e["last_day"] >= first)
-            ]
-        by_store = None if "store_id" in assigned else stores
-        rows = self._rows(entries, lambda layout: layouts.pruning(layout, first, last, by_store))
+        rows = self._rows(self.latest() if version is None else version, lambda layout: layouts.pruning(layout, first, last, stores))
         moment = F.col("transaction_timestamp")
         rows = rows.filter((moment >= instant(since)) & (moment < instant(until)))
         if stores is not None:
             rows = rows.filter(F.col("store_id").isin(stores))
-        return rows.select(*self.schema.fieldNames())
+        return self._shown(rows)
 
     def partitions(self, version: int | None = None) -> DataFrame:
-        """Stored rows and files per directory of the current layout. Rows are counted as written:
-        DELETE and UPDATE do not touch files before a rewrite."""
-        entries = self._entries(version)
-        layout = entries[-1]["layout"]
-        data = [e for e in entries if e["operation"] in _WITH_DATA and e["layout"] == layout]
-        if not data:
-            kinds = [StructField(n, layouts.DERIVED[n].kind) for n in layout]
-            return self.spark.createDataFrame([], StructType([*kinds, *_row_counts()]))
-        stored = self._scan(tuple(layout), [e["folder"] for e in data]).select(
-            *(F.col(layouts.directory(name)).alias(name) for name in layout), F.col("_metadata.file_path").alias("file")
+        """Rows and files per directory of the layout, counted as written: removed rows are still there."""
+        version = self.latest() if version is None else version
+        stored = self._scan([self.layout]).filter(_visible(version, self._bases(version))).select(
+            *(F.col(layouts.directory(name)).alias(name) for name in self.layout), F.col("file_path").alias("file")
         )
         # Per file first: the second step then handles one row per file, not per record.
-        per_file = stored.groupBy(*layout, "file").agg(F.count(F.lit(1)).alias("rows"))
-        return per_file.groupBy(*layout).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"))
+        per_file = stored.groupBy(*self.layout, "file").agg(F.count(F.lit(1)).alias("rows"))
+        return per_file.groupBy(*self.layout).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"))
 
     def register(self, name: str, version: int | None = None) -> DataFrame:
         """Make a snapshot and the snapshot list readable from SQL as ``name`` and ``name_snapshots``."""
-        rows = self._as_of(version)
+        rows = self.current() if version is None else self.as_of(version)
         rows.createOrReplaceTempView(name)
         self.snapshots().createOrReplaceTempView(f"{name}_snapshots")
         return rows
 
-    def _entries(self, version: int | None = None) -> list[Row]:
-        """Log lines that make up a snapshot, oldest first, without what a rewrite has replaced."""
-        entries = sorted(self.log(version).collect(), key=lambda entry: entry["snapshot_id"])
-        if not entries or (version is not None and entries[-1]["snapshot_id"] != version):
-            raise LookupError(f"no version {version} of {self.root}")
-        valid: list[Row] = []
-        for entry in entries:
-            if entry["operation"] == "rewrite":
-                valid = [e for e in valid if e["operation"] not in _WITH_DATA or e["snapshot_id"] <= entry["since"]]
-                if not any(e["operation"] in _WITH_DATA for e in valid):
-                    valid = []  # earlier changes have no rows left to act on
-            valid.append(entry)
-        return valid
-
-    def _scan(self, layout: tuple[str, ...], folders: list[str]) -> DataFrame:
-        """Stored rows of some folders that share a layout. The schema is always given: an empty batch
-        leaves a folder without files, and inference would turn a store called 007 into a number."""
+    def _scan(self, wanted: list[tuple[str, ...]] | None = None) -> DataFrame:
+        """All stored rows with their files, or those of some layouts."""
+        found = [self._scan_layout(layout) for layout in self._stored_layouts() if wanted is None or layout in wanted]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found or [self._nothing(self.layout)])
+
+    def _schema(self, layout: tuple[str, ...]) -> StructType:
         directories = [StructField(layouts.directory(n), layouts.DERIVED[n].kind, True) for n in layout]
-        marks = [StructField("_version", IntegerType(), True), StructField("_try", StringType(), True)]
-        schema = StructType([*self.schema.fields, *marks, *directories])
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
-        return reader.parquet(*(f"{self.root}/data/{folder}" for folder in folders))
-
-    def _rows(self, entries: list[Row], prune: Callable[[tuple[str, ...]], list[Column]] = lambda layout: []) -> DataFrame:
-        """The given appends, with the given DELETEs and UPDATEs replayed in order."""
-        by_layout: dict[tuple[str, ...], list[str]] = {}
-        for entry in entries:
-            if entry["operation"] in _WITH_DATA:
-                by_layout.setdefault(tuple(entry["layout"]), []).append(entry["folder"])
-        rows = None
-        for layout, folders in by_layout.items() or [((), [])]:
-            part = self._scan(layout, folders)
-            for test in prune(layout):
+        return StructType([*self.schema.fields, *_IDENTITY.fields, *_PLACE.fields, *directories])
+
+    def _scan_layout(self, layout: tuple[str, ...]) -> DataFrame:
+        """The schema is always given: inference would turn a store called 007 into a number."""
+        stored = self.spark.read.schema(self._schema(layout)).parquet(self._folder(layout))
+        return stored.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("file_time"))
+
+    def _nothing(self, layout: tuple[str, ...]) -> DataFrame:
+        empty = self.spark.createDataFrame([], self._schema(layout))
+        return empty.withColumns({"file_path": F.lit(""), "file_time": F.current_timestamp()})
+
+    def _bases(self, version: int) -> list[int]:
+        return [base for base in self._versions(_BASE) if base <= version][-1:]
+
+    def _rows(self, version: int, prune: Callable[[tuple[str, ...]], list[Column]] = lambda layout: []) -> DataFrame:
+        """The rows of a snapshot with their identity. Without a deletion so far no join is made."""
+        bases, columns, found = self._bases(version), [*self.schema.fieldNames(), *_IDENTITY.fieldNames()], []
+        for layout in self._stored_layouts():
+            part = self._scan_layout(layout)
+            for test in [_visible(version, bases), *prune(layout)]:
                 part = part.filter(test)
-            part = part.select(*self.schema.fieldNames(), "_version")
-            rows = part if rows is None else rows.unionByName(part)
-        for entry in entries:
-            if entry["operation"] in _ROW_CHANGES:
-                rows = self._replay(rows, entry)
+            found.append(part.select(columns))
+        rows = reduce(DataFrame.unionByName, found or [self._nothing(self.layout).select(columns)])
+        removals = [v for v in self._versions(_REMOVED) if v <= version and v > max(bases, default=0)]
+        if removals:
+            gone = self._scan().filter((F.col("change") == _REMOVED) & (F.col("version") <= version) & (F.col("version") >= removals[0]))
+            rows = rows.join(gone.select(*_IDENTITY.fieldNames()), _IDENTITY.fieldNames(), "left_anti")
         return rows
 
-    def _replay(self, rows: DataFrame, entry: Row) -> DataFrame:
-        hit = _hits(entry["predicate"]) & (F.col("_version") < entry["snapshot_id"])
-        if entry["operation"] == "delete":
-            return rows.filter(~hit)
-        # withColumns evaluates every assignment on the old row.
-        return rows.withColumns({
-            name: F.when(hit, F.expr(value).cast(self.schema[name].dataType)).otherwise(F.col(name))
-            for name, value in entry["assignments"].items()
-        })
-
     # -- change -------------------------------------------------------------------------------
 
-    def delete_where(self, predicate: str) -> int:
-        """Delete the rows for which the predicate is true; where it is NULL, the row stays."""
-        _check_row_expression(predicate)
-        entries = self._entries()
-        n = self._rows(entries).filter(_hits(predicate)).count()
-        return self._commit(entries[-1], "delete", predicate=predicate, deleted_records=n)
+    def delete_where(self, predicate: str) -> int | None:
+        """Delete the rows for which the predicate is true; where it is NULL, the row stays. Returns the new
+        version, or None if no row was hit."""
+        hit = self._rows(self.latest()).filter(F.coalesce(F.expr(predicate), F.lit(False)))
+        return self._change(hit.withColumn("change", F.lit(_REMOVED)))
 
-    def update_where(self, predicate: str, assignments: dict[str, str]) -> int:
+    def update_where(self, predicate: str, assignments: dict[str, str]) -> int | None:
         """Set columns to SQL expressions over the old row where the predicate is true. The snapshot
-        list counts a changed row as deleted and added."""
+        list counts a changed row as deleted and added. Returns the new version, or None if no row was hit."""
         unknown = [name for name in assignments if name not in self.schema.fieldNames()]
         if unknown or not assignments:
             raise ValueError(f"cannot assign {unknown or 'nothing'}")
-        for text in (predicate, *assignments.values()):
-            _check_row_expression(text)
-        entries = self._entries()
-        values = [F.expr(value).cast(self.schema[name].dataType) for name, value in assignments.items()]
-        n = self._rows(entries).filter(_hits(predicate)).select(*values).count()
-        return self._commit(
-            entries[-1], "update", predicate=predicate, assignments=dict(assignments), added_records=n, deleted_records=n
+        hit = self._rows(self.latest()).filter(F.coalesce(F.expr(predicate), F.lit(False)))
+        names = [*self.schema.fieldNames(), *_IDENTITY.fieldNames()]
+        new = {name: F.expr(value).cast(self.schema[name].dataType) for name, value in assignments.items()}
+        new |= {name: F.lit(None).cast("long") for name in _IDENTITY.fieldNames()}
+        # Both forms come from one row, so the predicate is evaluated once.
+        old_and_new = F.array(
+            F.struct(*names, F.lit(_REMOVED).alias("change")),
+            F.struct(*(new.get(name, F.col(name)).alias(name) for name in names), F.lit(_ADDED).alias("change")),
         )
-
-    def rewrite(self, since: int = 0) -> int:
-        """Write the rows appended after version ``since`` out again as one version in the current
-        layout, with every change applied. Later reads open it instead; earlier snapshots stay readable.
-        A recent ``since`` merges the small folders of many micro-batches without touching the rest."""
-        entries = self._entries()
-        recent = [e for e in entries if e["operation"] not in _WITH_DATA or e["snapshot_id"] > since]
-        rows = self._rows(recent).select(*self.schema.fieldNames())
-        return self._write(entries[-1], rows, "rewrite", since=since)
-
-
-def _row_counts() -> list[StructField]:
-    return [StructField("rows", LongType()), StructField("files", LongType())]
-
-
-def _hits(predicate: str) -> Column:
-    return F.coalesce(F.expr(predicate), F.lit(False))
-
-
-def _check_row_expression(text: str) -> None:
-    """Replaying needs expressions that give the same result for the same row every time."""
-    found = _NOT_A_ROW_EXPRESSION.search(_LITERAL.sub("''", text))
-    if found:
-        raise ValueError(f"{found.group(0)!r} is not allowed: use an expression over the columns of one row")
+        return self._change(hit.select(F.inline(old_and_new)))
+
+    def rewrite(self) -> int | None:
+        """Write the current rows out again as one version in this layout. Later reads open it instead of what
+        came before; earlier snapshots stay readable."""
+        return self._change(self._rows(self.latest()).withColumn("change", F.lit(_BASE)))
+
+    def _change(self, rows: DataFrame) -> int | None:
+        version, query = self.latest() + 1, f"change-{uuid.uuid4().hex}"
+        place = {"version": F.lit(version).cast("long"), "query": F.lit(query), "batch": F.lit(0).cast("long")}
+        names = [*_PLACE.fieldNames(), *map(layouts.directory, self.layout)]
+        self._prepared(rows).withColumns(place).write.mode("append").partitionBy(*names).parquet(self._folder(self.layout))
+        return version if matching(self.spark, f"{self._folder(self.layout)}/change=*/version={version}/query={query}") else None
+
+
+def _visible(version: int, bases: list[int]) -> Column:
+    """Partitions that hold the rows of a snapshot: its newest base and what was added since."""
+    base = max(bases, default=0)
+    added = (F.col("change") == _ADDED) & (F.col("version") > base) & (F.col("version") <= version)
+    return added | ((F.col("change") == _BASE) & (F.col("version") == base)) if bases else added

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.money import as_money, basket_subtotal, tax_on
+from ..functions.money import MONEY, as_money, basket_subtotal, tax_on
+from ..operators.parts import whole_once
 from ..schema import FAILED_STATUS
+from ..streaming.waiting import settle
 
-_POLL = 0.2  # seconds
+OBSERVED = "quality"
 
 # In the order in which a run is judged: name, what must hold, message.
 RULES: tuple[tuple[str, Callable[[int], bool], str], ...] = (
@@ -32,11 +33,21 @@ class DataQualityError(RuntimeError):
 
 def dq_report(sales: DataFrame) -> DataFrame:
     """One row with the three counts, in one pass."""
-    return sales.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("transaction_id").isNull()).alias("null_transaction_ids"),
-        F.count_if(F.col("payment_status") == FAILED_STATUS).alias("failed_payments"),
-    )
+    return sales.agg(*_counts(F.lit(True)))
+
+
+def _counts(counted: Column) -> list[Column]:
+    return [
+        F.count_if(counted).alias("row_count"),
+        F.count_if(counted & F.col("transaction_id").isNull()).alias("null_transaction_ids"),
+        F.count_if(counted & (F.col("payment_status") == FAILED_STATUS)).alias("failed_payments"),
+    ]
+
+
+def observed(events: DataFrame) -> DataFrame:
+    """Rows of stored events that count themselves for the same report while they are written, without a second
+    scan. Of a transaction in parts the first part counts."""
+    return events.observe(OBSERVED, *_counts(F.coalesce(F.col("part"), F.lit(0)) == 0))
 
 
 def gate(report: DataFrame) -> DataFrame:
@@ -48,51 +59,29 @@ def gate(report: DataFrame) -> DataFrame:
     return report.sparkSession.createDataFrame([found], report.schema)
 
 
-def settle(query: StreamingQuery, timeout: float = 600.0) -> None:
-    """Wait until a query has worked off what had arrived when it was asked, ``timeout`` seconds at most.
-
-    A running query has done so when it is idle without data, or when two batches have begun and ended
-    since: the second began after this call, whatever keeps arriving.
-    """
-    started, until = _batch(query), time.monotonic() + timeout
-    while query.isActive and _batch(query) < started + 2:
-        state = query.status
-        if _batch(query) > started and not state["isDataAvailable"] and not state["isTriggerActive"]:
-            break
-        if query.awaitTermination(_POLL):
-            break
-        if time.monotonic() > until:
-            raise TimeoutError(f"the query has not caught up within {timeout} seconds")
-    if query.exception():
-        raise query.exception()
-
-
-def _batch(query: StreamingQuery) -> int:
-    progress = query.lastProgress
-    return -1 if progress is None else progress["batchId"]
-
-
-def gated_run(start: Callable[[], StreamingQuery], rows: Callable[[], DataFrame]) -> DataFrame:
-    """Start ingest (or find it running), let it catch up, then judge the table."""
-    settle(start())
+def gated_run(start: Callable[[], StreamingQuery], rows: Callable[[], DataFrame], timeout: float = 600.0, **source: str) -> DataFrame:
+    """Start ingest (or find it running), let it catch up, then judge the table. ``source`` is the location and
+    the checkpoint that ``settle`` needs for a source of files."""
+    settle(start(), timeout, **source)
     return gate(dq_report(rows()))
 
 
 def reconcile(transactions: DataFrame) -> DataFrame:
-    """Amounts recomputed from the items of nested transactions, and whether the event's own agree.
+    """Amounts recomputed from the items of nested transactions, and whether the events' own agree.
 
-    NULL or non-money amounts are never consistent.
+    The subtotals of the parts of a large transaction are added first. NULL or non-money amounts are never consistent.
     """
-    expected = (
-        transactions.withColumn("subtotal_", basket_subtotal(F.col("items")))
-        .withColumn("tax_", tax_on(F.col("subtotal_")))
-        .withColumn("total_", F.col("subtotal_") + F.col("tax_"))
-    )
+    own = basket_subtotal(F.col("items"))
+    events = transactions.select("transaction_id", "subtotal", "tax", "total", "part", "parts", own.alias("recomputed"))
+    every = F.count("recomputed") == F.count(F.lit(1))
+    claimed = whole_once(events, {"recomputed": F.when(every, F.sum("recomputed").cast(MONEY))})
+    subtotal = F.col("recomputed")
+    expected = {"subtotal": subtotal, "tax": tax_on(subtotal), "total": subtotal + tax_on(subtotal)}
     agrees = F.lit(True)
-    for name in ("subtotal", "tax", "total"):
-        agrees = agrees & (as_money(F.col(name)) == F.col(f"{name}_"))
-    return expected.select(
+    for name, value in expected.items():
+        agrees = agrees & (as_money(F.col(name)) == value)
+    return claimed.select(
         "transaction_id",
-        *(F.col(f"{name}_").cast("double").alias(name) for name in ("subtotal", "tax", "total")),
+        *(value.cast("double").alias(name) for name, value in expected.items()),
         F.coalesce(agrees, F.lit(False)).alias("consistent"),
     )

@@ -46,6 +46,10 @@ def transaction(item: StructType = ITEM) -> StructType:
 
 TRANSACTION = transaction()
 
+# An order too large for one message is sent as several events: ``part`` counts from 0 to ``parts`` - 1.
+# Other events have neither field.
+PARTS = _row(part=_INT, parts=_INT)
+
 CLEAN = _row(
     transaction_id=_TEXT,
     store_id=_TEXT,
@@ -60,7 +64,10 @@ CLEAN = _row(
     item_count=_INT,
 )
 
-# Topic name, payment methods, statuses and tax rate of the payload contract.
+# What is stored of an event.
+STORED = StructType([*CLEAN.fields, *PARTS.fields])
+
+# Names, order and types of ITEM, transaction and CLEAN above; here topic name, payment methods, statuses and tax rate of the payload contract.
 TOPIC = "raw_pos_transactions"
 PAYMENT_METHODS = ("credit_card", "debit_card", "cash", "mobile_pay")
 KEPT_STATUSES = ("completed", "refunded")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job here assumes. Partition counts are left to AQE, the master and the
 # memory sizes to spark-submit.
@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Files of a shuffle go when the query that made them has ended, not when the driver collects its garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 # Beyond this many partitions the bookkeeping of a shuffle costs more than larger, spilling tasks.
@@ -85,7 +87,21 @@ def workspace(spark: SparkSession, label: str) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """A frame put down in the scratch folder and read again: its size is known to joins and it is made once."""
+    path = workspace(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system the path names."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Path and modification time (milliseconds) of the files and folders that a pattern names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [(status.getPath().toString(), status.getModificationTime()) for status in found]

@@ -6,32 +6,30 @@ is the flat table that reports read; ``feed`` is the raw event stream that would
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.codec import clean, encode
-from ..functions.money import MONEY, tax_on
+from ..functions.codec import encode
+from ..functions.money import MONEY, tax_on, tax_share
 from ..functions.times import PAYLOAD_FORMAT
-from ..schema import CLEAN, PAYMENT_METHODS, TRANSACTION
+from ..schema import CLEAN, PARTS, PAYMENT_METHODS, TRANSACTION
+from ..session import written
 
 # An event is one message: 5,000 items are about 0.6 MB of JSON, below the usual 1 MiB limit of a
-# broker. Orders with more lines never become events (see ``feed``).
-MESSAGE_LINES = 5_000
-
-# Up to this many order keys (8 bytes each) are sent to all executors; more are joined by shuffle.
-BROADCAST_KEYS = 10_000
+# broker. Orders with more lines are sent in parts.
+PART_LINES = 5_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, salted: bool = False) -> DataFrame:
     """Order lines with their product. No broadcast is forced: the catalogue grows with the data, so
-    Spark decides by size, and a hot product is split by the skew join."""
+    Spark decides by size, and a hot product is split by the skew join. ``salt`` spreads the lines of an
+    order, equal ones too: it is made from their place in the scan, which a retry does not change."""
+    salt = [F.xxhash64(F.monotonically_increasing_id()).alias("salt")] if salted else []
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", F.floor("l_quantity").cast("int").alias("quantity")
+        "l_orderkey", "l_partkey", F.floor("l_quantity").cast("int").alias("quantity"), *salt
     )
     parts = table(spark, sf_dir, "part").select(
         "p_partkey",
@@ -85,8 +83,11 @@ def _header() -> dict[str, Column]:
     }
 
 
-def _amounts(subtotal: Column) -> dict[str, Column]:
+def _amounts(subtotal: Column, whole: Column | None = None) -> dict[str, Column]:
+    """Amounts of a transaction; where it is not ``whole``, its share of them."""
     tax = tax_on(subtotal)
+    if whole is not None:
+        tax = F.when(whole, tax.cast("decimal(24,4)")).otherwise(tax_share(subtotal))
     return {
         "subtotal": subtotal.cast("double"),
         "tax": tax.cast("double"),
@@ -99,13 +100,15 @@ def sales(
 ) -> DataFrame:
     """The flat transactions of every status, without a detour through JSON. ``extra`` keeps columns
     of the order or of its line sums; ``orders`` replaces the order table, e.g. by a part of it. With
-    ``few``, which the caller must be sure of, other orders' lines are dropped before the shuffle."""
+    ``few``, other orders' lines are dropped before the shuffle: their keys are written down first, so
+    that Spark sends them to all executors only if they are small."""
     lines = _lines(spark, sf_dir)
     if orders is None:
         orders = table(spark, sf_dir, "orders")
     elif few:
+        orders = written(orders, "few-orders")
         keys = orders.select(F.col("o_orderkey").alias("few_key")).distinct()
-        lines = lines.join(F.broadcast(keys), F.col("l_orderkey") == F.col("few_key"), "left_semi")
+        lines = lines.join(keys, F.col("l_orderkey") == F.col("few_key"), "left_semi")
     sums = _sums(lines)
     joined = orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     columns = _header() | _amounts(_subtotal()) | {
@@ -115,72 +118,45 @@ def sales(
     return joined.select(*(columns[name].alias(name) for name in CLEAN.fieldNames()), *extra)
 
 
-@dataclass(frozen=True)
-class Feed:
-    """``raw`` events, and the flat rows of orders that are too large for one event, if there are any."""
-
-    raw: DataFrame
-    oversized: DataFrame | None = None
-
-    def complete(self, rows: DataFrame, *, cleaned: bool = False) -> DataFrame:
-        """Rows made from the events, plus the same columns of the oversized orders, which pass the
-        status filter first if the rows did."""
-        if self.oversized is None:
-            return rows
-        rest = clean(self.oversized) if cleaned else self.oversized
-        return rows.unionByName(rest.select(*rows.columns))
+def _large(lines: DataFrame) -> DataFrame:
+    """Key and number of parts of the orders with more than PART_LINES lines.
 
+    One pass over one column, counted before the shuffle. It is written down, so that joins with it are
+    planned by its size.
+    """
+    counted = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") > PART_LINES)
+    parts = F.ceil(F.col("lines") / F.lit(PART_LINES / 2)).cast("int")  # half full, as lines are dealt by a hash
+    return written(counted.select(F.col("l_orderkey").alias("large_key"), parts.alias("n_parts")), "large-orders")
 
-def _oversized_keys(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame | None:
-    """Keys of the orders with more than ``limit`` lines; None when there are none.
 
-    One pass over one column, counted before the shuffle. Without it a hot order would be collected
-    into a single row of a single task.
-    """
-    counted = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
-    heavy = counted.filter(F.col("lines") > limit).select(F.col("l_orderkey").alias("heavy_key"))
-    found = heavy.count()
-    if not found:
-        return None
-    if found > BROADCAST_KEYS:
-        return heavy
-    return F.broadcast(spark.createDataFrame(heavy.collect(), heavy.schema))
-
-
-def feed(spark: SparkSession, sf_dir: str, *extra: str, where: Column | None = None, limit: int = MESSAGE_LINES) -> Feed:
-    """Raw events of the orders that satisfy ``where``.
-
-    Items are gathered per order only up to ``limit`` lines. Larger orders cannot be one message; their
-    flat rows come from ``sales``, whose sums have no such bound, so nothing is lost. ``extra`` names
-    columns those rows carry besides the flat ones.
-    """
+def feed(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """Raw events of the orders that satisfy ``where``: one for an order, or several for a large one."""
     orders = table(spark, sf_dir, "orders")
     orders = orders if where is None else orders.filter(where)
-    lines = _lines(spark, sf_dir)
-    heavy = _oversized_keys(spark, sf_dir, limit)
-    oversized = None
-    if heavy is not None:
-        large = orders.join(heavy, F.col("o_orderkey") == F.col("heavy_key"), "left_semi")
-        oversized = sales(spark, sf_dir, *extra, orders=large)
-        orders = orders.join(heavy, F.col("o_orderkey") == F.col("heavy_key"), "left_anti")
-        lines = lines.join(heavy, F.col("l_orderkey") == F.col("heavy_key"), "left_anti")
-    return Feed(encode(_transactions(orders, lines)), oversized)
+    return encode(_transactions(orders, _lines(spark, sf_dir, salted=True), _large(table(spark, sf_dir, "lineitem"))))
 
 
-def _transactions(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Nested transactions; the items are sorted because line numbers are not unique.
+def _transactions(orders: DataFrame, lines: DataFrame, large: DataFrame) -> DataFrame:
+    """Nested transactions, or parts of them; the items are sorted because line numbers are not unique.
 
-    Lists do not get smaller when they are combined before a shuffle, so the lines are moved first.
+    Lines are grouped by order and part, so no row or task gathers a large order. Lists do not get smaller
+    when they are combined before a shuffle, so the lines are moved first.
     """
     item = F.struct("sku", "name", "category", "quantity", "unit_price")
-    baskets = lines.repartition("l_orderkey").groupBy("l_orderkey").agg(
+    dealt = lines.join(large, F.col("l_orderkey") == F.col("large_key"), "left").withColumn(
+        "l_part", F.coalesce(F.pmod("salt", "n_parts").cast("int"), F.lit(0))
+    )
+    baskets = dealt.repartition("l_orderkey", "l_part").groupBy("l_orderkey", "l_part").agg(
         F.sum(F.col("unit_cents") * F.col("quantity")).alias("cents"),
         F.array_sort(F.collect_list(item)).alias("basket"),
     )
-    joined = orders.join(baskets, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    columns = _header() | _amounts(_subtotal()) | {
+    every = F.sequence(F.lit(0), F.coalesce("n_parts", F.lit(1)) - 1)
+    sent = orders.join(large, F.col("o_orderkey") == F.col("large_key"), "left").withColumn("o_part", F.explode(every))
+    joined = sent.join(baskets, (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("o_part") == F.col("l_part")), "left")
+    columns = _header() | _amounts(_subtotal(), F.col("n_parts").isNull()) | {
         "timestamp": F.date_format(_moment(), PAYLOAD_FORMAT),
         "items": F.coalesce("basket", F.array().cast(TRANSACTION["items"].dataType)),
+        "part": F.when(F.col("n_parts").isNotNull(), F.col("o_part")),
+        "parts": F.col("n_parts"),
     }
-    return joined.select(*(columns[name].alias(name) for name in TRANSACTION.fieldNames()))
-
+    return joined.select(*(columns[name].alias(name) for name in (*TRANSACTION.fieldNames(), *PARTS.fieldNames())))
