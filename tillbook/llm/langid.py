@@ -42,18 +42,20 @@ _CLEAN[0x61:0x7B] = _CLEAN[0x41:0x5B] = np.arange(0x61, 0x7B)
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """4-grams with at most one separator as 32-bit numbers, and the text that each belongs to."""
-    data = _CLEAN[np.frombuffer(_GAP.join(texts), np.uint8)]
-    if len(data) < 4:
-        return np.empty(0, np.uint32), np.empty(0, np.int64)
+    """4-grams with at most one separator as 32-bit numbers, and the text that each belongs to.
+
+    Every text stands between separators, so its grams do not depend on the texts beside it; the second byte of
+    a gram lies in its text, the first may be the separator before it.
+    """
+    data = _CLEAN[np.frombuffer(_GAP + b"".join(text + _GAP for text in texts), np.uint8)]
     wide = data.astype(np.uint32)
     pair = wide[:-1] << np.uint32(8) | wide[1:]
     found = pair[:-2] << np.uint32(16) | pair[2:]
     gap = (data == 0x20).view(np.int8)
     twice = gap[:-1] + gap[1:]
     at = np.flatnonzero(twice[:-2] + twice[2:] <= 1)
-    ends = np.cumsum([len(text) + len(_GAP) for text in texts])
-    return found[at], np.searchsorted(ends, at, side="right")
+    ends = len(_GAP) + np.cumsum([len(text) + len(_GAP) for text in texts])
+    return found[at], np.searchsorted(ends, at + 1, side="right")
 
 
 def _slots(found: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -177,7 +179,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def _decide(texts: list[bytes], model: Model) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
-    letters = [bool(_LETTER.search(text.decode())) for text in texts]
+    letters = [bool(_LETTER.search(text.decode(errors="replace"))) for text in texts]
     named, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
     if model.languages:
         value, total = shares(texts, model)
@@ -198,7 +200,7 @@ def identify(documents: DataFrame, learn_from: Column, id_col: str = "doc_id", t
 
     ``learn_from`` tells the labelled rows to learn from. Null texts and texts without a letter are ``und``
     with score 0. A text whose grams are all unknown gets the most frequent language with score 0; without
-    any labelled row all are ``und``. Ties go to the language that sorts first. Of other columns those named
+    any labelled row all are ``und``. Bytes that are no UTF-8 are no letters. Ties go to the language that sorts first. Of other columns those named
     in ``carry`` are returned too.
     """
     carry = carry or []
