@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillbook.llm.common import components, grouped, mix, rows, runs, save, word_hashes
 
@@ -52,7 +52,7 @@ def shingles(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sets(records: list[tuple]) -> list[np.ndarray]:
-    hashes, counts = word_hashes([text or b"" for _, text in records], lower=True)
+    hashes, counts = word_hashes([record[1] or b"" for record in records], lower=True)
     return [shingles(part) for part in np.split(hashes, np.cumsum(counts)[:-1])]
 
 
@@ -79,6 +79,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signed = dict(zip(full, _signatures([sets[k] for k in full], POSTED))) if full else {}
         yield pa.RecordBatch.from_pydict({
             "doc_id": pa.array([r[0] for r in part], pa.int64()),
+            "tag": pa.array([r[2] for r in part], pa.int64()),
             "n": pa.array([len(s) for s in sets], pa.int64()),
             "mark": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
             "posted": pa.array([signed[k].view(np.int32) if k in signed else None for k in range(len(part))], pa.list_(pa.int32())),
@@ -220,15 +221,17 @@ def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
     return classes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
-def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked doc_id) and kept, a row for each row of ``documents``.
 
     Null and empty texts have no shingles and are linked with nothing. Rows without an id are never linked:
     their component is null and they are kept. Rows that share an id are one document. Other columns are
-    ignored, whatever their names; an empty table gives an empty result.
+    ignored, whatever their names; an empty table gives an empty result. With a ``tag`` (a number made from a row)
+    it is returned too, to tell rows that share an id.
     """
-    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    described = save(source.mapInArrow(_describe, "doc_id long, n long, mark binary, posted array<int>"), "described")
+    own_tag = (F.lit(None) if tag is None else tag).cast("long").alias("tag")
+    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), own_tag)
+    described = save(source.mapInArrow(_describe, "doc_id long, tag long, n long, mark binary, posted array<int>"), "described")
 
     # One document of each distinct set stands for its copies.
     named = described.filter("n > 0 AND doc_id IS NOT NULL")
@@ -249,7 +252,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     )
     prefix = save(prefix, "prefix")
     able = save(prefix.groupBy("doc_id").agg(F.collect_list("token").alias("tokens")), "able")  # at most a prefix of each
-    texts = source.join(able.select("doc_id"), "doc_id", "left_semi")
+    texts = source.drop("tag").join(able.select("doc_id"), "doc_id", "left_semi")
     sets = save(texts.mapInArrow(_full_sets, "doc_id long, n long, brief binary, whole binary").distinct(), "sets")
     briefs = sets.select("doc_id", "n", "brief").join(able, "doc_id")
 
@@ -271,7 +274,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     of_mark = first.select("mark", F.col("doc_id").alias("first")).join(label.select("mark", "component"), "mark", "left")
     of_mark = of_mark.select(F.col("mark"), F.coalesce("component", "first").alias("component"))
-    linked = described.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("mark")).alias("mark")).join(of_mark, "mark", "left")
-    return linked.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    linked = described.select("doc_id", "tag", "n", F.when(F.col("doc_id").isNotNull(), F.col("mark")).alias("mark")).join(of_mark, "mark", "left")
+    result = linked.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "tag"
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return result.drop("tag") if tag is None else result
