@@ -14,16 +14,31 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language was found; texts that are null or have no letter go."""
+    """Documents in which a language was found; texts that are null or have no letter go.
+
+    Where no document says its language none can be found, and texts with a letter stay too.
+    """
     learn_from = F.coalesce(langid.crc32(F.col("doc_id")) % 4 != 2, F.lit(False))
     found = langid.identify(docs, learn_from, carry=["text", "lang", "source", "n_chars"])
-    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(COLUMNS)
+    return found.filter((F.col("lang_pred") != langid.UNKNOWN) | F.col("text").rlike(r"\p{L}")).select(COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies stays; rows without an id stay."""
-    dropped = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(COLUMNS)
+    """The document with the smallest id of each group of near copies stays; rows without an id stay.
+
+    Of rows that share both id and text the smallest stays. Rows that share an id but not the text are judged
+    each by its own text: what is decided is joined by id and a hash of the text.
+    """
+    tag = F.xxhash64("text")
+    found = near_duplicates(docs, tag=tag).groupBy("doc_id", "tag").agg(F.count("*").alias("rows"), F.bool_or("kept").alias("kept"))
+    decided = save(found.filter("doc_id IS NOT NULL AND (rows > 1 OR NOT kept)"), "decided")
+    tagged = docs.withColumn("tag", tag)
+    left = tagged.join(decided, ["doc_id", "tag"], "left_anti").select(COLUMNS)
+    twice = decided.filter("kept").select("doc_id", "tag")
+    if twice.isEmpty():
+        return left
+    one = tagged.join(twice, ["doc_id", "tag"]).groupBy("doc_id", "tag").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return left.unionByName(one.select("row.*"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
