@@ -155,7 +155,7 @@ def test_pipeline_stages_keep_clean_documents(spark, small):
     assert stripped.columns == docs.columns
     left, seen = {r.doc_id: r.text for r in stripped.collect()}, set()
     for key in sorted(texts):
-        words = texts[key].split(" ") if False else texts[key].encode().split()
+        words = texts[key].encode().split()
         windows = [tuple(words[k : k + 20]) for k in range(len(words) - 19)]
         repeats = [w in seen or w in windows[:k] for k, w in enumerate(windows)]
         kept = [w for p, w in enumerate(words) if not any(repeats[max(0, p - 19) : p + 1])]
