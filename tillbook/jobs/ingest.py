@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import argparse
 import os
+from contextlib import nullcontext
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.parts import whole
 from ..schema import TOPIC
 from ..sources.events import KINDS, STARTS, raw_source
-from ..streaming.ingest import SINKS, start_ingest
+from ..streaming.ingest import SINKS, start_ingest, stored_events
+from ..streaming.journal import Journal
 from . import options
 
 
-def main(arguments: list[str] | None = None) -> None:
-    known = options.parser(__doc__)
+def parser(description: str) -> argparse.ArgumentParser:
+    known = options.parser(description)
     known.add_argument("--sink", choices=SINKS, default=os.environ.get("WRITE_MODE", "versions"))
     known.add_argument("--source", choices=KINDS, default="kafka")
     known.add_argument("--location", default=os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092"),
@@ -23,25 +30,48 @@ def main(arguments: list[str] | None = None) -> None:
     known.add_argument("--trigger", default="10 seconds", help="interval, or availableNow")
     known.add_argument("--per-batch", type=int, help="most events (kafka) or files of a micro-batch")
     known.add_argument("--mode", default="strict", help="strict or quarantine")
-    chosen = known.parse_args(arguments)
+    known.add_argument("--journal", help="folder for a row per micro-batch")
+    return known
+
+
+def checked(known: argparse.ArgumentParser, chosen: argparse.Namespace) -> argparse.Namespace:
     if chosen.sink not in SINKS:  # argparse does not check a default from the environment
         known.error(f"unknown sink {chosen.sink!r}, use one of {SINKS}")
     if chosen.sink == "iceberg":
         chosen.format = "iceberg"
+    return chosen
 
-    spark = options.session("ingest", chosen)
-    if chosen.sink == "parquet":
-        target = f"{options.location(chosen)}.parquet"
-    else:
-        if chosen.sink == "iceberg":
-            options.opened(spark, chosen).create()
-        target = options.location(chosen)
+
+def target(chosen: argparse.Namespace) -> str:
+    return f"{options.location(chosen)}.parquet" if chosen.sink == "parquet" else options.location(chosen)
+
+
+def start(spark: SparkSession, chosen: argparse.Namespace) -> StreamingQuery:
+    if chosen.sink == "iceberg":
+        options.opened(spark, chosen).create()
     raw = raw_source(
         spark, chosen.source, chosen.location, topic=chosen.topic, start=chosen.start,
         checkpoint=chosen.checkpoint, tolerate_loss=chosen.tolerate_loss, per_batch=chosen.per_batch,
     )
-    query = start_ingest(raw, chosen.sink, target, chosen.checkpoint, trigger=chosen.trigger, mode=chosen.mode)
-    query.awaitTermination()
+    return start_ingest(raw, chosen.sink, target(chosen), chosen.checkpoint, trigger=chosen.trigger, mode=chosen.mode)
+
+
+def stored(spark: SparkSession, chosen: argparse.Namespace) -> DataFrame:
+    """The whole transactions that the sink holds."""
+    if chosen.sink == "parquet":
+        return whole(stored_events(spark, target(chosen)))
+    return options.opened(spark, chosen).current()
+
+
+def main(arguments: list[str] | None = None) -> None:
+    known = parser(__doc__)
+    chosen = checked(known, known.parse_args(arguments))
+    spark = options.session("ingest", chosen)
+    with Journal(spark, chosen.journal) if chosen.journal else nullcontext() as journal:
+        query = start(spark, chosen)
+        query.awaitTermination()
+        if journal:
+            journal.wait(query)
 
 
 if __name__ == "__main__":

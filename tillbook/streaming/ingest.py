@@ -114,8 +114,12 @@ def _quarantining(append: Callable[[DataFrame, int], None], aside: str) -> Calla
 
 def running_query(spark: SparkSession, checkpoint: str) -> StreamingQuery | None:
     """The active query of this session that uses the checkpoint, if any."""
+    known = query_id(spark, checkpoint)
+    return next((q for q in spark.streams.active if known and q.id == known), None)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """Id of the query to which a checkpoint belongs; restarts keep it."""
     path = f"{checkpoint.rstrip('/')}/metadata"
-    if not exists(spark, path):
-        return None
-    known = spark.read.schema("id string").json(path).first()
-    return next((q for q in spark.streams.active if known and q.id == known["id"]), None)
+    found = spark.read.schema("id string").json(path).first() if exists(spark, path) else None
+    return found["id"] if found else None

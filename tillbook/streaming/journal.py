@@ -42,7 +42,8 @@ class Journal(StreamingQueryListener):
         pass
 
     def onQueryIdle(self, event) -> None:
-        pass
+        """Spark says so every ten seconds or so."""
+        self._put(f"alive/query={event.id}", [str(event.timestamp)])
 
     def onQueryTerminated(self, event) -> None:
         """A mark that all progress of this run has been written."""
@@ -50,6 +51,7 @@ class Journal(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         progress = json.loads(event.progress.json)
+        self._put(f"alive/query={progress['id']}", [progress["timestamp"]])
         if not progress["numInputRows"]:
             return
         counts = progress.get("observedMetrics", {}).get(OBSERVED, {})
@@ -77,6 +79,11 @@ class Journal(StreamingQueryListener):
             return self.spark.createDataFrame([], _ROW)
         return self.spark.read.schema(_ROW).option("recursiveFileLookup", "true").json(f"{self.folder}/batches")
 
+    def alive(self, query_id: str, within: float = 60.0) -> bool:
+        """Whether a query, of any program that writes to this journal, gave a sign of life lately."""
+        signs = [written for _, written in matching(self.spark, f"{self.folder}/alive/query={query_id}/_SUCCESS")]
+        return bool(signs) and time.time() - max(signs) / 1000 < within
+
     def wait(self, query: StreamingQuery, timeout: float = 60.0) -> None:
         """Wait until everything that an ended run reported is written; reports come a moment after the run."""
         until = time.monotonic() + timeout

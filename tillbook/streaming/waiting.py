@@ -26,7 +26,7 @@ def settle(query: StreamingQuery, timeout: float = 600.0, *, location: str | Non
     query is still behind.
     """
     if location and checkpoint:
-        behind = _files_behind(_session(query), location, checkpoint.rstrip("/"))
+        behind = _files_behind(_session(), location, checkpoint)
     else:
         behind = _offsets_behind(query)
     until = time.monotonic() + timeout
@@ -39,7 +39,23 @@ def settle(query: StreamingQuery, timeout: float = 600.0, *, location: str | Non
         raise query.exception()
 
 
-def _session(query: StreamingQuery) -> SparkSession:
+def settle_elsewhere(spark: SparkSession, location: str, checkpoint: str, timeout: float = 600.0) -> None:
+    """``settle`` for a query that runs in another program and reads files."""
+    behind = _files_behind(spark, location, checkpoint)
+    until = time.monotonic() + timeout
+    while behind():
+        if time.monotonic() > until:
+            raise TimeoutError(f"the query has not caught up within {timeout} seconds")
+        time.sleep(_POLL)
+
+
+def files_behind(spark: SparkSession, location: str, checkpoint: str) -> list[str]:
+    """Files that have arrived and are in no committed batch: the lag of a consumer, whether it runs or not."""
+    arrived, take = _arrived(spark, location), _taken(spark, checkpoint)
+    return sorted(arrived - take(None)[0])
+
+
+def _session() -> SparkSession:
     return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
@@ -53,19 +69,33 @@ def _name(path: str) -> str:
     return re.sub("/+", "/", path.split(":", 1)[-1])
 
 
+def _arrived(spark: SparkSession, location: str) -> set[str]:
+    return {_name(path) for path, _ in matching(spark, f"{location}/*") if not path.rsplit("/", 1)[1].startswith(("_", "."))}
+
+
+def _taken(spark: SparkSession, checkpoint: str) -> Callable[[int | None], tuple[set[str], int]]:
+    """Gives the files of all committed batches and the number of the newest; no files if that is the given one."""
+    place = checkpoint.rstrip("/")
+
+    def take(known: int | None) -> tuple[set[str], int]:
+        newest = max((_number(path) for path, _ in matching(spark, f"{place}/commits/*")), default=-1)
+        if newest < 0 or newest == known:
+            return set(), newest
+        lines = spark.read.schema("path string, batchId long").json(f"{place}/sources/0")
+        return {_name(unquote(row["path"])) for row in lines.filter(f"batchId <= {newest}").select("path").collect()}, newest
+
+    return take
+
+
 def _files_behind(spark: SparkSession, location: str, checkpoint: str) -> Callable[[], bool]:
     """Whether files that are in the folder now are in no committed batch."""
-    arrived = {_name(path) for path, _ in matching(spark, f"{location}/*") if not path.rsplit("/", 1)[1].startswith(("_", "."))}
-    seen = {"commit": -2}
+    waiting, take, seen = _arrived(spark, location), _taken(spark, checkpoint), [None]
 
     def behind() -> bool:
-        newest = max((_number(path) for path, _ in matching(spark, f"{checkpoint}/commits/*")), default=-1)
-        if arrived and newest != seen["commit"]:
-            seen["commit"] = newest
-            lines = spark.read.schema("path string, batchId long").json(f"{checkpoint}/sources/0") if newest >= 0 else None
-            taken = lines.filter(f"batchId <= {newest}").select("path").collect() if lines is not None else []
-            arrived.difference_update(_name(unquote(row["path"])) for row in taken)
-        return bool(arrived)
+        if waiting:
+            files, seen[0] = take(seen[0])
+            waiting.difference_update(files)
+        return bool(waiting)
 
     return behind
 
