@@ -8,11 +8,14 @@ window are counted. A vector with enough collisions is verified by its inner pro
 has been verified.
 
 Largest inner product becomes smallest distance by one more coordinate that gives all vectors the same
-norm, and a query that is scaled to it.
+norm, and a query that is scaled to it. As short vectors would all look alike beside long ones, a block is
+searched in bands of similar norms, longest first; a query leaves out the bands whose norms cannot reach its
+k-th best product any more.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -29,6 +32,7 @@ START = 0.6  # first radius in units of the common norm
 SLACK = 1.25  # the k-th verified vector must be so much nearer than the radius
 SHARE = 0.47  # of a block that is verified before a query ends without proof
 _FEW = 1_024  # vectors that are verified at least before a query ends without proof
+_BAND = 1.5  # ratio of the norms in a band
 _SEED = 7
 
 
@@ -38,8 +42,31 @@ def _matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return rows["vec_id"].to_numpy(), flat.reshape(rows.num_rows, -1)
 
 
-def search_block(ids: np.ndarray, members: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, norm: float, k: int) -> list[tuple]:
+def search_block(ids: np.ndarray, members: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
     """(query_id, vec_id, score) of up to ``k`` verified members for each query; never the query's own id."""
+    norms, lengths = np.sqrt((members**2).sum(axis=1)), np.sqrt((queries**2).sum(axis=1))
+    band = np.floor(np.log(norms.max() / norms) / np.log(_BAND)).astype(np.int64)
+    found = [np.empty(0, np.int64)] * len(queries)
+    score = [np.empty(0)] * len(queries)
+    for number in np.unique(band):
+        rows = np.flatnonzero(band == number)
+        norm = norms[rows].max()
+        able = [q for q in range(len(queries)) if len(score[q]) < k or norm * lengths[q] >= np.partition(score[q], -k)[-k]]
+        if not able:
+            break
+        for q, (more, products) in zip(able, _search_band(ids[rows], members[rows], query_ids[able], queries[able], norm, k)):
+            found[q], score[q] = np.append(found[q], rows[more]), np.append(score[q], products)
+    out: list[tuple] = []
+    for q, query_id in enumerate(query_ids):
+        top = np.lexsort((ids[found[q]], -score[q]))[:k]
+        out += [(int(query_id), int(ids[found[q][t]]), float(score[q][t])) for t in top]
+    return out
+
+
+def _search_band(
+    ids: np.ndarray, members: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, norm: float, k: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers and products of the verified members of a band, query by query."""
     n = len(ids)
     directions = np.random.default_rng(_SEED).standard_normal((members.shape[1] + 1, PROJECTIONS))
     lift = np.sqrt(np.maximum(norm**2 - (members**2).sum(axis=1), 0))
@@ -58,7 +85,6 @@ def search_block(ids: np.ndarray, members: np.ndarray, query_ids: np.ndarray, qu
         low[p] = np.searchsorted(values[p], centres[:, p, None] - reach, side="left")
         high[p] = np.searchsorted(values[p], centres[:, p, None] + reach, side="right")
 
-    out: list[tuple] = []
     for q, query in enumerate(queries):
         count, done = np.zeros(n, np.uint8), np.zeros(n, bool)
         done[ids == query_ids[q]] = True
@@ -85,15 +111,13 @@ def search_block(ids: np.ndarray, members: np.ndarray, query_ids: np.ndarray, qu
         if len(found) < min(k, n - 1):  # too few collided at any radius
             found = np.flatnonzero(ids != query_ids[q])
             score = members[found] @ query
-        top = np.lexsort((ids[found], -score))[:k]
-        out += [(int(query_ids[q]), int(ids[found[t]]), float(score[t])) for t in top]
-    return out
+        yield found, score
 
 
-def _search(rows: pa.Table, norm: float, k: int) -> pa.Table:
+def _search(rows: pa.Table, k: int) -> pa.Table:
     flags = rows["query"].to_numpy(zero_copy_only=False)
     members, queries = rows.filter(pa.array(~flags)), rows.filter(pa.array(flags))
-    found = search_block(*_matrix(members), *_matrix(queries), norm, k) if members.num_rows and queries.num_rows else []
+    found = search_block(*_matrix(members), *_matrix(queries), k) if members.num_rows and queries.num_rows else []
     columns = list(zip(*found)) or [[], [], []]
     return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
 
@@ -105,7 +129,4 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int, id_col: str = "vec_
     an empty table gives no rows. Every vector is indexed, in the block that its id falls into.
     """
     source = usable(embeddings, zero=False, id_col=id_col, vector_col=vector_col)
-    squared = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    norm = source.agg(F.max(squared)).first()[0] or 1.0
-    run = partial(_search, norm=float(np.sqrt(norm)), k=k)
-    return best(in_blocks(source, is_query, run, "query_id long, vec_id long, score double"), k)
+    return best(in_blocks(source, is_query, partial(_search, k=k), "query_id long, vec_id long, score double"), k)
