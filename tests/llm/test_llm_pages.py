@@ -59,3 +59,26 @@ def test_footer_of_a_quote_and_aside_with_text(model):
 def test_short_last_paragraph(model, last):
     page = f"<article><h1>T</h1><p>{LONG}</p><p>{last}</p>"
     assert text_of(page, model) == ["T", LONG.strip(), html.html.unescape(last)] == text_of(page + "</article>", model)
+
+
+def test_maps_and_listings_are_text(model):
+    page = f"<article><h1>T</h1><p>{LONG}</p><xmp class=code><b>a</b> &amp; b</xmp><map name=m>On a map, and in words.<area href=x></map><p>{LONG}</article>"
+    assert [text for _, text in html.Page(page).blocks] == ["T", LONG.strip(), "<b>a</b> &amp; b", "On a map, and in words.", LONG.strip()]
+    assert text_of(page, model) == ["T", LONG.strip(), "<b>a</b> &amp; b", "On a map, and in words.", LONG.strip()]
+    assert [text for _, text in html.Page("<p>a<xmp>b <p>c").blocks] == ["a", "b <p>c"]
+
+
+def test_names_in_other_languages(model):
+    menu = "<ul><li><a href=/a>Start</a></li><li><a href=/b>Mehr</a></li></ul>"
+    page = (
+        f"<body><div class=kopfzeile><a href=/>Zeitung</a>{menu}</div><div class=inhalt><h1>Titel davon</h1><p>{LONG}</p><p>{LONG}</p></div>"
+        f"<div class=seitenleiste><h3>Mehr</h3>{menu}</div><div class=fusszeile><p>Copyright und anderes, was unten steht.</p></div></body>"
+    )
+    assert text_of(page, model) == ["Titel davon", LONG.strip(), LONG.strip()]
+
+
+def test_repeated_and_very_long_pages(spark):
+    long = "<article><h1>T</h1>" + f"<p>{LONG}</p>" * 4000 + "</article>"
+    rows = [(1, "u", long), (1, "u", long), (2, "v", f"<article><h1>A</h1><p>{LONG}</p></article>")]
+    found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.n_chars) for r in found) == [(1, len(long.split("<p>")[1][:-4].strip()) * 4000 + 2 * 4000 + 1)] * 2 + [(2, 3 + len(LONG.strip()))]

@@ -34,13 +34,13 @@ _BLOCK_CHARS = 1 << 21
 # Elements by how HTML treats them (fixed values of the standard).
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-_DROPPED = _RAW | frozenset("noscript template svg canvas object select button datalist audio video map".split())
+_DROPPED = _RAW | frozenset("noscript template svg canvas object select button datalist audio video".split())
 _MATH = frozenset(
     "math maction annotation annotation-xml merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
     "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
 _INLINE = _MATH | frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var ruby rt rp".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label map mark q s samp small span strike strong sub sup time tt u var ruby rt rp".split()
 )
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -55,23 +55,23 @@ _ENDS = {
 
 # Groups of tags and of words in class, id and role that are told apart.
 _TAGS = (
-    ("html", "body"), ("article",), ("main",), ("section",), ("div", "center"), ("p", "blockquote", "pre"),
+    ("html", "body"), ("article",), ("main",), ("section",), ("div", "center"), ("p", "blockquote", "pre", "xmp"),
     ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"), ("ul", "ol", "dl", "menu", "dir"), ("li", "dt", "dd"),
     ("table", "tbody", "thead", "tfoot", "tr", "td", "th"), ("figure", "figcaption"), ("nav",), ("header",), ("footer", "address"),
     ("aside",), ("form", "fieldset", "search", "dialog"),
 )
 _WORDS = (
-    ("content", "article", "post", "body", "entry", "main", "text", "story", "prose", "page"),
-    ("nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "tabs", "toc", "links"),
-    ("sidebar", "side", "aside", "rail", "widget", "complementary", "column"),
-    ("ad", "ads", "advert", "advertisement", "adverts", "banner", "promo", "promotion", "sponsor", "sponsored", "teaser", "offer"),
+    ("content", "article", "post", "body", "entry", "main", "text", "story", "prose", "page", "inhalt", "beitrag", "artikel", "contenu", "contenido", "articulo", "texte", "texto"),
+    ("nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "tabs", "toc", "links", "navigationsleiste", "navegacion", "brotkrumen"),
+    ("sidebar", "side", "aside", "rail", "widget", "complementary", "column", "seitenleiste", "randspalte", "laterale", "lateral", "colonne", "columna"),
+    ("ad", "ads", "advert", "advertisement", "adverts", "banner", "promo", "promotion", "sponsor", "sponsored", "teaser", "offer", "werbung", "anzeige", "anzeigen", "publicite", "publicidad", "anuncio"),
     ("cookie", "cookies", "notice", "consent", "popup", "modal", "overlay", "gdpr", "alert", "privacy", "warning", "message", "paywall"),
-    ("comment", "comments", "reply", "replies", "discussion", "disqus", "respond", "reviews", "feedback", "thread", "forum"),
-    ("header", "masthead", "top", "topbar", "logo", "brand", "site", "head"),
-    ("footer", "bottom", "copyright", "legal", "contentinfo", "foot", "imprint"),
+    ("comment", "comments", "reply", "replies", "discussion", "disqus", "respond", "reviews", "feedback", "thread", "forum", "kommentar", "kommentare", "commentaire", "commentaires", "comentario", "comentarios"),
+    ("header", "masthead", "top", "topbar", "logo", "brand", "site", "head", "kopf", "kopfzeile", "entete", "cabecera", "encabezado"),
+    ("footer", "bottom", "copyright", "legal", "contentinfo", "foot", "imprint", "fuss", "fusszeile", "impressum", "pied", "pie"),
     ("form", "login", "search", "subscribe", "newsletter", "signup", "contact", "register", "subscription", "input"),
     ("share", "social", "sharing", "follow", "like", "tools", "toolbar", "buttons"),
-    ("related", "recommended", "recommend", "more", "popular", "trending", "similar", "also", "latest"),
+    ("related", "recommended", "recommend", "more", "popular", "trending", "similar", "also", "latest", "aehnlich", "verwandt", "connexe", "relacionado", "relacionados"),
     ("meta", "byline", "author", "date", "tags", "info", "caption"),
 )
 _TAG_GROUP = {tag: k for k, group in enumerate(_TAGS) for tag in group}
@@ -185,6 +185,23 @@ class Page:
                 else:
                     buffer.append(" ")
                 continue
+            if tag == "xmp":  # text as it is, tags and references too
+                k = find({"p"}, {"td", "th", "table"})
+                if k:
+                    pop_to(k)
+                flush()
+                ended = re.compile(r"</xmp(?=[\s/>])[^>]*>", re.I).search(source, position)
+                inside = source[position : ended.start() if ended else end]
+                self.parent.append(open_at[-1])
+                self.tag.append(tag)
+                self.named.append(_words_of(attributes) if attributes else 0)
+                self.mark.append(attributes)
+                open_at.append(len(self.tag) - 1)
+                buffer.append(html.escape(inside))
+                flush()
+                open_at.pop()
+                position = ended.end() if ended else end
+                continue
             if tag in _DROPPED:
                 buffer.append(" ")
                 if tag != "svg" or not attributes.endswith("/"):
