@@ -9,7 +9,6 @@ ids back to bytes.
 from __future__ import annotations
 
 import base64
-import hashlib
 import struct
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -165,7 +164,3 @@ def round_trip(documents: DataFrame, path: str, pattern: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

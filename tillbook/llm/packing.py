@@ -10,7 +10,6 @@ length is not one task, and the number leads to pattern, sequence and offset.
 
 from __future__ import annotations
 
-import base64
 import json
 import os
 import zlib
@@ -188,9 +187,3 @@ def pack(cut_pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     return ranked.mapInArrow(partial(_place, table=table), schema)
-
-
-def decode_vocabulary(path: str) -> dict[int, bytes]:
-    """Bytes by id of a rank file, to look into packed sequences."""
-    with open(path, "rb") as lines:
-        return {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, lines)}

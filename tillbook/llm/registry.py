@@ -15,6 +15,7 @@ import tillbook
 from tillbook.llm import ann, bpe, chat, html, langid, lm, merkle, negatives, packing, repeats, substring, topk
 from tillbook.llm.common import load
 from tillbook.llm.near_dup import near_duplicates
+from tillbook.session import size_shuffles
 
 _SHIPPED: set[str] = set()
 
@@ -22,9 +23,12 @@ _SHIPPED: set[str] = set()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def ship(spark: SparkSession) -> SparkSession:
-    """Give the Python workers this package, once per application; they may not see the driver's folders."""
+def ship(spark: SparkSession, sf_dir: str | None = None) -> SparkSession:
+    """Give the Python workers this package, once per application; they may not see the driver's folders.
+    Shuffles start with as many partitions as the tables in ``sf_dir`` ask for."""
     spark.conf.set(_CLEANUP, "true")
+    if sf_dir:
+        size_shuffles(spark, sf_dir)
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         root = Path(tillbook.__file__).parent
@@ -38,11 +42,11 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(load(ship(spark), sf_dir, "documents"))
+    return near_duplicates(load(ship(spark, sf_dir), sf_dir, "documents"))
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = load(ship(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = load(ship(spark, sf_dir), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "\\### Assistant: </turn> ok"
     extra = spark.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(tricky).alias("text"))
@@ -52,49 +56,49 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.predictions(load(ship(spark), sf_dir, "documents"))
+    return langid.predictions(load(ship(spark, sf_dir), sf_dir, "documents"))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.digests(load(ship(spark), sf_dir, "documents"))
+    return substring.digests(load(ship(spark, sf_dir), sf_dir, "documents"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(packing.pieces(load(ship(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN))
+    return packing.pack(packing.pieces(load(ship(spark, sf_dir), sf_dir, "documents"), path, public_tokenizers.PATTERN))
 
 
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.nearest(load(ship(spark), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+    return ann.nearest(load(ship(spark, sf_dir), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.round_trip(load(ship(spark), sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.round_trip(load(ship(spark, sf_dir), sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scores(load(ship(spark), sf_dir, "documents"))
+    return lm.scores(load(ship(spark, sf_dir), sf_dir, "documents"))
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.extract(load(ship(spark), sf_dir, "pages"))
+    return html.extract(load(ship(spark, sf_dir), sf_dir, "pages"))
 
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_products(load(ship(spark), sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+    return topk.top_products(load(ship(spark, sf_dir), sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.digests(load(ship(spark), sf_dir, "documents"))
+    return repeats.digests(load(ship(spark, sf_dir), sf_dir, "documents"))
 
 
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merkle.digests(load(ship(spark), sf_dir, "documents"))
+    return merkle.digests(load(ship(spark, sf_dir), sf_dir, "documents"))
 
 
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return negatives.mined(load(ship(spark), sf_dir, "embeddings"))
+    return negatives.mined(load(ship(spark, sf_dir), sf_dir, "embeddings"))
 
 
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
