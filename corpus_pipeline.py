@@ -18,6 +18,7 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Where no document says its language none can be found, and texts with a letter stay too.
     """
+    ship(spark)
     learn_from = F.coalesce(langid.crc32(F.col("doc_id")) % 4 != 2, F.lit(False))
     found = langid.identify(docs, learn_from, carry=["text", "lang", "source", "n_chars"])
     return found.filter((F.col("lang_pred") != langid.UNKNOWN) | F.col("text").rlike(r"\p{L}")).select(COLUMNS)
@@ -29,6 +30,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Of rows that share both id and text the smallest stays. Rows that share an id but not the text are judged
     each by its own text: what is decided is joined by id and a hash of the text.
     """
+    ship(spark)
     tag = F.xxhash64("text")
     found = near_duplicates(docs, tag=tag).groupBy("doc_id", "tag").agg(F.count("*").alias("rows"), F.bool_or("kept").alias("kept"))
     decided = save(found.filter("doc_id IS NOT NULL AND (rows > 1 OR NOT kept)"), "decided")
@@ -46,6 +48,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document without such a passage keeps its text as it is.
     """
+    ship(spark)
     found = substring.strip_repeats(docs, carry=["text", "lang", "source", "n_chars"])
     left = found.filter((F.col("n_removed") == 0) | (F.col("kept") != ""))
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
@@ -55,6 +58,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens: where each piece of each document lies."""
+    ship(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(packing.pieces(docs, path, public_tokenizers.PATTERN))
 
@@ -72,7 +76,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to the table documents, each written and read again."""
-    ship(spark)
+    ship(spark, sf_dir)
     docs = load(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
