@@ -45,3 +45,32 @@ def test_ties_over_several_blocks(spark, monkeypatch):
     assert [(r.vec_id, r.score) for r in top] == [(k, 131072) for k in range(50, 55)]
     near = ann.nearest(frame, F.col("vec_id") == 70, 5).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in near] == [(k, 2.0) for k in range(50, 55)]
+
+
+def test_topk_reads_postings_and_stops_on_proof():
+    """A segment posts only vectors with an impact, and most queries end before the last segment."""
+    dice = np.random.default_rng(9)
+    values = np.floor(256 * clustered(dice, 1_000, 32))
+    index = topk.Index(values)
+    posted = np.zeros_like(values)
+    for segment in index.segments:
+        for d, rows, impacts in segment:
+            assert (impacts != 0).all()
+            posted[rows, d] += impacts
+    assert (posted == values).all()
+    assert sum(len(rows) for _, rows, _ in index.segments[0]) < 0.2 * values.size
+    read = []
+
+    class Counted(list):
+        def __iter__(self):
+            for segment in super().__iter__():
+                read.append(len(segment))
+                yield segment
+
+    index.segments = Counted(index.segments)
+    found = index.top(values[:50], 5, [np.array([k]) for k in range(50)])
+    for k, (rows, scores) in enumerate(found):
+        exact = values @ values[k]
+        exact[k] = -np.inf
+        assert (scores == exact[rows]).all() and set(np.argsort(-exact, kind="stable")[:5]) <= set(rows.tolist())
+    assert len(read) <= len(index.segments)

@@ -1,8 +1,8 @@
 """Exact top-k inner products by an impact-ordered index, read score at a time.
 
 Components become whole numbers. The index of a block of vectors is a list of segments, one per band of
-magnitudes from large to small; a segment posts every component in its band with an impact quantised to a
-quarter of the band. Queries read the segments in descending impact and add up scores for all vectors. After
+magnitudes from large to small; a segment posts every component in its band, by dimension, with an impact quantised
+to a quarter of the band. Queries read the segments in descending impact and add up scores for all vectors. After
 each segment the part of a vector that is unread or lost by quantising has a known norm, which bounds its score
 from both sides. A query stops only on proof: when the vectors whose upper bound reaches the k-th lower bound
 are few. Those possible members are scored exactly. The last segment posts what all others lost, so reading
@@ -23,50 +23,66 @@ SCALE = 256
 _FEW = 0.02  # share of a block that is scored exactly rather than read on
 _TOGETHER = 128  # queries that read the index together
 _WIDEST = 1 << 20  # larger components are multiplied as Python numbers
+_SHORT = 1 << 24  # whole numbers below are exact in short floats
 _LONG = (1 << 63) - 1
 
 
 class Index:
-    """Segments (impacts by vector and dimension) of one block, and the norm of what is lost after each."""
+    """Segments of one block, and the norm of what is lost after each.
+
+    A segment holds, for each dimension, the vectors that have an impact there and their impacts; vectors without one
+    are not in the posting.
+    """
 
     def __init__(self, values: np.ndarray):
         self.values = values.astype(np.float64)  # whole numbers, exact in all sums below
-        self.segments, self.lost = [], []
+        self.segments: list[list[tuple[int, np.ndarray, np.ndarray]]] = []
+        self.lost: list[np.ndarray] = []
         left = self.values.copy()
         band = 1 << max(0, int(np.abs(values).max(initial=1)).bit_length() - 1)
         while band >= 16:
             step = band // 4
-            segment = np.where(np.abs(left) >= band, np.trunc(left / step) * step, 0.0)
-            if segment.any():
-                left -= segment
-                self.segments.append(segment)
-                self.lost.append(np.sqrt((left**2).sum(axis=1)))
+            self._post(np.where(np.abs(left) >= band, np.trunc(left / step) * step, 0.0), left)
             band //= 2
-        self.segments.append(left)
-        self.lost.append(np.zeros(len(values)))
+        self._post(left.copy(), left)
+
+    def _post(self, impacts: np.ndarray, left: np.ndarray) -> None:
+        """Add a segment of the impacts that are not zero, and take them from what is left."""
+        left -= impacts
+        postings = []
+        for d in np.flatnonzero(impacts.any(axis=0)):
+            rows = np.flatnonzero(impacts[:, d])
+            postings.append((d, rows, impacts[rows, d]))
+        self.segments.append(postings)
+        self.lost.append(np.sqrt((left**2).sum(axis=1)))
 
     def top(self, queries: np.ndarray, k: int, skip: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Possible members and their exact scores for each query; rows of ``skip`` are not wanted."""
         n = len(self.values)
-        norms = np.sqrt((queries**2).sum(axis=1)) * (1 + 1e-12)
+        most = max(1, self.values.shape[1]) * np.abs(self.values).max(initial=0) * np.abs(queries).max(initial=0)
+        exact = np.float32 if most < _SHORT else np.float64
+        slack = 4 * np.spacing(exact(most))  # of the bounds, which are no whole numbers
+        norms = (np.sqrt((queries**2).sum(axis=1)) * (1 + 1e-5)).astype(exact)
+        asked = queries.T.astype(exact)
         few = max(8 * k, int(_FEW * n))
         out: list[tuple] = [()] * len(queries)
         open_ones = np.arange(len(queries))
-        total = np.zeros((len(queries), n))
+        total = np.zeros((n, len(queries)), exact)
         for q, rows_of in enumerate(skip):
-            total[q, rows_of] = -np.inf
-        for segment, lost in zip(self.segments, self.lost):
-            total += queries[open_ones] @ segment.T
-            short = norms[open_ones, None] * lost
+            total[rows_of, q] = -np.inf
+        for number, (segment, lost) in enumerate(zip(self.segments, self.lost)):
+            for d, rows, impacts in segment:
+                total[rows] += impacts.astype(exact)[:, None] * asked[d, open_ones]
+            short = lost.astype(exact)[:, None] * norms[open_ones]
             wanted = max(0, n - k - 1)  # a place lower, as the query's own vector may stand among the rows
-            floor = np.partition(total - short, wanted, axis=1)[:, wanted]
-            possible = total + short >= np.maximum(floor, -1e300)[:, None]
-            ready = (possible.sum(axis=1) <= few) | (segment is self.segments[-1])
-            for row in np.flatnonzero(ready):
-                q = open_ones[row]
-                at = np.flatnonzero(possible[row])
+            floor = np.partition(np.ascontiguousarray((total - short).T), wanted, axis=1)[:, wanted]
+            possible = total + short >= np.maximum(floor - slack, np.finfo(exact).min)
+            ready = (possible.sum(axis=0) <= few) | (number == len(self.segments) - 1)
+            for column in np.flatnonzero(ready):
+                q = open_ones[column]
+                at = np.flatnonzero(possible[:, column])
                 out[q] = at, (self.values[at] @ queries[q]).astype(np.int64)
-            open_ones, total = open_ones[~ready], total[~ready]
+            open_ones, total = open_ones[~ready], total[:, ~ready]
             if not len(open_ones):
                 break
         return out

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_ROWS = 16_384  # rows of a block
-_QUERIES = 2_048  # queries of a block
+_ROWS = 8_192  # rows of a block
+_QUERIES = 2_048  # queries that a block is searched for together
 
 
 def usable(embeddings: DataFrame, zero: bool, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -27,24 +29,37 @@ def usable(embeddings: DataFrame, zero: bool, id_col: str = "vec_id", vector_col
 
 
 def in_blocks(source: DataFrame, is_query: Column, search: Callable, schema: str) -> DataFrame:
-    """Run ``search`` on each pair of a block of rows and a block of queries.
+    """Run ``search`` on each block of rows with each batch of queries.
 
-    The number of blocks follows the number of rows, so a pair has a bounded size. Vectors of different
-    lengths are never compared. ``search`` gets a table of vec_id, vector and query.
+    Rows are dealt into blocks once, as many as their number asks for. Queries, the smaller side, are sent to every
+    block and stream past its rows, so a task holds a block and a batch, however many queries there are.
+    Vectors of different lengths are never compared. ``search`` gets a table of vec_id, vector and query.
     """
     marked = source.withColumn("query", is_query).withColumn("dims", F.size("vector"))
-    sizes = marked.agg(F.count("*").alias("rows"), F.count_if("query").alias("queries")).first()
-    blocks, query_blocks = -(-sizes["rows"] // _ROWS) or 1, -(-sizes["queries"] // _QUERIES) or 1
-    own = F.xxhash64("vec_id")
-    members = marked.withColumn("query", F.lit(False)).withColumn("block", F.pmod(own, F.lit(blocks)).cast("int"))
-    members = members.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    blocks = -(-marked.count() // _ROWS) or 1
+    members = marked.withColumns({"query": F.lit(False), "block": F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")})
     queries = marked.filter("query").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = queries.withColumn("query_block", F.pmod(own, F.lit(query_blocks)).cast("int"))
+    together = members.unionByName(queries).repartition(blocks, "block").sortWithinPartitions("block", "dims", "query")
+    return together.select("block", "dims", "query", "vec_id", "vector").mapInArrow(partial(_stream, search=search), schema)
 
-    def run(rows: pa.Table) -> pa.Table:
-        return search(rows)
 
-    return members.unionByName(queries).groupBy("dims", "block", "query_block").applyInArrow(run, schema)
+def _stream(batches: Iterator[pa.RecordBatch], search: Callable) -> Iterator[pa.RecordBatch]:
+    """Rows come by block and number of dimensions, members before queries: members are held, queries stream by."""
+    key, members = None, []
+    for batch in batches:
+        marks = np.stack([batch["block"].to_numpy(), batch["dims"].to_numpy(), batch["query"].to_numpy(zero_copy_only=False)])
+        edges = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+        for start, end in zip([0, *edges], [*edges, batch.num_rows]):
+            if key != tuple(marks[:2, start]):
+                key, members = tuple(marks[:2, start]), []
+            part = pa.Table.from_batches([batch.slice(start, end - start)]).select(["vec_id", "vector", "query"])
+            if not marks[2, start]:
+                members.append(part)
+                continue
+            for first in range(0, part.num_rows if members else 0, _QUERIES):
+                members = [pa.concat_tables(members)]
+                found = search(pa.concat_tables([*members, part.slice(first, _QUERIES)]))
+                yield from found.combine_chunks().to_batches()
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
