@@ -58,6 +58,9 @@ def search_block(ids: np.ndarray, members: np.ndarray, query_ids: np.ndarray, qu
             found[q], score[q] = np.append(found[q], rows[more]), np.append(score[q], products)
     out: list[tuple] = []
     for q, query_id in enumerate(query_ids):
+        if len(score[q]) > k:  # ties with the k-th stay
+            near = score[q] >= np.partition(score[q], -k)[-k]
+            found[q], score[q] = found[q][near], score[q][near]
         top = np.lexsort((ids[found[q]], -score[q]))[:k]
         out += [(int(query_id), int(ids[found[q][t]]), float(score[q][t])) for t in top]
     return out
