@@ -89,7 +89,7 @@ def test_lm_mixing_equals_a_scalar_version():
     told = random.integers(0, 9, len(pairs))
     entries = lm._entries(pairs, told)
     predicted = lm._spread(pairs, entries[lm._first_at(pairs)])
-    assert (predicted == lm._of_ones(pairs, entries)).all()
+    assert (predicted == lm._of_ones(pairs, entries.copy())).all()
     sizes = 1.0 + lm._prefix_sizes(h, random.integers(0, 50, len(h))).sum(axis=0)
     model = lm.Model(lm._of_sizes(sizes), sizes, 1, 1)
     got = lm.mixed(hashes, counts, model, places, predicted)

@@ -53,7 +53,7 @@ _PRIOR = 0.4
 _UNIT = 4  # steps of a prediction that is sent, for one of its logarithm; with 8 scores differ by less than 0.1 %
 _MOST = 31  # steps
 _NODES = 1 << BITS
-_RANGE_BYTES = 7 << 20  # of text for a range of pairs
+_RANGE_BYTES = 4 << 20  # of text for a range of pairs
 _HELD_BYTES = 32 << 20  # of questions to a range, more go to a temporary file
 _END = np.uint64(0x5EED0E2D0F7E871)  # stands for the end of a text
 _START = np.uint64(0x57A127)  # stands for what comes before a text
@@ -61,6 +61,7 @@ _FLUSH = 1 << 20
 _CHUNK_BYTES = 1 << 20  # of text scored at a time
 _GROUP_BYTES = 7 << 20
 _ROUNDS = 2  # blocks are scored in so many parts, each of which gives its shuffle free before the next
+_DOCUMENT_BYTES = 256  # that a document counts for besides, as each has counts of its own
 _SUMMARY = -1  # stands in the place of a block
 _LOG10 = np.log(10)
 
@@ -133,14 +134,25 @@ def _keys_of(data: bytes) -> np.ndarray:
     return np.cumsum(_unsqueezed(data, np.uint64).ravel(), dtype=np.uint64)
 
 
+def _placed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order and the place of each value among them."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    place = np.empty(len(values), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return values[new], place
+
+
 def _placed_keys(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
     """Tokens of all texts and how many each has; then, for pairs and for tokens, how many distinct ones there are and the
     place of each token among them in order."""
     hashes, counts = tokens(texts)
     made = []
     for keys in (_keys(hashes, counts, width), [hashes]):
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        made.append((distinct, np.split(place.astype(np.int32), len(keys))))
+        distinct, place = _placed(np.concatenate(keys))
+        made.append((distinct, np.split(place, len(keys))))
     return hashes, counts, made
 
 
@@ -212,10 +224,13 @@ def _entries(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _of_ones(keys: np.ndarray, entries: np.ndarray) -> np.ndarray:
-    """The same entries for the bit 1."""
-    prefix = ((keys & np.uint64(_NODES - 1)) << np.uint64(16 - BITS)).astype(">u2")
-    taken = np.unpackbits(prefix.view(np.uint8).reshape(-1, 2), axis=1)[:, :BITS].view(np.int8)
-    return np.where(taken, entries, 2 * (entries & 1) - entries)
+    """The same entries for the bit 1, in their place."""
+    prefix = (keys & np.uint64(_NODES - 1)).astype(np.uint16)
+    for depth in range(BITS):  # one at a time, as all together would take several times the memory
+        entry = entries[:, depth]
+        taken = (prefix >> np.uint16(BITS - 1 - depth)) & np.uint16(1)
+        entries[:, depth] = np.where(taken, entry, 2 * (entry & 1) - entry)
+    return entries
 
 
 def _first_at(keys: np.ndarray) -> np.ndarray:
@@ -229,11 +244,11 @@ def _first_at(keys: np.ndarray) -> np.ndarray:
 
 def _spread(keys: np.ndarray, told: np.ndarray) -> np.ndarray:
     """Entries for the bit 1 along all keys from those of the first key at each node, row by row."""
-    first, entries, at = _first_at(keys), np.zeros((len(keys), BITS), np.int8), np.arange(len(keys))
+    first, entries, at = _first_at(keys), np.zeros((len(keys), BITS), np.int8), np.arange(len(keys), dtype=np.int32)
     entries[first] = told
     entries = _of_ones(keys, entries)
     for depth in range(BITS):
-        entries[:, depth] = entries[np.maximum.accumulate(np.where(first[:, depth], at, 0)), depth]
+        entries[:, depth] = entries[np.maximum.accumulate(np.where(first[:, depth], at, np.int32(0))), depth]
     return entries
 
 
@@ -418,7 +433,7 @@ def _score_block(documents: pa.Table, told: pa.Table, model: Model, ranges: int,
             parts[number >= ranges].append(_unsqueezed(found.as_py(), np.int8 if number < ranges else np.int64).ravel())
         predicted, c = _spread(pairs, np.concatenate(parts[0])), np.concatenate(parts[1])
         upto = doc = 0
-        for part in grouped(zip(ids, texts), lambda r: len(r[1]) + 64, _CHUNK_BYTES):
+        for part in grouped(zip(ids, texts), lambda r: len(r[1]) + _DOCUMENT_BYTES, _CHUNK_BYTES):
             counts = all_counts[doc : doc + len(part)]
             some = slice(upto, upto + int(counts.sum()))
             upto, doc = some.stop, doc + len(part)
