@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tillbook.operators.iceberg import IcebergTable
-from tillbook.operators import layout as layouts
+from tillbook.operators import layout as layouts, versions
 from tillbook.operators.versions import VersionedTable
 from tillbook.plans import reports, verification
 from tillbook.schema import CLEAN, STORED
@@ -309,6 +309,67 @@ def test_changes_cost_one_join_however_many(spark, stored):
     assert "Join" not in _plan(stored.current()) and ids(stored.as_of(4)) == ["t1", "t2"]
 
 
+def _many(spark, n):
+    one = rows(spark, sale(1)).drop("transaction_id", "item_count")
+    numbered = one.crossJoin(spark.range(n)).repartition(3)
+    return numbered.select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("transaction_id"), *one.columns, F.col("id").cast("int").alias("item_count"))
+
+
+@pytest.mark.parametrize("marked", [versions._MARKED_BYTES, 0])
+def test_removed_rows_are_told_apart_one_by_one(spark, folder, monkeypatch, marked):
+    """Whatever their place in a word or an entry of bits, over several writes, and where no bits are sent."""
+    monkeypatch.setattr(versions, "_MARKED_BYTES", marked)
+    stored = VersionedTable(pin(spark), f"{folder}/t", layout=("store",))
+    stored.append(_many(spark, 5_000))
+    stored.delete_where("item_count % 7 = 0")
+    stored.update_where("item_count % 3 = 0", {"total": "total + 1"})
+    stored.append(_many(spark, 100))
+    stored.update_where("item_count % 2 = 0", {"total": "total + 1", "store_id": "'S2'"})
+    stored.delete_where("total = 3 AND item_count < 1000")
+    want = []
+    for n, changed in [*((n, True) for n in range(5_000) if n % 7), *((n, False) for n in range(100))]:
+        total = 1.0 + (changed and n % 3 == 0) + (n % 2 == 0)
+        if not (total == 3 and n < 1000):
+            want.append((n, total, "STORE-001" if n % 2 else "S2"))
+    found = stored.current().select("item_count", "total", "store_id").collect()
+    assert sorted(map(tuple, found)) == sorted(want)
+    assert stored.as_of(1).count() == 5_000 and stored.total_records() == len(want)
+    assert ("bit_or" in _plan(stored.current())) == bool(marked)
+
+
+def test_rows_are_not_shuffled_to_leave_out_the_removed(spark, stored):
+    """However many were removed: an identity is a bit, and no column of a removed row is stored."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if they were many
+    try:
+        stored.append(_many(spark, 2_000))
+        for _ in range(2):
+            stored.update_where("item_count % 2 = 0", {"total": "total + 1"})
+        plan = _plan(stored.current())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert all("transaction_id" not in line for line in plan.splitlines() if "Exchange" in line)
+    assert stored.current().agg(F.sum("total")).first()[0] == 4_000
+    removed = spark.read.schema(CLEAN).option("recursiveFileLookup", "true").parquet(f"{stored.root}/layout=day-store/change=removed")
+    assert removed.count() == 2_000 and removed.filter("transaction_id IS NOT NULL OR total IS NOT NULL").count() == 0
+
+
+def test_removed_rows_of_a_hot_directory_are_split(spark, stored):
+    """All are of one day, store and moment; what is left of them is still dealt to several tasks."""
+    partitions, merging = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(partitions)
+    stored.append(_many(spark, 20_000))
+    spark.conf.set(partitions, "8")
+    spark.conf.set(merging, "false")
+    try:
+        stored.delete_where("item_count % 2 = 0")
+    finally:
+        spark.conf.set(partitions, before)
+        spark.conf.unset(merging)
+    written = [name for _, _, names in os.walk(f"{stored.root}/layout=day-store/change=removed") for name in names if name.endswith(".parquet")]
+    assert len(written) > 2 and stored.current().count() == 10_000
+
+
 def test_rewriting_merges_files_and_keeps_snapshots(spark, stored):
     for n in range(1, 6):
         stored.append(rows(spark, sale(n, status="refunded" if n in (2, 4) else "completed")))
