@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,18 @@ def save(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of 8 MB at most for what runs inside: each task holds one or two on either side of the pipe."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8m")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _PIECE = 1 << 19  # bytes hashed at a time
 _BASE = 0x9DDFEA08EB382D69
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])

@@ -21,9 +21,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import components, grouped, mix, rows, runs, save, word_hashes
+from tillbook.llm.common import components, grouped, mix, rows, runs, save, small_batches, word_hashes
 
 WIDTH = 5  # words in a shingle
 PERCENT = 75  # similarity from which documents are linked
@@ -89,12 +89,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in grouped(rows(batches), _weight, _BLOCK_WORDS):
         sets = _sets(part)
-        ids, sets = [r[0] for r, s in zip(part, sets) if len(s)], [s for s in sets if len(s)]
+        part, sets = [r for r, s in zip(part, sets) if len(s)], [s for s in sets if len(s)]
         if sets:
             bits = ((_signatures(sets, COORDINATES) >> np.uint32(11)) & np.uint32(3)).astype(np.uint8).reshape(len(sets), -1, 4)
             brief = bits[:, :, 0] | bits[:, :, 1] << 2 | bits[:, :, 2] << 4 | bits[:, :, 3] << 6
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
+                "doc_id": pa.array([r[0] for r in part], pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
+                "tokens": pa.array([r[2] for r in part], pa.list_(pa.int64())),
                 "brief": pa.array([b.tobytes() for b in brief], pa.binary()), "whole": pa.array([s.tobytes() for s in sets], pa.binary()),
             })
 
@@ -113,10 +114,11 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose whole sets are similar enough. A document in many pairs is split by the adaptive join."""
-    one = sets.select(F.col("doc_id").alias("u"), F.col("whole").alias("one"))
-    other = sets.select(F.col("doc_id").alias("v"), F.col("whole").alias("other"))
-    return pairs.select("u", "v").join(one, "u").join(other, "v").select("u", "v", "one", "other").mapInArrow(_confirm, "u long, v long")
+    """The components (u, v) of the documents (one, other) whose whole sets are similar enough. A document in many
+    pairs is split by the adaptive join."""
+    one = sets.select(F.col("doc_id").alias("one"), F.col("whole").alias("whole"))
+    other = sets.select(F.col("doc_id").alias("other"), F.col("whole").alias("beside"))
+    return pairs.join(one, "one").join(other, "other").select("u", "v", "whole", "beside").mapInArrow(_confirm, "u long, v long")
 
 
 def _matches(many: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -131,7 +133,7 @@ def _across(rows: pa.Table, every: bool) -> pa.Table:
     """
     sides = [rows.filter(pc.field("probe")), rows.filter(~pc.field("probe"))]
     if not all(t.num_rows for t in sides):
-        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        return _pairs(*np.empty((4, 0), np.int64))
     probe, member = ({c: t[c].to_numpy() for c in ("doc_id", "n", "component")} for t in sides)
     views = [np.frombuffer(b"".join(t["brief"].to_pylist()), np.uint8).reshape(-1, COORDINATES // 4) for t in sides]
     leading = np.ascontiguousarray(views[1][:, : GLANCE // 4])
@@ -156,20 +158,26 @@ def _across(rows: pa.Table, every: bool) -> pa.Table:
             able, agreed = able[order[lead]], agreed[order[lead]]
         found.append((np.full(len(able), k), able, agreed))
     if not found:
-        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        return _pairs(*np.empty((4, 0), np.int64))
     left, right, agreed = (np.concatenate(c) for c in zip(*found))
-    u, v = probe["doc_id"][left], member["doc_id"][right]
+    one, other = probe["doc_id"][left], member["doc_id"][right]
+    u, v = probe["component"][left], member["component"][right]
     if not every:
-        parts = np.sort([probe["component"][left], member["component"][right]], axis=0)
+        parts = np.sort([u, v], axis=0)
         order = np.lexsort((-agreed, parts[1], parts[0]))
-        lead = np.concatenate([[True], (np.diff(parts[:, order]) != 0).any(axis=0)])[: len(order)]
-        u, v = u[order[lead]], v[order[lead]]
-    return pa.table({"u": pa.array(np.minimum(u, v), pa.int64()), "v": pa.array(np.maximum(u, v), pa.int64())})
+        lead = order[np.concatenate([[True], (np.diff(parts[:, order]) != 0).any(axis=0)])[: len(order)]]
+        one, other, u, v = one[lead], other[lead], u[lead], v[lead]
+    turned = one > other
+    return _pairs(*(np.where(turned, b, a) for a, b in ((one, other), (other, one), (u, v), (v, u))))
+
+
+def _pairs(one: np.ndarray, other: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.Table:
+    return pa.table({name: pa.array(x, pa.int64()) for name, x in (("one", one), ("other", other), ("u", u), ("v", v))})
 
 
 def _dealt(prefix: DataFrame, labelled: DataFrame) -> DataFrame:
     """Postings that hold several components, where all but the largest part probe all members: (token, band, block,
-    turn, doc_id, probe), so that each block of members meets each turn of probes and neither grows with the posting.
+    turn, doc_id, component, probe), so that each block of members meets each turn of probes and neither grows with the posting.
 
     Postings longer than a block are first dealt into bands of sizes a third apart; a probe asks its own band and
     the two beside it, as no link reaches further.
@@ -184,41 +192,65 @@ def _dealt(prefix: DataFrame, labelled: DataFrame) -> DataFrame:
         .filter("parts > 1")
         .select("token", F.col("main.component").alias("main"))
     )
-    rows_in = save(members.join(split, "token"), "open")
-    asked = F.when(F.col("band").isNull(), F.array(F.lit(0))).otherwise(F.array(*(F.col("band") + k for k in (-1, 0, 1))))
-    held = rows_in.select("token", F.coalesce("band", F.lit(0)).alias("band"), "doc_id")
-    probes = rows_in.filter("component <> main").select("token", F.explode(asked).alias("band"), "doc_id")
-
-    def dealt(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("token", "band").agg(F.ceil(F.count("*") / _BLOCK_MEMBERS).cast("int").alias(name))
-
-    cells = dealt(held, "blocks").join(dealt(probes, "turns"), ["token", "band"])
-
-    def own(count: str):
-        return F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int")
-
-    def every(count: str):
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    held = held.join(cells, ["token", "band"]).withColumn("block", own("blocks")).withColumn("turn", every("turns"))
-    probes = probes.join(cells, ["token", "band"]).withColumn("turn", own("turns")).withColumn("block", every("blocks"))
-    shape = ["token", "band", "block", "turn", "doc_id", "probe"]
-    return held.withColumn("probe", F.lit(False)).select(shape).union(probes.withColumn("probe", F.lit(True)).select(shape))
+    opened = save(members.join(split, "token"), "open")
+
+    def at(probe: bool, band: Column) -> Column:
+        return F.struct(F.lit(probe).alias("probe"), band.alias("band"))
+
+    lone = F.coalesce("band", F.lit(0))
+    asked = F.when(F.col("band").isNull(), F.array(at(True, F.lit(0)))).otherwise(F.array(*(at(True, lone + k) for k in (-1, 0, 1))))
+    places = F.when(F.col("component") == F.col("main"), F.array(at(False, lone))).otherwise(F.concat(F.array(at(False, lone)), asked))
+    both = opened.select("token", "doc_id", "component", F.explode(places).alias("at")).select("token", "doc_id", "component", "at.*")
+    cells = both.groupBy("token", "band").agg(
+        F.ceil(F.count_if(~F.col("probe")) / _BLOCK_MEMBERS).cast("int").alias("blocks"),
+        F.ceil(F.count_if("probe") / _BLOCK_MEMBERS).cast("int").alias("turns"),
+    ).filter("blocks > 0 AND turns > 0")
+
+    def own(count: str) -> Column:
+        return F.array(F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int"))
+
+    def every(count: str) -> Column:
+        return F.sequence(F.lit(0), F.col(count) - 1)
+
+    return (
+        both.join(cells, ["token", "band"])
+        .withColumn("block", F.explode(F.when(F.col("probe"), every("blocks")).otherwise(own("blocks"))))
+        .withColumn("turn", F.explode(F.when(F.col("probe"), own("turns")).otherwise(every("turns"))))
+        .select("token", "band", "block", "turn", "doc_id", "component", "probe")
+    )
 
 
-def _open_pairs(prefix: DataFrame, labelled: DataFrame, every: bool) -> DataFrame:
-    """Pairs (u, v) across the components of a posting."""
-    both = _dealt(prefix, labelled).join(labelled, "doc_id")
+def _open_pairs(prefix: DataFrame, labelled: DataFrame, briefs: DataFrame, every: bool) -> DataFrame:
+    """Pairs (one, other) across the components (u, v) of a posting."""
+    both = _dealt(prefix, labelled).join(briefs, "doc_id")
 
     def across(rows: pa.Table) -> pa.Table:
         return _across(rows, every)
 
-    return both.groupBy("token", "band", "block", "turn").applyInArrow(across, "u long, v long").distinct()
+    return both.groupBy("token", "band", "block", "turn").applyInArrow(across, "one long, other long, u long, v long").distinct()
+
 
+def _roots(links: DataFrame) -> DataFrame:
+    """(node, component) of links (u, v) in which u < v and no v has two: pointers jump until they end at a root,
+    in rounds that grow with the logarithm of the longest path."""
+    found = links.select(F.col("v").alias("node"), F.col("u").alias("component"))
+    while True:
+        above = found.select(F.col("node").alias("component"), F.col("component").alias("above"))
+        found = found.join(above, "component", "left").select(
+            "node", F.coalesce("above", "component").alias("component"), F.col("above").isNotNull().alias("moved")
+        )
+        found = save(found, "roots")
+        if not found.agg(F.max("moved")).first()[0]:
+            return found.select("node", "component")
 
-def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links)
-    return classes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+def _merged(labelled: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after links (u, v) between components."""
+    if links.isEmpty():
+        return labelled
+    found = components(links).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    joined = labelled.join(found, "component", "left").select("doc_id", "n", F.coalesce("to", "component").alias("component"))
+    return save(joined, "labelled")
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None) -> DataFrame:
@@ -231,51 +263,53 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """
     own_tag = (F.lit(None) if tag is None else tag).cast("long").alias("tag")
     source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), own_tag)
+    with small_batches(documents.sparkSession):
+        described, label = _described_and_labelled(source)
+    linked = described.select("doc_id", "tag", "n", F.when(F.col("doc_id").isNotNull(), F.col("mark")).alias("mark")).join(label, "mark", "left")
+    result = linked.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "tag"
+    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return result.drop("tag") if tag is None else result
+
+
+def _described_and_labelled(source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The size and mark of the set of each row, and the component of each mark; all Python work is done and written."""
     described = save(source.mapInArrow(_describe, "doc_id long, tag long, n long, mark binary, posted array<int>"), "described")
 
     # One document of each distinct set stands for its copies.
     named = described.filter("n > 0 AND doc_id IS NOT NULL")
-    first = named.groupBy("mark").agg(F.min("doc_id").alias("doc_id"))
-    classes = named.join(first, ["mark", "doc_id"]).dropDuplicates(["mark"])
+    classes = named.groupBy("mark").agg(F.min(F.struct("doc_id", "posted")).alias("least")).select("mark", "least.*")
+    classes = save(classes, "classes")
 
     posted = classes.select("doc_id", F.posexplode("posted").alias("k", "value")).select(
         "doc_id", (F.col("k") * F.lit(2**33) + F.col("value")).alias("token")
     )
     shared = posted.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
-    by_document = Window.partitionBy("doc_id")
-    prefix = (
-        posted.join(shared, "token")
-        .withColumn("rank", F.row_number().over(by_document.orderBy("held", "token")))
-        .withColumn("shared", F.count("*").over(by_document))
-        .filter(F.col("rank") <= F.col("shared") - MATCHES + 1)
-        .select("doc_id", "token", "held")
-    )
-    prefix = save(prefix, "prefix")
-    able = save(prefix.groupBy("doc_id").agg(F.collect_list("token").alias("tokens")), "able")  # at most a prefix of each
-    texts = source.drop("tag").join(able.select("doc_id"), "doc_id", "left_semi")
-    sets = save(texts.mapInArrow(_full_sets, "doc_id long, n long, brief binary, whole binary").distinct(), "sets")
-    briefs = sets.select("doc_id", "n", "brief").join(able, "doc_id")
+    # Of each document its postings with the rarest first; all but the last MATCHES - 1 are its prefix.
+    ranked = posted.join(shared, "token").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("held", "token"))).alias("ranked"))
+    able = ranked.filter(F.size("ranked") >= MATCHES).select("doc_id", F.slice("ranked", 1, F.size("ranked") - (MATCHES - 1)).alias("ranked"))
+    able = save(able, "able")
+    prefix = able.select("doc_id", F.explode("ranked").alias("posting")).select("doc_id", "posting.token", "posting.held")
+    tokens = able.select("doc_id", F.col("ranked.token").alias("tokens"))
+    texts = source.drop("tag").join(tokens, "doc_id").distinct()  # where the join has put them
+    sets = save(texts.mapInArrow(_full_sets, "doc_id long, n long, tokens array<long>, brief binary, whole binary"), "sets")
+    briefs = sets.select("doc_id", "n", "brief", "tokens")
 
     # Each document against the leader of its postings that it collides with most often.
-    leaders = prefix.groupBy("token").agg(F.min("doc_id").alias("u"))
+    leaders = prefix.groupBy("token").agg(F.min("doc_id").alias("one"))
     collisions = (
-        prefix.join(leaders, "token").filter("u <> doc_id")
-        .groupBy("u", F.col("doc_id").alias("v")).agg(F.count("*").alias("n"))
+        prefix.join(leaders, "token").filter("one <> doc_id")
+        .groupBy("one", F.col("doc_id").alias("other")).agg(F.count("*").alias("n"))
     )
-    best = collisions.groupBy("v").agg(F.max(F.struct("n", -F.col("u"))).alias("top")).select((-F.col("top.col2")).alias("u"), "v")
-    links = save(_confirmed(best, sets), "links")
+    best = collisions.groupBy("other").agg(F.max(F.struct("n", -F.col("one"))).alias("top")).select((-F.col("top.col2")).alias("one"), "other")
+    links = save(_confirmed(best.withColumns({"u": F.col("one"), "v": F.col("other")}), sets).distinct(), "links")
+    labelled = sets.select("doc_id", "n").join(_roots(links).withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    labelled = save(labelled.withColumn("component", F.coalesce("component", "doc_id")), "labelled")
 
     # What postings still hold apart: the likeliest pair of two components, then every pair that is left.
     for every in (False, True):
-        labelled = save(_labelled(briefs, links), "labelled")
-        pairs = save(_open_pairs(prefix, labelled, every), "pairs")
-        links = save(links.union(_confirmed(pairs, sets)), "links")
-    label = _labelled(classes.join(able, "doc_id", "left_semi").select("doc_id", "mark"), links)
-
-    of_mark = first.select("mark", F.col("doc_id").alias("first")).join(label.select("mark", "component"), "mark", "left")
-    of_mark = of_mark.select(F.col("mark"), F.coalesce("component", "first").alias("component"))
-    linked = described.select("doc_id", "tag", "n", F.when(F.col("doc_id").isNotNull(), F.col("mark")).alias("mark")).join(of_mark, "mark", "left")
-    result = linked.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "tag"
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return result.drop("tag") if tag is None else result
+        links = save(_confirmed(_open_pairs(prefix, labelled, briefs, every), sets), "links")
+        labelled = _merged(labelled, links)
+    found = labelled.select("doc_id", "component").distinct()
+    label = classes.select("doc_id", "mark").join(found, "doc_id", "left").select("mark", F.coalesce("component", "doc_id").alias("component"))
+    return described, save(label, "label")
