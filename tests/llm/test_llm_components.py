@@ -1,8 +1,53 @@
-"""What the near-duplicates write and hand to Python."""
+"""Connected components: as few rounds as the links ask for, each round a few scratch tables."""
+
+import numpy as np
 
 from tillbook.llm import common, near_dup
 
 
+def saved(monkeypatch, module):
+    labels = []
+
+    def save(frame, label):
+        labels.append(label)
+        return common_save(frame, label)
+
+    common_save = common.save
+    monkeypatch.setattr(module, "save", save)
+    return labels
+
+
+def of(frame):
+    return {r.node: r.component for r in frame.collect()}
+
+
+def test_stars_are_not_joined_again(spark, monkeypatch):
+    labels = saved(monkeypatch, common)
+    links = spark.createDataFrame([(1, 5), (1, 9), (9, 1), (2, 7), (3, 3)], "u long, v long")
+    assert of(common.components(links)) == {1: 1, 5: 1, 9: 1, 2: 2, 7: 2}
+    assert labels == ["edges"]
+
+
+def test_paths_and_random_links(spark):
+    dice = np.random.default_rng(5)
+    pairs = [(k, k + 1) for k in range(1000, 1040)] + [tuple(map(int, p)) for p in dice.integers(0, 300, (200, 2))]
+    least = {n: n for pair in pairs for n in pair if pair[0] != pair[1]}
+    for _ in least:
+        for u, v in pairs:
+            if u != v:
+                least[u] = least[v] = min(least[u], least[v])
+    assert of(common.components(spark.createDataFrame(pairs, "u long, v long"))) == least
+    assert of(common.components(spark.createDataFrame([], "u long, v long"))) == {}
+
+
+def test_pointers_jump_to_the_roots(spark, monkeypatch):
+    labels = saved(monkeypatch, near_dup)
+    chain = spark.createDataFrame([(k, k + 1) for k in range(64)] + [(2, 100)], "u long, v long")
+    assert of(near_dup._roots(chain)) == {k: 0 for k in [*range(1, 65), 100]}
+    assert len(labels) <= 7
+    assert of(near_dup._roots(chain.limit(0))) == {}
+
+
 def test_batches_are_small_only_inside(spark):
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(key)
@@ -22,3 +67,13 @@ def test_near_dup_hands_small_batches_to_python(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "save", save)
     near_dup.near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")).collect()
     assert set(sizes) == {"8m"}
+
+
+def test_near_dup_writes_few_scratch_tables(spark, monkeypatch):
+    """Every scratch table is a job with a file a task; 22 were written for these texts before."""
+    tables = saved(monkeypatch, near_dup), saved(monkeypatch, common)
+    words = [f"w{k}" for k in range(80)]
+    texts = [(k, " ".join([*words, f"x{k}"])) for k in range(40)] + [(100 + k, f"lone text {k} of some seven words") for k in range(20)]
+    found = near_dup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: 0 if k < 40 else k for k, _ in texts}
+    assert sum(map(len, tables)) <= 14
