@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillbook.llm import langid, packing, substring
-from tillbook.llm.common import load, save
+from tillbook.llm.common import load, merged, save
 from tillbook.llm.near_dup import near_duplicates
 from tillbook.llm.registry import ship
 
@@ -35,7 +35,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = near_duplicates(docs, tag=tag).groupBy("doc_id", "tag").agg(F.count("*").alias("rows"), F.bool_or("kept").alias("kept"))
     decided = save(found.filter("doc_id IS NOT NULL AND (rows > 1 OR NOT kept)"), "decided")
     tagged = docs.withColumn("tag", tag)
-    left = tagged.join(decided, ["doc_id", "tag"], "left_anti").select(COLUMNS)
+    left = merged(tagged.join(decided, ["doc_id", "tag"], "left_anti").select(COLUMNS))
     twice = decided.filter("kept").select("doc_id", "tag")
     if twice.isEmpty():
         return left
@@ -53,7 +53,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     left = found.filter((F.col("n_removed") == 0) | (F.col("kept") != ""))
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
     n_chars = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.char_length("kept").cast("long"))
-    return left.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    return merged(left.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,32 @@ def test_near_dup_writes_few_scratch_tables(spark, monkeypatch):
     found = near_dup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in found} == {k: 0 if k < 40 else k for k, _ in texts}
     assert sum(map(len, tables)) <= 14
+
+
+def test_two_partitions_share_a_file(spark):
+    """However many partitions a shuffle starts with, two go into a file; a core is never left without one."""
+    key, cores = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", spark.sparkContext.defaultParallelism
+    before = spark.conf.get(key, None)
+    try:
+        for started in (2 * cores + 8, 2 * cores + 80):
+            spark.conf.set(key, started)
+            found = common.save(common.merged(spark.range(0, 10_000, 1, started).select("id")), "merged")
+            assert len(found.inputFiles()) == started // 2
+            assert found.count() == 10_000 and found.distinct().count() == 10_000
+        spark.conf.set(key, 1)
+        assert common.merged(spark.range(0, 100, 1, 3 * cores)).rdd.getNumPartitions() == cores
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_scratch_tables_of_near_dup_are_merged(spark, monkeypatch):
+    """Those with a file for each task of a scan or shuffle of whole documents; joins split for hot keys are left alone."""
+    seen, plain = [], near_dup.merged
+
+    def merged(frame):
+        seen.append(frame)
+        return plain(frame)
+
+    monkeypatch.setattr(near_dup, "merged", merged)
+    near_dup.near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")).collect()
+    assert len(seen) == 5

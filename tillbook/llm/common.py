@@ -19,13 +19,27 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_ROW_GROUP = 8 << 20  # a task that writes holds a row group, one that reads a column of it
+_TO_A_FILE = 2
+
+
 def save(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back: cuts the lineage, survives a lost executor."""
     path = workspace(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("parquet.block.size", str(_ROW_GROUP)).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def merged(frame: DataFrame) -> DataFrame:
+    """The frame in fewer partitions, two of a shuffle to one but one for each core at least; a task goes through
+    them one after the other. Sorts stay as small as they are while fewer files are written: without Hadoop's native
+    library a process is started for each file, its checksums and its folder. Not for joins that are split because
+    of a hot key, as that would put its parts together again."""
+    spark = frame.sparkSession
+    started = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or spark.conf.get("spark.sql.shuffle.partitions")
+    return frame.coalesce(max(spark.sparkContext.defaultParallelism, -(-int(started) // _TO_A_FILE)))
+
+
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
     """Arrow batches of 8 MB at most for what runs inside: each task holds one or two on either side of the pipe."""

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import components, grouped, mix, rows, runs, save, small_batches, word_hashes
+from tillbook.llm.common import components, grouped, merged, mix, rows, runs, save, small_batches, word_hashes
 
 WIDTH = 5  # words in a shingle
 PERCENT = 75  # similarity from which documents are linked
@@ -274,12 +274,12 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
 def _described_and_labelled(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The size and mark of the set of each row, and the component of each mark; all Python work is done and written."""
-    described = save(source.mapInArrow(_describe, "doc_id long, tag long, n long, mark binary, posted array<int>"), "described")
+    described = save(merged(source.mapInArrow(_describe, "doc_id long, tag long, n long, mark binary, posted array<int>")), "described")
 
     # One document of each distinct set stands for its copies.
     named = described.filter("n > 0 AND doc_id IS NOT NULL")
     classes = named.groupBy("mark").agg(F.min(F.struct("doc_id", "posted")).alias("least")).select("mark", "least.*")
-    classes = save(classes, "classes")
+    classes = save(merged(classes), "classes")
 
     posted = classes.select("doc_id", F.posexplode("posted").alias("k", "value")).select(
         "doc_id", (F.col("k") * F.lit(2**33) + F.col("value")).alias("token")
@@ -288,11 +288,11 @@ def _described_and_labelled(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Of each document its postings with the rarest first; all but the last MATCHES - 1 are its prefix.
     ranked = posted.join(shared, "token").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("held", "token"))).alias("ranked"))
     able = ranked.filter(F.size("ranked") >= MATCHES).select("doc_id", F.slice("ranked", 1, F.size("ranked") - (MATCHES - 1)).alias("ranked"))
-    able = save(able, "able")
+    able = save(merged(able), "able")
     prefix = able.select("doc_id", F.explode("ranked").alias("posting")).select("doc_id", "posting.token", "posting.held")
     tokens = able.select("doc_id", F.col("ranked.token").alias("tokens"))
     texts = source.drop("tag").join(tokens, "doc_id").distinct()  # where the join has put them
-    sets = save(texts.mapInArrow(_full_sets, "doc_id long, n long, tokens array<long>, brief binary, whole binary"), "sets")
+    sets = save(merged(texts.mapInArrow(_full_sets, "doc_id long, n long, tokens array<long>, brief binary, whole binary")), "sets")
     briefs = sets.select("doc_id", "n", "brief", "tokens")
 
     # Each document against the leader of its postings that it collides with most often.
@@ -312,4 +312,4 @@ def _described_and_labelled(source: DataFrame) -> tuple[DataFrame, DataFrame]:
         labelled = _merged(labelled, links)
     found = labelled.select("doc_id", "component").distinct()
     label = classes.select("doc_id", "mark").join(found, "doc_id", "left").select("mark", F.coalesce("component", "doc_id").alias("component"))
-    return described, save(label, "label")
+    return described, save(merged(label), "label")

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import carried, carry_schema, grouped, mix, rows, runs, save, uncarried, word_hashes
+from tillbook.llm.common import carried, carry_schema, grouped, merged, mix, rows, runs, save, uncarried, word_hashes
 
 WINDOW = 20
 SEED = 5
@@ -232,7 +232,7 @@ def _spans(source: DataFrame) -> DataFrame:
     order = ["s", "e", "doc_id", "start"]
     indexed = source.select("order_id", "version", "text").mapInArrow(_index, _KEYED)
     spread = F.xxhash64("doc_id", "start")  # copies need no others; a passage of many documents is no hot key
-    found = save(indexed.repartition(F.when(F.col("kind") == _COPY, spread).otherwise(F.col("s"))).sortWithinPartitions(*order).mapInArrow(_resolve_blocks, _KEYED).drop("e"), "blocks")
+    found = save(merged(indexed.repartition(F.when(F.col("kind") == _COPY, spread).otherwise(F.col("s"))).sortWithinPartitions(*order).mapInArrow(_resolve_blocks, _KEYED).drop("e")), "blocks")
     asked = found.filter(F.col("kind") == _LOOK_UP).groupBy(F.col("doc_id").alias("order_id"), "version")
     asked = asked.agg(F.collect_list(F.struct("s", "start", "n")).alias("asked"))  # at most a row per block of a document
     single = source.join(asked, ["order_id", "version"]).select("order_id", "version", "text", "asked").mapInArrow(_windows, _KEYED)
