@@ -178,3 +178,27 @@ def test_maximal_repeats_lists_all_occurrences(spark):
     texts = dict(rows)
     for g in groups.values():
         assert len({texts[r.doc_id].encode()[r.start : r.start + r.length] for r in g}) == 1
+
+
+def test_blocks_are_shuffled_narrow_and_read_back_whole():
+    """Five numbers a block are sorted, where it was seven; what they hold comes back bit by bit."""
+    top, n = 0x7FFFFFFF, np.array([1, 49, repeats._SPAN, 7])
+    s, e = np.array([0, 1, 2**64 - 1, 2**63], np.uint64), np.array([5, 2**64 - 1, 0, 9], np.uint64)
+    plain = repeats._batch([0, 1, 1, 0], s, e, np.array([-3, 0, 7, repeats._LAST_ID]), np.array([top, 0, 1, top]), np.array([0, 2**31, 5, 6]), n)
+    narrow = repeats._narrow(plain)
+    assert narrow.schema.names == [column.split()[0] for column in repeats._DEALT.split(", ")]
+    assert [c.tolist() for c in repeats._wide(narrow)] == [c.to_pylist() for c in plain.columns]
+    indexed = list(repeats._index(iter([pa.record_batch({"o": [1], "v": pa.array([2], pa.int32()), "t": [bytes(range(60, 160))]})])))
+    assert indexed and all(b.num_columns == 5 for b in indexed)
+
+
+def test_arrays_of_a_chunk_stay_small():
+    """A chunk is held as some ten arrays of a 64-bit number a byte: 235 and 269 MB in two workers with four times the bytes."""
+    assert repeats._CHUNK <= 1 << 19 and repeats._PIECES <= 1 << 20
+
+
+def test_tasks_get_small_batches(spark):
+    """Whole texts are read and handed to Python in small batches, also where a result is made after its query has returned."""
+    registry.ship(spark)
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "1024"
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8m"

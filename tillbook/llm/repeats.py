@@ -24,21 +24,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillbook.llm.common import carried, carry_schema, grouped, mix, rows, save, uncarried
+from tillbook.llm.common import carried, carry_schema, grouped, merged, mix, rows, save, uncarried
 
 WINDOW = 50
 SEED = 16
 MANY = 4_096  # classes of a seed from which its blocks are dealt by window
 _SPAN = WINDOW - SEED + 1  # seeds in a window
 _WIDEST = WINDOW + _SPAN - 1  # bytes of the longest block
-_CHUNK = 1 << 21
-_PIECES = 1 << 22  # bytes of blocks whose suffixes are sorted together
+_CHUNK = 1 << 19
+_PIECES = 1 << 20  # bytes of blocks whose suffixes are sorted together
 _LAST_ID = (1 << 63) - 1  # rows without an id count as later than all others
 _BASE = 0x9E3779B97F4A7C55
 _COPY, _ASK = 0, 1
 _FIELDS = ["kind", "s", "e", "doc_id", "version", "start", "n"]
 _TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
 _KEYED = "kind int, s long, e long, doc_id long, version int, start long, n int"
+_DEALT = "s long, e long, doc_id long, start long, rest long"  # as it is shuffled and sorted: rest is version, n and kind
 _PIECE = "kind int, key long, doc_id long, version int, start long, n int, piece binary"
 _SPAN_ROW = "doc_id long, version int, start long, n int"
 GROUP = "repeat long, length int, doc_id long, start long"
@@ -105,6 +106,18 @@ def _batch(kind, s, e, doc_id, version, start, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(c).astype(t.to_pandas_dtype(), copy=False), t) for c, t in zip((kind, s.view(np.int64), e.view(np.int64), doc_id, version, start, n), _TYPES)], _FIELDS)
 
 
+def _narrow(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A row of _DEALT for each of _KEYED: 48 bytes in a sort instead of 64. n is less than WINDOW, so it has six bits."""
+    kind, version, n = (batch[name].to_numpy().astype(np.int64) for name in ("kind", "version", "n"))
+    return pa.RecordBatch.from_arrays([batch["s"], batch["e"], batch["doc_id"], batch["start"], pa.array(version << 7 | n << 1 | kind)], ["s", "e", "doc_id", "start", "rest"])
+
+
+def _wide(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The columns of _KEYED from a batch of _DEALT."""
+    s, e, doc_id, start, rest = (column.to_numpy() for column in batch.columns)
+    return [rest & 1, s, e, doc_id, rest >> 7, start, rest >> 1 & 63]
+
+
 def _later(keys: list[np.ndarray], doc_id: np.ndarray) -> np.ndarray:
     """Whether a row has equal keys with one of a smaller document."""
     order = np.lexsort((doc_id, *reversed(keys)))
@@ -126,7 +139,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, e, owner, start, n = blocks(np.frombuffer(b"".join(texts), np.uint8), counts)
         if len(s):
             doc_id, version = np.array([r[0] for r in part], np.int64)[owner], np.array([r[1] for r in part], np.int64)[owner]
-            yield _batch(np.where(_later([s, e], doc_id), _COPY, _ASK), s, e, doc_id, version, start - (np.cumsum(counts) - counts)[owner], n)
+            yield _narrow(_batch(np.where(_later([s, e], doc_id), _COPY, _ASK), s, e, doc_id, version, start - (np.cumsum(counts) - counts)[owner], n))
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +149,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     last, first_doc, several, held = None, 0, False, []
     for batch in batches:
-        columns = [column.to_numpy() for column in batch.columns]
+        columns = _wide(batch)
         waiting = columns[0] == _ASK
         if (~waiting).any():
             yield _batch(*(c[~waiting] for c in columns))
@@ -326,10 +339,10 @@ def _source(documents: DataFrame, id_col: str, text_col: str, carry: list[str])
 
 def _found(source: DataFrame) -> DataFrame:
     """Blocks that are copies, and those whose texts have to be compared."""
-    indexed = source.select("order_id", "version", "text").mapInArrow(_index, _KEYED)
+    indexed = source.select("order_id", "version", "text").mapInArrow(_index, _DEALT)
     spread = F.xxhash64("doc_id", "start")  # copies need no others
-    dealt = indexed.repartition(F.when(F.col("kind") == _COPY, spread).otherwise(F.col("s")))
-    return save(dealt.sortWithinPartitions("s", "e", "doc_id").mapInArrow(_classes, _KEYED).drop("e"), "repeat-blocks")
+    dealt = indexed.repartition(F.when(F.col("rest").bitwiseAND(F.lit(1)) == _COPY, spread).otherwise(F.col("s")))
+    return save(merged(dealt.sortWithinPartitions("s", "e", "doc_id").mapInArrow(_classes, _KEYED).drop("e")), "repeat-blocks")
 
 
 def _compared(source: DataFrame, found: DataFrame) -> DataFrame:
@@ -339,7 +352,7 @@ def _compared(source: DataFrame, found: DataFrame) -> DataFrame:
     asked = asked.join(many, "s", "left").withColumn("many", F.coalesce("many", F.lit(False)))
     asked = asked.groupBy(F.col("doc_id").alias("order_id"), "version").agg(F.collect_list(F.struct("s", "start", "n", "many")).alias("asked"))
     texts = source.select("order_id", "version", "text")  # at most a row per block of a document meets its text
-    return save(texts.join(asked, ["order_id", "version"]).select("order_id", "version", "text", "asked").mapInArrow(_pieces, _PIECE), "repeat-pieces")
+    return save(merged(texts.join(asked, ["order_id", "version"]).select("order_id", "version", "text", "asked").mapInArrow(_pieces, _PIECE)), "repeat-pieces")
 
 
 def _sorted(pieces: DataFrame) -> DataFrame:
@@ -403,7 +416,7 @@ def strip_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     found = source.join(_spans(source), ["order_id", "version"], "left").drop("order_id", "version")
     schema = f"doc_id long{carry_schema(documents, carry)}, n_bytes long, n_removed long, n_spans long, kept {'string' if digest else 'binary'}"
     out = found.select("doc_id", *(f"_carry_{k}" for k in range(len(carry))), "text", "spans").mapInArrow(partial(_strip, digest=digest), schema)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *uncarried(carry))
+    return merged(out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *uncarried(carry)))
 
 
 def digests(documents: DataFrame) -> DataFrame:
