@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from tillbook.operators.iceberg import IcebergTable
 from tillbook.operators import layout as layouts, versions
 from tillbook.operators.versions import VersionedTable
@@ -411,3 +412,17 @@ def test_plain_write_by_day_and_store(spark, folder):
     assert layouts.read_by_layout(spark, f"{folder}/plain", CLEAN, ()).count() == 6
     files = sum(name.endswith(".parquet") for _, _, names in os.walk(f"{folder}/d") for name in names)
     assert 5 <= files <= 6  # the empty store and none share a directory
+
+
+def test_many_updates_hit_every_row(spark, small, tmp_path):
+    """Whatever its status, and with or without a key."""
+    given = {
+        "orders": [(1, "O"), (2, "P"), (3, "F"), (None, "O")], "lineitem": [(1, 1), (1, 1), (2, 1)], "part": [(1,)],
+    }
+    columns = {"orders": ["o_orderkey", "o_orderstatus"], "lineitem": ["l_orderkey", "l_partkey"], "part": ["p_partkey"]}
+    for name, values in given.items():
+        schema = spark.read.parquet(f"{small}/{name}.parquet").schema
+        made = [tuple(dict(zip(columns[name], row)).get(field.name) for field in schema) for row in values]
+        spark.createDataFrame(made, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = registry.queries()["many_updates"](spark, str(tmp_path)).collect()
+    assert sorted((str(r["transaction_id"]), r["item_count"]) for r in found) == [("None", 10), ("TXN-1", 12), ("TXN-2", 11)]
