@@ -161,3 +161,22 @@ def test_pipeline_stages_keep_clean_documents(spark, small):
         kept = [w for p, w in enumerate(words) if not any(repeats[max(0, p - 19) : p + 1])]
         assert left.get(key, "").encode().split() == kept
         seen.update(windows)
+
+
+def test_bpe_forgets_only_what_did_not_occur_for_long(monkeypatch):
+    """Pre-tokens that occur all the time are encoded once, however many others come by, and few are held."""
+    monkeypatch.setattr(bpe, "_REMEMBERED", 20)
+    codec = bpe.Codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    whole, encoded = codec.model, []
+
+    class Model:
+        def encode(self, pieces, **more):
+            encoded.extend(pieces)
+            return whole.encode(pieces, **more)
+
+    codec.model = Model()
+    texts = [" Zqxjvwkq" + "".join(f" Xvq{chr(97 + k // 26)}{chr(97 + k % 26)}{c}zzq" for c in "bcdfg") for k in range(40)]
+    for text in texts:
+        assert codec.decode(codec.encode(text)) == text.encode()
+    assert len(encoded) == len(set(encoded)) == 201
+    assert len(codec.known) < 40

@@ -2,8 +2,8 @@
 
 Every byte is mapped to a printable character, so a vocabulary entry becomes a piece of text; its score is
 its negative rank, so sentencepiece merges what has the lowest rank first. The model normalises nothing.
-Pre-tokens are found by a pattern and encoded separately; distinct ones only once per task. Decoding maps
-ids back to bytes.
+Pre-tokens are found by a pattern and encoded separately; distinct ones only once while they are remembered: those
+that did not occur for long are forgotten, never all at once. Decoding maps ids back to bytes.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 from tillbook.llm.common import grouped, rows
 
 _NEW = 8_192  # unseen pre-tokens given to sentencepiece at once
-_REMEMBERED = 1_000_000
-_BLOCK_BYTES = 1 << 22
+_REMEMBERED = 500_000  # pre-tokens of a generation; the one before is kept too
+_BLOCK_BYTES = 1 << 20
 
 
 def _alphabet() -> list[str]:
@@ -33,10 +33,11 @@ def _alphabet() -> list[str]:
 
 
 ALPHABET = _alphabet()
+_SHOWN = dict(enumerate(ALPHABET))
 
 
 def mapped(data: bytes) -> str:
-    return data.decode("latin-1").translate(dict(enumerate(ALPHABET)))
+    return data.decode("latin-1").translate(_SHOWN)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -88,28 +89,33 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialise(self.ranks))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the generation before: what is met again moves to the new one
 
-    def _learn(self, found: list[str]) -> None:
+    def _learn(self, found: list[list[str]]) -> None:
         """Remember the ids of unseen pre-tokens. One that is in the vocabulary is its own id, as in tiktoken."""
-        unseen = [p for p in dict.fromkeys(found) if p not in self.known]
+        if len(self.known) > _REMEMBERED:
+            self.older, self.known = self.known, {}
+        known, older, unseen = self.known, self.older, []
+        for piece in set().union(*found).difference(known):
+            if (ids := older.get(piece)) is not None:
+                known[piece] = ids
+            elif (whole := self.ranks.get(data := piece.encode())) is not None:
+                known[piece] = struct.pack("<I", whole)
+            else:
+                unseen.append((piece, mapped(data)))
         for start in range(0, len(unseen), _NEW):
             part = unseen[start : start + _NEW]
-            encoded = self.model.encode([mapped(p.encode()) for p in part], num_threads=1)
-            for piece, ids in zip(part, encoded):
-                whole = self.ranks.get(piece.encode())
-                ids = ids if whole is None else [whole]
-                self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            for (piece, _), ids in zip(part, self.model.encode([text for _, text in part], num_threads=1)):
+                known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        found = [self.pattern.findall(text) for text in texts]
+        self._learn(found)
+        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in found]
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        found = self.pattern.findall(text)
-        try:
-            return b"".join(map(self.known.__getitem__, found))
-        except KeyError:
-            if len(self.known) > _REMEMBERED:
-                self.known.clear()
-            self._learn(found)
-            return b"".join(map(self.known.__getitem__, found))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, memoryview(ids).cast("I")))
@@ -123,7 +129,7 @@ def codec(path: str, pattern: str) -> Codec:
 def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
     tool = codec(path, pattern)
     for part in grouped(rows(batches), lambda r: len(r[1] or ""), _BLOCK_BYTES):
-        ids = [tool.encode(text or "") for _, text in part]
+        ids = tool.encode_all([text or "" for _, text in part])
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in part], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "ids"]
         )
