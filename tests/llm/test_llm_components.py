@@ -1,6 +1,7 @@
 """Connected components: as few rounds as the links ask for, each round a few scratch tables."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tillbook.llm import common, near_dup
 
@@ -106,3 +107,36 @@ def test_scratch_tables_of_near_dup_are_merged(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "merged", merged)
     near_dup.near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")).collect()
     assert len(seen) == 5
+
+
+def test_near_duplicates_broadcast_no_table_by_an_estimate(spark, monkeypatch):
+    """Estimates from files are far too low behind an explode; sizes that a shuffle has measured are broadcast as before."""
+    plans, write = [], common.save
+
+    def save(frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(frame, label)
+
+    for module in (common, near_dup):
+        monkeypatch.setattr(module, "save", save)
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(key, None) for key in keys]
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join([*words[:58], "x", "y"]), " ".join(reversed(words)), "", None]
+    found = near_dup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 8 and not [plan for plan in plans if "Broadcast" in plan]
+    assert [spark.conf.get(key, None) for key in keys] == before
+    assert {r.doc_id: r.component_id for r in found.collect()} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+
+
+def test_measured_sizes_are_broadcast(spark):
+    """What a shuffle shows to be small is still sent to all tasks."""
+    many = spark.range(2000).select((F.col("id") % 50).alias("k"), "id")
+    few = spark.range(50).groupBy((F.col("id") * 1).alias("k")).agg(F.count("*").alias("n"))
+    with common.measured_broadcasts(spark):
+        joined = many.repartition(4, "id").join(few, "k")
+        planned = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 2000 and joined.collect()
+        ran = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in planned and "BroadcastHashJoin" in ran

@@ -52,6 +52,23 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def measured_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Only tables whose size was measured by a shuffle are broadcast by what runs inside. An estimate from files is
+    too low by far behind an explode, which it takes for as many rows as went in: the driver would gather all of them."""
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before, own = spark.conf.get(planned), spark.conf.get(measured, None)
+    if own is None:
+        spark.conf.set(measured, before)
+    spark.conf.set(planned, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(planned, before)
+        if own is None:
+            spark.conf.unset(measured)
+
+
 _PIECE = 1 << 19  # bytes hashed at a time
 _BASE = 0x9DDFEA08EB382D69
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillbook.llm.common import components, grouped, merged, mix, rows, runs, save, small_batches, word_hashes
+from tillbook.llm.common import components, grouped, measured_broadcasts, merged, mix, rows, runs, save, small_batches, word_hashes
 
 WIDTH = 5  # words in a shingle
 PERCENT = 75  # similarity from which documents are linked
@@ -263,9 +263,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     """
     own_tag = (F.lit(None) if tag is None else tag).cast("long").alias("tag")
     source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), own_tag)
-    with small_batches(documents.sparkSession):
+    with small_batches(documents.sparkSession), measured_broadcasts(documents.sparkSession):
         described, label = _described_and_labelled(source)
-    linked = described.select("doc_id", "tag", "n", F.when(F.col("doc_id").isNotNull(), F.col("mark")).alias("mark")).join(label, "mark", "left")
+    linked = described.select("doc_id", "tag", "n", F.when(F.col("doc_id").isNotNull(), F.col("mark")).alias("mark")).join(label.hint("merge"), "mark", "left")
     result = linked.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "tag"
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
