@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from test_llm_queries import components_by_brute_force
-from tillbook.llm import registry
+from tillbook.llm import common, near_dup, registry
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 T = "one and the same text of more than five words in two rows"
@@ -87,3 +87,21 @@ def test_run_equals_brute_force(spark, small):
 def pieces(n):
     first = n % 1024 or 1024
     return [(0, first), *((s, 1024) for s in range(first, n, 1024))]
+
+
+def test_the_stage_of_near_copies_broadcasts_no_table_by_an_estimate(spark, monkeypatch):
+    """Of what it writes only the texts that stay are joined with a written table, whose size is no estimate."""
+    plans, write = [], common.save
+
+    def save(frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(frame, label)
+
+    for module in (common, near_dup, corpus_pipeline):
+        monkeypatch.setattr(module, "save", save)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join([*words[:58], "x", "y"]), " ".join(reversed(words)), " ".join(words)]
+    docs = spark.createDataFrame([(k, text, "en", "s", len(text)) for k, text in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert len(plans) > 9 and not [plan for plan in plans if "Broadcast" in plan]
+    assert sorted(r.doc_id for r in found.collect()) == [0, 2]
