@@ -202,3 +202,46 @@ def test_tasks_get_small_batches(spark):
     registry.ship(spark)
     assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "1024"
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8m"
+
+
+def asked(texts):
+    """Documents whose blocks are to be compared, by the tasks of the operator one after the other."""
+    source = pa.record_batch({"o": list(range(len(texts))), "v": pa.array([0] * len(texts), pa.int32()), "t": texts})
+    indexed = pa.concat_tables(pa.Table.from_batches([b]) for b in repeats._index(iter([source])))
+    dealt = indexed.sort_by([(k, "ascending") for k in ("s", "e", "doc_id")]).combine_chunks()
+    found = [b for b in repeats._classes(iter(dealt.to_batches(max_chunksize=7)))]
+    return {x["doc_id"] for b in found for x in b.to_pylist() if x["kind"] == repeats._ASK}
+
+
+def test_blocks_that_share_less_than_a_window_are_not_compared():
+    """In a large corpus most seeds meet by chance; their texts are not gathered. What shares a window still is."""
+    r = random.Random(5)
+
+    def noise(n):
+        return bytes(r.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    met = []
+    for _ in range(60):
+        common = noise(32)  # a byte less than a seed and a side
+        met += asked([noise(60) + common + noise(60), noise(70) + common + noise(70)])
+    assert len(met) <= 4  # eight bits may agree by chance
+    for left in range(0, 50, 7):
+        common = noise(50)
+        assert asked([noise(80) + common + noise(80), noise(left + 70) + common + noise(70)]) == {0, 1}
+        assert asked([common + noise(left + 1), noise(left + 1) + common]) == {0, 1}
+    period = noise(7)
+    assert asked([noise(61) + period * 8 + noise(90), noise(64) + period[3:] + period * 7 + noise(90)]) == {0, 1}
+
+
+def test_texts_of_unique_ids_are_not_told_apart(spark):
+    """Their hash would be four bytes of every block in the shuffle."""
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "doc_id long, text string")
+    versions = [{x.version for x in repeats._source(frame, "doc_id", "text", []).collect()} for frame in (one, one.union(one.limit(1)), one.filter("doc_id IS NULL"))]
+    assert versions[0] == versions[2] == {0} and len(versions[1]) == 3
+
+
+def test_compared_pieces_are_gone_before_texts_are_shuffled(spark, monkeypatch):
+    labels, write = [], repeats.save
+    monkeypatch.setattr(repeats, "save", lambda frame, label: labels.append(label) or write(frame, label))
+    check(spark, [(k, f"{k} " + "a passage of more than fifty bytes that all of them share" * 2 + f" {k}") for k in range(4)])
+    assert labels == ["repeat-blocks", "repeat-pieces", "repeat-spans"]

@@ -3,8 +3,9 @@
 Only bytes that repeat need to be in the array. Every string of ``WINDOW`` bytes has a canonical seed, the
 smallest hash of its runs of ``SEED`` bytes, so equal strings share it wherever they lie. Consecutive windows with
 the same occurrence of a seed form a block; blocks of equal text are one class, whose first document stands for
-it, and the others repeat it whole. What remains are seeds with several classes. The texts of their blocks
-meet by seed, their suffixes are sorted into a suffix array, and a scan with a stack over its common prefixes
+it, and the others repeat it whole. What remains are seeds with several classes, most of which meet by chance in a
+large corpus: of a common window 17 bytes lie to the left of the seed or to its right, so classes that agree on neither
+side with another one are left out. The texts of the other blocks meet by seed, their suffixes are sorted into a suffix array, and a scan with a stack over its common prefixes
 yields the intervals: repeats of ``WINDOW`` bytes and more with all their occurrences. An interval whose
 occurrences are all preceded by the same byte is part of a longer repeat and is not reported. An occurrence
 is a copy in the deepest interval that has a smaller document; repeats of that document's own go up the tree.
@@ -36,10 +37,12 @@ _PIECES = 1 << 20  # bytes of blocks whose suffixes are sorted together
 _LAST_ID = (1 << 63) - 1  # rows without an id count as later than all others
 _BASE = 0x9E3779B97F4A7C55
 _COPY, _ASK = 0, 1
+_SIDE = -(-(WINDOW - SEED) // 2)  # bytes that a window has beside its seed at least, on one of its sides
+_NO_VERSION = 0
 _FIELDS = ["kind", "s", "e", "doc_id", "version", "start", "n"]
 _TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
 _KEYED = "kind int, s long, e long, doc_id long, version int, start long, n int"
-_DEALT = "s long, e long, doc_id long, start long, rest long"  # as it is shuffled and sorted: rest is version, n and kind
+_DEALT = "s long, e long, doc_id long, place long, version long"  # as it is shuffled and sorted: place is start, sides, n and kind
 _PIECE = "kind int, key long, doc_id long, version int, start long, n int, piece binary"
 _SPAN_ROW = "doc_id long, version int, start long, n int"
 GROUP = "repeat long, length int, doc_id long, start long"
@@ -62,32 +65,44 @@ def run_hashes(data: np.ndarray, width: int) -> np.ndarray:
         size *= 2
 
 
-def _smallest(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window its smallest seed and the place of that.
+def _smallest(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window its smallest seed, the place of that, and whether it has that seed in several places.
 
     Seeds lose their last six bits to their place, which then is the lowest part of what is compared. Of equal
     seeds any may be taken: equal windows have the same seed, if not the same block.
     """
     at, low = np.arange(len(values), dtype=np.uint64), np.uint64(63)
-    least, width = (values & ~low) | (at & low), 1
+    least, last, width = (values & ~low) | (at & low), (values & ~low) | (~at & low), 1
     while width < _SPAN:
         step = min(width, _SPAN - width)
-        least = np.minimum(least[:-step], least[step:])
+        least, last = np.minimum(least[:-step], least[step:]), np.minimum(last[:-step], last[step:])
         width += step
     at = at[: len(least)]
-    return least & ~low, (at + ((least - at) & low)).astype(np.int64)
+    return least & ~low, (at + ((least - at) & low)).astype(np.int64), (least ^ last) & low != low
+
+
+def _sides(seeds: np.ndarray, place: np.ndarray, start: np.ndarray, n: np.ndarray, tied: np.ndarray) -> np.ndarray:
+    """Eight bits for the bytes to the left of the seed, eight for those to the right, and whether a window has its
+    seed twice, as then equal windows may lie otherwise in their blocks. Zeros where no window of the block
+    reaches as far; else the bits depend on the text of the block only."""
+    def bits(first: np.ndarray, reached: np.ndarray) -> np.ndarray:
+        first = np.where(reached, first, 0)  # the bytes are covered by two runs as long as a seed
+        return np.where(reached, (mix(seeds[first] ^ mix(seeds[first + _SIDE - SEED])) % np.uint64(255)).astype(np.int64) + 1, 0)
+
+    left, right = bits(place - _SIDE, place - start >= _SIDE), bits(place + SEED, place - start - n + 1 <= WINDOW - SEED - _SIDE)
+    return left << 9 | right << 1 | tied
 
 
 def blocks(data: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """seed, class, document number, first window and number of windows of each block.
+    """seed, class, document number, first window, number of windows and sides of each block.
 
     ``data`` are the bytes of several documents in a row, ``counts`` says how many each has. First windows count
     from the start of ``data``.
     """
     if len(data) < WINDOW:
-        return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64))
     seeds, whole = run_hashes(data, SEED), run_hashes(data, WINDOW)
-    seed, place = _smallest(seeds)
+    seed, place, twice = _smallest(seeds)
     ends = np.cumsum(counts)
     inside = np.ones(len(place), bool)  # whether a window ends in the document in which it starts
     for begin, end in zip((ends - counts).tolist(), ends.tolist()):
@@ -99,23 +114,25 @@ def blocks(data: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
     stop = np.minimum(np.append(start[1:], len(place)), ends[owner] - WINDOW + 1)
     n = stop - start  # less than WINDOW, so the first and the last window cover the block
     shape = (n << 8 | (place[start] - start)).astype(np.uint64)
-    return seed[start], mix(whole[start] ^ mix(whole[stop - 1] ^ mix(shape))), owner, start, n
+    sides = _sides(seeds, place[start], start, n, np.logical_or.reduceat(twice, start) if len(start) else np.empty(0, bool))
+    return seed[start], mix(whole[start] ^ mix(whole[stop - 1] ^ mix(shape))), owner, start, n, sides
 
 
 def _batch(kind, s, e, doc_id, version, start, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(c).astype(t.to_pandas_dtype(), copy=False), t) for c, t in zip((kind, s.view(np.int64), e.view(np.int64), doc_id, version, start, n), _TYPES)], _FIELDS)
 
 
-def _narrow(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _narrow(batch: pa.RecordBatch, sides: np.ndarray | int = 0) -> pa.RecordBatch:
     """A row of _DEALT for each of _KEYED: 48 bytes in a sort instead of 64. n is less than WINDOW, so it has six bits."""
-    kind, version, n = (batch[name].to_numpy().astype(np.int64) for name in ("kind", "version", "n"))
-    return pa.RecordBatch.from_arrays([batch["s"], batch["e"], batch["doc_id"], batch["start"], pa.array(version << 7 | n << 1 | kind)], ["s", "e", "doc_id", "start", "rest"])
+    kind, start, n = (batch[name].to_numpy().astype(np.int64) for name in ("kind", "start", "n"))
+    place = pa.array(start << 24 | sides << 7 | n << 1 | kind)
+    return pa.RecordBatch.from_arrays([batch["s"], batch["e"], batch["doc_id"], place, batch["version"].cast(pa.int64())], ["s", "e", "doc_id", "place", "version"])
 
 
 def _wide(batch: pa.RecordBatch) -> list[np.ndarray]:
     """The columns of _KEYED from a batch of _DEALT."""
-    s, e, doc_id, start, rest = (column.to_numpy() for column in batch.columns)
-    return [rest & 1, s, e, doc_id, rest >> 7, start, rest >> 1 & 63]
+    s, e, doc_id, place, version = (column.to_numpy() for column in batch.columns)
+    return [place & 1, s, e, doc_id, version, place >> 24, place >> 1 & 63]
 
 
 def _later(keys: list[np.ndarray], doc_id: np.ndarray) -> np.ndarray:
@@ -136,26 +153,74 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in grouped(rows(batches), lambda r: len(r[2] or b""), _CHUNK):
         texts = [r[2] or b"" for r in part]
         counts = np.array([len(text) for text in texts])
-        s, e, owner, start, n = blocks(np.frombuffer(b"".join(texts), np.uint8), counts)
+        s, e, owner, start, n, sides = blocks(np.frombuffer(b"".join(texts), np.uint8), counts)
         if len(s):
             doc_id, version = np.array([r[0] for r in part], np.int64)[owner], np.array([r[1] for r in part], np.int64)[owner]
-            yield _narrow(_batch(np.where(_later([s, e], doc_id), _COPY, _ASK), s, e, doc_id, version, start - (np.cumsum(counts) - counts)[owner], n))
+            yield _narrow(_batch(np.where(_later([s, e], doc_id), _COPY, _ASK), s, e, doc_id, version, start - (np.cumsum(counts) - counts)[owner], n), sides)
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by seed, class and document: copies, and the first document's blocks of seeds with several classes.
-
-    Between batches only the last row and the first document's blocks of a seed with one class so far are held.
+    """From rows sorted by seed, class and document: copies, and the first document's blocks of classes that may have
+    a window in common with another one. Between batches the rows of a seed are held, MANY at most: those of a seed
+    that has more pass as they are."""
+    held, passing = None, None
+    for batch, sides in _several(batches):
+        if sides is None:
+            yield batch
+            continue
+        if passing is not None:
+            other = np.flatnonzero(batch["s"].to_numpy() != passing)
+            passed = int(other[0]) if len(other) else batch.num_rows
+            yield batch.slice(0, passed)
+            batch, sides = batch.slice(passed), sides[passed:]
+            if not batch.num_rows:
+                continue
+            passing = None
+        if held is not None:
+            batch = pa.Table.from_batches([held[0], batch]).combine_chunks().to_batches()[0]
+            sides = np.concatenate([held[1], sides])
+        s = batch["s"].to_numpy()
+        other = np.flatnonzero(s != s[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield _meeting(batch.slice(0, cut), sides[:cut])
+        held = batch.slice(cut), sides[cut:]
+        if len(held[1]) > MANY:
+            yield held[0]
+            held, passing = None, s[-1]
+    if held is not None:
+        yield _meeting(*held)
+
+
+def _meeting(batch: pa.RecordBatch, sides: np.ndarray) -> pa.RecordBatch:
+    """Of the blocks of whole seeds those that agree with another class on a side of the seed, or have it twice."""
+    s, e, kept = batch["s"].to_numpy(), batch["e"].to_numpy(), (sides & 1).astype(bool)
+    for side in (sides >> 9, sides >> 1 & 255):
+        at = np.flatnonzero(side)
+        order = at[np.lexsort((e[at], side[at], s[at]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (s[order][1:] != s[order][:-1]) | (side[order][1:] != side[order][:-1])
+        first = new.copy()
+        first[1:] |= e[order][1:] != e[order][:-1]
+        group = np.cumsum(new) - 1
+        kept[order] |= (np.bincount(group[first]) > 1)[group]
+    return batch.filter(pa.array(kept))
+
+
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray | None]]:
+    """From rows sorted by seed, class and document: copies, and with their sides the first document's blocks of seeds
+    with several classes. Between batches only the last row and the first document's blocks of a seed with one class so far are held.
     """
     last, first_doc, several, held = None, 0, False, []
     for batch in batches:
         columns = _wide(batch)
         waiting = columns[0] == _ASK
         if (~waiting).any():
-            yield _batch(*(c[~waiting] for c in columns))
+            yield _batch(*(c[~waiting] for c in columns)), None
         if not waiting.any():
             continue
         kind, s, e, doc_id, version, start, n = (c[waiting] for c in columns)
+        sides = batch["place"].to_numpy()[waiting] >> 7 & 0x1FFFF
         new_seed = np.concatenate([[last is None or last[0] != s[0]], s[1:] != s[:-1]])
         new = new_seed | np.concatenate([[last is None or last[1] != e[0]], e[1:] != e[:-1]])
         at = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
@@ -168,15 +233,15 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = []
         out = early & many[seed]
         if (~early).any():
-            yield _batch(np.full((~early).sum(), _COPY), *(c[~early] for c in (s, e, doc_id, version, start, n)))
+            yield _batch(np.full((~early).sum(), _COPY), *(c[~early] for c in (s, e, doc_id, version, start, n))), None
         if out.any():
-            yield _batch(kind[out], *(c[out] for c in (s, e, doc_id, version, start, n)))
+            yield _batch(kind[out], *(c[out] for c in (s, e, doc_id, version, start, n))), sides[out]
         if seed[-1] > 0:
             held = []
         several = bool(many[-1]) if seed[-1] > 0 else bool(many[0])
         alone = early & (seed == seed[-1])
         if not several and alone.any():
-            held.append(_batch(kind[alone], *(c[alone] for c in (s, e, doc_id, version, start, n))))
+            held.append((_batch(kind[alone], *(c[alone] for c in (s, e, doc_id, version, start, n))), sides[alone]))
         last, first_doc = (s[-1], e[-1]), doc_id[at[-1]] if at[-1] >= 0 else first_doc
 
 
@@ -333,15 +398,18 @@ def _copies(batches: Iterator[pa.RecordBatch], groups: bool) -> Iterator[pa.Reco
 
 def _source(documents: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
     source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *carried(documents, carry))
-    version = F.coalesce(F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(0))
-    return source.withColumns({"version": version, "order_id": F.coalesce("doc_id", F.lit(_LAST_ID))})
+    source = source.withColumn("order_id", F.coalesce("doc_id", F.lit(_LAST_ID)))
+    # Only rows that share an id are told apart by their texts: a hash is four bytes in each block that is shuffled.
+    if source.groupBy("order_id").agg(F.count("*").alias("rows")).filter("rows > 1").isEmpty():
+        return source.withColumn("version", F.lit(_NO_VERSION))
+    return source.withColumn("version", F.coalesce(F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(_NO_VERSION)))
 
 
 def _found(source: DataFrame) -> DataFrame:
     """Blocks that are copies, and those whose texts have to be compared."""
     indexed = source.select("order_id", "version", "text").mapInArrow(_index, _DEALT)
-    spread = F.xxhash64("doc_id", "start")  # copies need no others
-    dealt = indexed.repartition(F.when(F.col("rest").bitwiseAND(F.lit(1)) == _COPY, spread).otherwise(F.col("s")))
+    spread = F.xxhash64("doc_id", "place")  # copies need no others
+    dealt = indexed.repartition(F.when(F.col("place").bitwiseAND(F.lit(1)) == _COPY, spread).otherwise(F.col("s")))
     return save(merged(dealt.sortWithinPartitions("s", "e", "doc_id").mapInArrow(_classes, _KEYED).drop("e")), "repeat-blocks")
 
 
@@ -374,7 +442,8 @@ def maximal_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
 def _spans(source: DataFrame) -> DataFrame:
     found = _found(source)
     pieces = _compared(source, found)
-    compared = _sorted(pieces).mapInArrow(partial(_copies, groups=False), _SPAN_ROW)
+    # Written, so that the pieces as they were sorted are gone before texts are shuffled again.
+    compared = save(merged(_sorted(pieces).mapInArrow(partial(_copies, groups=False), _SPAN_ROW)), "repeat-spans")
     columns = ["doc_id", "version", "start", "n"]
     copied = found.filter(F.col("kind") == _COPY).select(columns).unionByName(pieces.filter(F.col("kind") == _COPY).select(columns)).unionByName(compared)
     return copied.groupBy(F.col("doc_id").alias("order_id"), "version").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
